@@ -1,0 +1,72 @@
+"""Spark-vs-DuckDB comparison in the driver's manner: row count, column
+names, and an order-insensitive hash of the values (columns sorted by name)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return round(v, 6)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, bool):
+        return int(v)
+    if hasattr(v, "asDict"):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def digest(columns, rows) -> tuple[int, list[str], str]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    cols = [columns[i] for i in order]
+    keys = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rows)
+    h = hashlib.sha256("\n".join(keys).encode()).hexdigest()
+    return len(rows), cols, h
+
+
+def spark_digest(df):
+    rows = df.collect()
+    return digest(df.columns, rows)
+
+
+def duck_digest(con, sql):
+    cur = con.execute(sql)
+    cols = [d[0] for d in cur.description]
+    rows = cur.fetchall()
+    return digest(cols, rows)
+
+
+def first_diff(df, con, sql, n=5):
+    """A few rows present on one side only (for debugging)."""
+    s = {repr(tuple(_norm(x) for x in r)) for r in df.select(sorted(df.columns)).collect()}
+    cur = con.execute(f"select * from ({sql}) order by all")
+    cols = [d[0] for d in cur.description]
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    d = {repr(tuple(_norm(r[i]) for i in order)) for r in cur.fetchall()}
+    return sorted(s - d)[:n], sorted(d - s)[:n]
