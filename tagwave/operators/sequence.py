@@ -8,7 +8,13 @@ position is its index inside the partition plus the number of rows in all
 earlier partitions.  The per-partition counts table has one row per
 partition, a proven bound, so it is the only thing broadcast.
 
-Two numberings are built from it:
+The range bounds come from a sample of the input, and the counts and the
+numbering are two reads of the partitioned rows.  To make both reads see the
+same partitions -- also when an executor is lost and work is recomputed --
+the partitioned rows are checkpointed once (reliably, into the folder the
+cluster names in ``spark.checkpoint.dir``) before they are counted.
+
+Two numberings are built on it:
 
 * ``global_row_number`` -- WIN-1 / WIN-3: 1-based position in a total order.
 * ``surrogate_ids`` -- WIN-2: the ids the per-tag load loop produces.  The loop
@@ -25,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagwave.session import shared_dir
+
 _PID = "__seq_pid"
 _RIP = "__seq_rip"
 _OFF = "__seq_off"
@@ -33,50 +41,74 @@ _CNT = "__seq_cnt"
 
 def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
     # Ascending with nulls last: the database order the numbering follows.
-    out = []
-    for c in order:
-        out.append(F.col(c).asc_nulls_last() if isinstance(c, str) else c)
-    return out
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
 def _num_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return int(partitions)
-    conf = df.sparkSession.conf
-    return int(conf.get("spark.sql.shuffle.partitions", "200"))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
+def range_partitioned(df: DataFrame, order: Sequence[str | Column],
                       partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order`` (ascending,
-    nulls last), like ``row_number() over (order by ...)``.
-
-    The order must be total (unique keys) for the numbering to be
-    reproducible; add tie-breaking columns otherwise.
-    """
+    """Rows range-partitioned and sorted on ``order``, tagged with their
+    partition (``__seq_pid``) and 0-based index inside it (``__seq_rip``),
+    checkpointed so the partition boundaries are fixed once."""
     keys = _order_exprs(order)
     n = _num_partitions(df, partitions)
+    shared_dir(df.sparkSession)  # checkpoint dir: the cluster's, or a test folder
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id() = (partition index << 33) + index in partition
     tagged = (ranged
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_RIP, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    return tagged.checkpoint(eager=True)
+
+
+def _prefix_offsets(counts: DataFrame, key: str, cnt: str, out: str) -> DataFrame:
+    """Exclusive running sum of ``cnt`` in ``key`` order over a table with one
+    row per partition (bounded), broadcast by the callers."""
+    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(key, F.coalesce(F.sum(cnt).over(before), F.lit(0)).cast("long").alias(out))
+
+
+def _positions(tagged: DataFrame, out: str) -> DataFrame:
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    offsets = _prefix_offsets(counts, _PID, _CNT, _OFF)
     return (tagged.join(F.broadcast(offsets), _PID)
             .withColumn(out, (F.col(_OFF) + F.col(_RIP) + 1).cast("long"))
-            .drop(_PID, _RIP, _OFF))
+            .drop(_OFF))
 
 
-def dense_rank_of(df: DataFrame, key: str, out: str = "key_rank",
-                  partitions: int | None = None) -> DataFrame:
-    """(key, out) for every distinct non-null ``key`` value: its 1-based rank in
-    ascending order.  Distinct is a partial aggregate, so only one row per
-    key crosses the shuffle."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return global_row_number(keys, [key], out=out, partitions=partitions)
+def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
+                      partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row in ``order`` (ascending,
+    nulls last), like ``row_number() over (order by ...)``.
+
+    The order must be total (unique keys) for the numbering to be
+    reproducible; add tie-breaking columns otherwise.
+    """
+    tagged = range_partitioned(df, order, partitions)
+    return _positions(tagged, out).drop(_PID, _RIP)
+
+
+def _tag_ranks(tagged: DataFrame, tag: str, out: str) -> DataFrame:
+    """``(tag, out)``: dense rank of each tag value in ascending order (nulls
+    last), from rows already range-partitioned on ``tag`` first.
+
+    A tag's first row sits in the lowest partition holding the tag, so the
+    rank is (tags whose first row is in an earlier partition) + (rank among
+    the tags starting in the same partition).  Both pieces are small: one row
+    per tag, grouped by starting partition, and one row per partition.
+    """
+    firsts = tagged.groupBy(tag).agg(F.min(_PID).alias("__first_pid"))
+    starts = firsts.groupBy("__first_pid").agg(F.count(F.lit(1)).alias("__n"))
+    start_off = _prefix_offsets(starts, "__first_pid", "__n", "__tag_off")
+    local = F.dense_rank().over(Window.partitionBy("__first_pid").orderBy(F.col(tag).asc_nulls_last()))
+    return (firsts.join(F.broadcast(start_off), "__first_pid")
+            .select(tag, (F.col("__tag_off") + local).cast("long").alias(out)))
 
 
 def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id",
@@ -84,21 +116,23 @@ def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id"
     """Ids the per-tag append loop would give: tags processed in ascending
     ``tag`` order, rows of a tag in ``order``; ``id = position + tag rank``.
 
-    The tag-rank table has one row per tag; it is joined, not broadcast by
-    hint, so AQE broadcasts it when it is actually small and falls back to a
-    skew-aware sort-merge join when it is not.
+    The tag-rank table has one row per tag; it is joined (null-safe) without
+    a broadcast hint, so AQE broadcasts it when it is small at run time and
+    otherwise keeps a sort-merge join whose skewed partitions it splits.
     """
-    numbered = global_row_number(df, [tag, *order], out="__pos", partitions=partitions)
-    ranks = dense_rank_of(df, tag, out="__tag_rank", partitions=partitions)
-    return (numbered.join(ranks, tag, "left")
-            .withColumn(out, (F.col("__pos") + F.coalesce(F.col("__tag_rank"), F.lit(0))).cast("long"))
-            .drop("__pos", "__tag_rank"))
+    tagged = range_partitioned(df, [tag, *order], partitions)
+    numbered = _positions(tagged, "__pos")
+    ranks = _tag_ranks(tagged, tag, "__tag_rank").withColumnRenamed(tag, "__rank_tag")
+    joined = numbered.join(ranks, numbered[tag].eqNullSafe(ranks["__rank_tag"]), "left")
+    return (joined.withColumn(out, (F.col("__pos") + F.col("__tag_rank")).cast("long"))
+            .drop("__pos", "__tag_rank", "__rank_tag", _PID, _RIP))
 
 
 def file_order_key(df: DataFrame) -> DataFrame:
     """Columns that reproduce the order rows have in their source files
     (path, byte offset of the split, then the reading order inside it), for
-    R's ``1:n()`` over a freshly read file (WIN-3)."""
+    R's ``1:n()`` over a freshly read file (WIN-3).  Must be applied right
+    after the scan, before any shuffle."""
     return (df.withColumn("__file", F.col("_metadata.file_path"))
               .withColumn("__block", F.col("_metadata.file_block_start"))
               .withColumn("__mono", F.monotonically_increasing_id()))

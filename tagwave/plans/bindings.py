@@ -134,4 +134,4 @@ def landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (F.when((k * 7 + p) % 23 == 0, F.lit("error"))
               .when((k + p) % 9 == 0, F.lit("absent"))
               .otherwise(F.lit("present")))
-    return g.select(k.cast("string").alias("deployid"), p.cast("int").alias("pos"), state.alias("state"))
+    return g.select(k.cast("string").alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))

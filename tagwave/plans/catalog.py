@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.operators import deploy as D
+from tagwave.operators import load as L
 from tagwave.operators import qa as Q
+from tagwave.operators import status as ST
+from tagwave.operators.sequence import surrogate_ids
 from tagwave.plans import bindings as B
 
 # Stand-in known-issue rules for the test tables (deployids there are numbers):
@@ -66,6 +69,59 @@ def q_qa_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("seq", "qa_status", "data_status", "data_explain")
 
 
+# -- loading ----------------------------------------------------------------
+
+def _raw_rows(spark: SparkSession, sf_dir: str, product: S.Product) -> DataFrame:
+    if product.name == "locs":
+        return L.prefer_sources(B.location_sources(spark, sf_dir))
+    return B.product_rows(spark, sf_dir, product.name)
+
+
+def _routing(spark: SparkSession, sf_dir: str):
+    """Eligible tags, landed rows per product position and per-tag outcomes."""
+    tags = D.eligible_tags(B.deployments(spark, sf_dir))
+    rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER}
+    outcomes = ST.tag_outcomes(tags, B.landing_log(spark, sf_dir), ST.row_presence(rows))
+    return tags, rows, outcomes
+
+
+def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _tags, rows, outcomes = _routing(spark, sf_dir)
+        return L.load_product(rows[product.pos], ST.loadable_tags(outcomes, product.pos), product)
+    run.__name__ = f"q_load_{product.name}"
+    return run
+
+
+def q_surrogate_id_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = B.records(spark, sf_dir).select("deployid", "seq")
+    return surrogate_ids(r, "deployid", ["seq"]).select("id", "deployid", "seq")
+
+
+def q_locs_source_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.prefer_sources(B.location_sources(spark, sf_dir)).select("deployid", "seq", "pref")
+
+
+def _status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags, rows, outcomes = _routing(spark, sf_dir)
+    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(outcomes, p.pos))
+              for p in S.LOAD_ORDER}
+    return ST.import_status(tags, loaded, outcomes)
+
+
+def q_import_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status_report(spark, sf_dir)
+
+
+def q_import_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.import_failures(_status_report(spark, sf_dir))
+
+
+def q_import_short_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tags, _rows, outcomes = _routing(spark, sf_dir)
+    return ST.short_circuit_report(outcomes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deploy_eligible": q_deploy_eligible,
     "qa_reset": q_qa_reset,
@@ -75,4 +131,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "qa_known_issues": q_qa_known_issues,
     "qa_locs": q_qa_locs,
     "qa_full": q_qa_full,
+    "surrogate_id_load": q_surrogate_id_load,
+    "load_allmsg": _load(S.ALLMSG),
+    "load_divedepth": _load(S.DIVEDEPTH),
+    "load_diveduration": _load(S.DIVEDURATION),
+    "load_timeatdepth": _load(S.TIMEATDEPTH),
+    "load_timeline": _load(S.TIMELINE),
+    "load_locs": _load(S.LOCS),
+    "locs_source_pref": q_locs_source_pref,
+    "import_status": q_import_status,
+    "import_failures": q_import_failures,
+    "import_short_circuit": q_import_short_circuit,
 }

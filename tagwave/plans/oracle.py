@@ -71,3 +71,101 @@ ORACLES: dict[str, str] = {
         data_explain
       from j""",
 }
+
+
+# -- loading: landing log, products, routing --------------------------------
+TAGS = """tags as (select id as deploy_id, deployid from dep
+  where (deploy_dt <> end_dt) or (deploy_dt is not null and end_dt is null))"""
+
+LAND = """land as (
+  select cast(c_custkey as varchar) as deployid, g.pos,
+    case when (c_custkey * 7 + g.pos) % 23 = 0 then 'error'
+         when (c_custkey + g.pos) % 9 = 0 then 'absent' else 'present' end as state
+  from customer, (select cast(unnest(range(1, 7)) as bigint) as pos) g)"""
+
+PRODUCT_CTES = [
+    "p1 as (select seq, deployid, dt as msg_date, type as msg from rec)",
+    "p2 as (select seq, deployid, dt as divedepth_dt, value as num_dives from rec where type = 'click')",
+    "p3 as (select seq, deployid, dt as diveduration_dt, value as num_dives from rec where type = 'view')",
+    "p4 as (select seq, deployid, dt as tad_start_dt, value as pct_tad from rec where type = 'purchase')",
+    "p5 as (select seq, deployid, 'Percent' as hist_type, dt as timeline_start_dt, value as percent_dry "
+    "from rec where type = 'signup')",
+    """lsrc as (
+  select seq, deployid, dt as date_time, type, 1 as pref from rec
+    where type = 'error' and cast(deployid as int) % 3 = 0
+  union all select seq, deployid, dt as date_time, type, 2 as pref from rec where type = 'view')""",
+    """p6 as (select l.seq, l.deployid, l.date_time, l.type, l.pref from lsrc l
+  join (select deployid, min(pref) as best from lsrc group by 1) b using (deployid)
+  where l.pref = b.best)""",
+]
+
+ROUTING = [
+    "pres as (" + " union all ".join(
+        f"select distinct deployid, cast({i} as bigint) as pos from p{i}" for i in range(1, 7)) + ")",
+    """st as (
+  select t.deploy_id, t.deployid, g.pos,
+    case when l.state is null then 'error'
+         when l.state = 'present' and pr.deployid is null then 'error' else l.state end as state
+  from tags t cross join (select cast(unnest(range(1, 7)) as bigint) as pos) g
+  left join land l on l.deployid = t.deployid and l.pos = g.pos
+  left join pres pr on pr.deployid = t.deployid and pr.pos = g.pos)""",
+    """outc as (
+  select deploy_id, deployid, pos, state,
+    case when pos >= min(case when state = 'error' then pos end) over (partition by deployid, deploy_id)
+           then 'failed'
+         when state = 'absent' then 'missing' else 'loaded' end as outcome
+  from st)""",
+]
+
+LOAD_PRELUDE = _with(DEP, REC, TAGS, LAND, *PRODUCT_CTES, *ROUTING)
+
+_QA_DEFAULT_COLS = "'unreviewed' as qa_status, 'use' as data_status, 'unreviewed' as data_explain"
+
+
+def _load_sql(pos: int, cols: str, qa: bool = True) -> str:
+    extra = f", {_QA_DEFAULT_COLS}" if qa else ""
+    return LOAD_PRELUDE + f"""select row_number() over (order by x.deployid, x.seq)
+        + dense_rank() over (order by x.deployid) as id, o.deploy_id, x.deployid, {cols}{extra}
+      from p{pos} x join outc o on o.deployid = x.deployid and o.pos = {pos} and o.outcome = 'loaded'"""
+
+
+MISSING_TEXT = {
+    1: "no CSV file",
+    2: "no dive depth data in histos CSV file",
+    3: "no dive duration data in histos CSV file",
+    4: "no time at depth data in histos CSV file",
+    5: "no timeline data in histos CSV file",
+    6: "no CSV file",
+}
+DATA_TYPE = {1: "allmsg", 2: "histos_divedepth", 3: "histos_diveduration",
+             4: "histos_timeatdepth", 5: "histos_timeline", 6: "locs"}
+
+_STATUS_PARTS = " union all ".join(
+    f"""select '{DATA_TYPE[i]}' as data_type, deployid, status from (
+      with imp as (select distinct x.deployid from p{i} x
+                   join outc o on o.deployid = x.deployid and o.pos = {i} and o.outcome = 'loaded'),
+      miss as (select deployid from outc where pos = {i} and outcome = 'missing' and deployid <> ''),
+      done as (select deployid, 'imported' as status from imp
+               union all select deployid, '{MISSING_TEXT[i]}' as status from miss)
+      select deployid, status from done
+      union all select deployid, 'failed to import' as status from (
+        select deployid from tags where deployid <> '' except select deployid from done))"""
+    for i in range(1, 7))
+
+ORACLES.update({
+    "surrogate_id_load": _with(REC) + """select row_number() over (order by deployid, seq)
+      + dense_rank() over (order by deployid) as id, deployid, seq from rec""",
+    "load_allmsg": _load_sql(1, "x.msg_date as msg_dt, x.msg", qa=False),
+    "load_divedepth": _load_sql(2, "x.divedepth_dt, x.num_dives"),
+    "load_diveduration": _load_sql(3, "x.diveduration_dt, x.num_dives"),
+    "load_timeatdepth": _load_sql(4, "x.tad_start_dt, x.pct_tad"),
+    "load_timeline": _load_sql(5, "x.hist_type, x.timeline_start_dt, x.percent_dry"),
+    "load_locs": _load_sql(6, "x.date_time as locs_dt, x.type"),
+    "locs_source_pref": _with(REC, PRODUCT_CTES[5], PRODUCT_CTES[6])
+    + "select deployid, seq, pref from p6",
+    "import_status": LOAD_PRELUDE + _STATUS_PARTS,
+    "import_failures": LOAD_PRELUDE + f"select * from ({_STATUS_PARTS}) where status = 'failed to import'",
+    "import_short_circuit": LOAD_PRELUDE + """select deployid, pos,
+      case outcome when 'failed' then 'failed to import' when 'missing' then 'missing'
+           else 'imported' end as status from outc""",
+})
