@@ -51,14 +51,22 @@ def _num_partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def range_partitioned(df: DataFrame, order: Sequence[str | Column],
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, distinct: bool = False) -> DataFrame:
     """Rows range-partitioned and sorted on ``order``, tagged with their
     partition (``__seq_pid``) and 0-based index inside it (``__seq_rip``),
-    checkpointed so the partition boundaries are fixed once."""
+    checkpointed so the partition boundaries are fixed once.
+
+    ``distinct=True`` drops duplicate rows first.  When ``order`` names only
+    columns of ``df``, the range partitioning already clusters equal rows, so
+    the de-duplication runs inside each partition without a second shuffle.
+    """
     keys = _order_exprs(order)
     n = _num_partitions(df, partitions)
     shared_dir(df.sparkSession)  # checkpoint dir: the cluster's, or a test folder
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n, *keys)
+    if distinct:
+        ranged = ranged.distinct()
+    ranged = ranged.sortWithinPartitions(*keys)
     # monotonically_increasing_id() = (partition index << 33) + index in partition
     tagged = (ranged
               .withColumn(_PID, F.spark_partition_id())
@@ -83,14 +91,15 @@ def _positions(tagged: DataFrame, out: str) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, distinct: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ascending,
-    nulls last), like ``row_number() over (order by ...)``.
+    nulls last), like ``row_number() over (order by ...)``; with
+    ``distinct=True`` duplicates are dropped first (``UNION`` semantics).
 
     The order must be total (unique keys) for the numbering to be
     reproducible; add tie-breaking columns otherwise.
     """
-    tagged = range_partitioned(df, order, partitions)
+    tagged = range_partitioned(df, order, partitions, distinct)
     return _positions(tagged, out).drop(_PID, _RIP)
 
 

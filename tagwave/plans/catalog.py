@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.operators import deploy as D
+from tagwave.operators import histogram as H
 from tagwave.operators import load as L
 from tagwave.operators import qa as Q
 from tagwave.operators import status as ST
@@ -122,6 +123,21 @@ def q_import_short_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.short_circuit_report(outcomes)
 
 
+# -- histograms -------------------------------------------------------------
+
+# Only one histogram type is unpivoted by the 24-branch statement.
+UNPIVOT_TYPE = "click"
+
+
+def q_timeline_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = B.wide_histograms(spark, sf_dir).where(F.col("hist_type") == UNPIVOT_TYPE)
+    return H.timeline_unpivot(wide.drop("hist_type"))
+
+
+def q_tidy_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.tidy_timeline(B.wide_histograms(spark, sf_dir), id_col="deployid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deploy_eligible": q_deploy_eligible,
     "qa_reset": q_qa_reset,
@@ -142,4 +158,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_status": q_import_status,
     "import_failures": q_import_failures,
     "import_short_circuit": q_import_short_circuit,
+    "timeline_unpivot": q_timeline_unpivot,
+    "tidy_timeline": q_tidy_timeline,
 }

@@ -169,3 +169,34 @@ ORACLES.update({
       case outcome when 'failed' then 'failed to import' when 'missing' then 'missing'
            else 'imported' end as status from outc""",
 })
+
+
+# -- histograms ---------------------------------------------------------------
+_BIN_AGGS = ",\n    ".join(
+    f"max(value) filter (where hour(ts) = {h}) as bin{h + 1:02d}" for h in range(24))
+WIDE = f"""wide as (
+  select user_id as deploy_id, cast(user_id as varchar) as deployid,
+    cast(date_trunc('day', ts) as timestamp) as hist_dt, event_type as hist_type,
+    {_BIN_AGGS}
+  from events group by 1, 2, 3, 4)"""
+_BIN_LIST = "[" + ", ".join(f"bin{h:02d}" for h in range(1, 25)) + "]"
+HOURS = "(select cast(unnest(range(1, 25)) as bigint) as h) b"
+
+ORACLES.update({
+    "timeline_unpivot": _with(WIDE) + f"""
+      , u as (select distinct deploy_id, deployid, 'Percent' as hist_type,
+          hist_dt + to_hours(b.h - 1) as timeline_start_dt,
+          cast(list_extract({_BIN_LIST}, b.h) as double) as percent_dry
+        from wide, {HOURS} where hist_type = 'click')
+      select row_number() over (order by deploy_id, timeline_start_dt, deployid,
+          percent_dry asc nulls last, hist_type) as id,
+        deploy_id, deployid, hist_type, timeline_start_dt, percent_dry from u""",
+    "tidy_timeline": _with(WIDE) + f"""
+      , u as (select try_cast(deploy_id as int) as deployid, hist_type,
+          hist_dt + to_hours(b.h - 1) as timeline_start_dt,
+          cast(list_extract({_BIN_LIST}, b.h) as double) as percent_dry
+        from wide, {HOURS})
+      select row_number() over (order by deployid asc nulls last, hist_type, timeline_start_dt,
+          percent_dry asc nulls last) as id, deployid, hist_type, timeline_start_dt, percent_dry
+      from u""",
+})
