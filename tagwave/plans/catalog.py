@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
+from tagwave.functions.text import blank_to_null, replace_first_chain
+from tagwave.operators import cleanup as C
 from tagwave.operators import deploy as D
 from tagwave.operators import histogram as H
 from tagwave.operators import load as L
@@ -20,6 +22,10 @@ from tagwave.operators import qa as Q
 from tagwave.operators import status as ST
 from tagwave.operators.sequence import surrogate_ids
 from tagwave.plans import bindings as B
+from tagwave.plans import partner_files as PF
+from tagwave.session import scratch_path
+from tagwave.sources.csv import read_text_csv, write_text_csv
+from tagwave.sources.tables import read_table
 
 # Stand-in known-issue rules for the test tables (deployids there are numbers):
 # a sensor rule from an instant on, and a later location rule on another tag.
@@ -138,6 +144,67 @@ def q_tidy_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.tidy_timeline(B.wide_histograms(spark, sf_dir), id_col="deployid")
 
 
+# -- partner CSV cleanup ----------------------------------------------------
+
+def q_nsb_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.nsb_deploy(PF.read_deploy(spark, sf_dir), with_geom=False)
+
+
+def q_nsb_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.nsb_capture(PF.read_deploy(spark, sf_dir))
+
+
+def q_nsb_histos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.nsb_histos_raw(PF.read_histos(spark, sf_dir), PF.read_deploy(spark, sf_dir))
+
+
+def q_nsb_locs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.nsb_locs(PF.read_locs(spark, sf_dir), PF.read_deploy(spark, sf_dir), with_geom=False)
+
+
+def q_point_geom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = C.nsb_deploy(PF.read_deploy(spark, sf_dir), with_geom=True)
+    g = F.col("geom")
+    return d.select("id", g["x"].alias("x"), g["y"].alias("y"), g["srid"].alias("srid"))
+
+
+def _deploy_expr(header: str) -> str:
+    return dict(PF.deploy_columns("spark"))[header]
+
+
+def q_tag_family_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    model = F.expr(_deploy_expr("tag_model"))
+    return c.select("c_custkey", replace_first_chain(model, S.TAG_FAMILY_RULES).alias("tag_family_lku"))
+
+
+def q_species_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    sp = F.expr(_deploy_expr("Species"))
+    return c.select("c_custkey", replace_first_chain(sp, S.SPECIES_RULES).alias("species_lku"))
+
+
+def q_age_class_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    age = replace_first_chain(F.expr(_deploy_expr("animal_life_stage")), S.AGE_CLASS_RULES)
+    return c.select("c_custkey", blank_to_null(age).alias("age_class_lku"))
+
+
+def q_csv_blank_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land a CSV with empty, ``NA`` and filled fields, read it back as R
+    would, blank -> null on ``photos`` only (``agency`` keeps ``""``)."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    field = (F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(None).cast("string"))
+              .otherwise(F.col("p_type")))
+    path = scratch_path(spark, "blank-rules")
+    write_text_csv(p.select(k.cast("string").alias("p_partkey"), field.alias("photos"),
+                            field.alias("agency")), path)
+    text = read_text_csv(spark, path, header=["p_partkey", "photos", "agency"])
+    out = C.blank_rules(text, ["photos"])
+    return out.select(F.col("p_partkey").cast("long").alias("p_partkey"), "photos", "agency")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deploy_eligible": q_deploy_eligible,
     "qa_reset": q_qa_reset,
@@ -160,4 +227,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_short_circuit": q_import_short_circuit,
     "timeline_unpivot": q_timeline_unpivot,
     "tidy_timeline": q_tidy_timeline,
+    "nsb_deploy": q_nsb_deploy,
+    "nsb_capture": q_nsb_capture,
+    "nsb_histos_raw": q_nsb_histos_raw,
+    "nsb_locs": q_nsb_locs,
+    "point_geom": q_point_geom,
+    "tag_family_norm": q_tag_family_norm,
+    "species_code": q_species_code,
+    "age_class_code": q_age_class_code,
+    "csv_blank_rules": q_csv_blank_rules,
 }

@@ -200,3 +200,129 @@ ORACLES.update({
           percent_dry asc nulls last) as id, deployid, hist_type, timeline_start_dt, percent_dry
       from u""",
 })
+
+
+# -- partner CSV cleanup -------------------------------------------------------
+from tagwave.plans import partner_files as _PF  # noqa: E402
+
+
+def _q(name: str) -> str:
+    return '"' + name + '"'
+
+
+def _txt(c: str) -> str:
+    """R's text field: empty stays '', the text NA is missing."""
+    return f"nullif(coalesce({c}, ''), 'NA')"
+
+
+def _dbl(c: str) -> str:
+    return f"try_cast({_txt(c)} as double)"
+
+
+def _int(c: str) -> str:
+    d = _dbl(c)
+    return f"(case when {d} >= -2147483647 and {d} < 2147483648 then cast(trunc({d}) as integer) end)"
+
+
+def _blank(c: str) -> str:
+    return f"nullif({c}, '')"
+
+
+def _time(c: str, us: bool) -> str:
+    if us:
+        lead = r"^\s*(\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2})"
+        fmt = "%m/%d/%Y %H:%M:%S"
+    else:
+        lead = r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})"
+        fmt = "%Y-%m-%d %H:%M:%S"
+    return f"try_strptime(nullif(regexp_extract({c}, '{lead}', 1), ''), '{fmt}')"
+
+
+def _first(c: str, rules) -> str:
+    for a, b in rules:
+        c = f"regexp_replace({c}, '{a}', '{b}')"
+    return c
+
+
+def _file_cte(name: str, cols, src: str, order: str) -> str:
+    body = ", ".join(f"{expr} as {_q(h)}" for h, expr in cols)
+    return f"{name} as (select row_number() over (order by {order}) as id, {body} from {src})"
+
+
+DEPLOY_FILE = _file_cte("dfile", _PF.deploy_columns("duck"), "customer", "c_custkey")
+HISTOS_FILE = _file_cte("hfile", _PF.histos_columns("duck"), "wide", "deploy_id, hist_dt, hist_type")
+LOCS_FILE = _file_cte("lfile", _PF.locs_columns("duck"), "events", "event_id")
+DEPLOY_KEYS = f"dkeys as (select id as deploy_id, {_int(_q('PTT'))} as ptt from dfile)"
+
+_TAG_FAMILY = [("Mk10", "MK10"), ("Splash", "SPLA")]
+_SPECIES = [("BeardedSeal", "Eb"), ("RingedSeal", "Ph"), ("SpottedSeal", "Pl")]
+_AGE = [("Juv", "SUB"), ("Adult", "ADT"), ("Pup", "PUP"), ("Pup/Juv", "PSA")]
+
+NSB_DEPLOY_SELECT = f"""select id, id as capture_id, {_int(_q('PTT'))} as deployid, {_int(_q('PTT'))} as ptt,
+    {_first(_txt('tag_model'), _TAG_FAMILY)} as tag_family_lku,
+    {_txt('tag_manufacturer_name')} as tag_manufacturer, {_txt('power_source')} as tag_power,
+    {_txt('location_algorithms')} as location_alg,
+    {_time(_txt('deploy_on_timestamp'), True)} as deploy_dt, {_txt('deploy_location')} as deploy_loc,
+    {_dbl('deploy_on_latitude')} as deploy_lat, {_dbl('deploy_on_longitude')} as deploy_long,
+    {_txt('attachment_type')} as attachment_type,
+    {_time(_txt('deploy_off_timestamp'), True)} as end_dt, {_txt('deployment_end_type')} as end_type,
+    {_blank(_txt('mortality_type'))} as end_mortality_type
+  from dfile"""
+
+ORACLES.update({
+    "nsb_deploy": _with(DEPLOY_FILE) + NSB_DEPLOY_SELECT,
+    "point_geom": _with(DEPLOY_FILE) + f"""select id,
+        case when deploy_lat is null or deploy_long is null then null else deploy_long end as x,
+        case when deploy_lat is null or deploy_long is null then null else deploy_lat end as y,
+        case when deploy_lat is null or deploy_long is null then null else 4326 end as srid
+      from ({NSB_DEPLOY_SELECT})""",
+    "nsb_capture": _with(DEPLOY_FILE) + f"""select id, {_txt('Animal_ID')} as speno,
+        {_first(_txt('Species'), _SPECIES)} as species_lku, {_txt('animal_sex')} as sex_lku,
+        {_blank(_first(_txt('animal_life_stage'), _AGE))} as age_class_lku, {_txt('Fate')} as fate,
+        {_dbl('animal_mass_kg')} as final_mass_kg, {_blank(_txt('CLAW_BANDS'))} as claw_bands,
+        {_dbl('LENGTH_STRAIGHT')} as std_length_cm, {_dbl('LENGTH_CURVED')} as curv_length_cm,
+        {_dbl('GIRTH_AX')} as ax_girth_cm,
+        case when {_txt('CAPTURE_AREA')} = 'open wate' then 'open water' else {_txt('CAPTURE_AREA')} end
+          as capture_area,
+        {_txt('CAPTURE_METHOD')} as capture_method, {_txt('FLIPPER_ID_TAG')} as flipper_tag,
+        {_blank(_txt('FLIPPER_ID_TAG_COLOR'))} as flipper_tag_color,
+        {_blank(_txt('FLIPPER_ID_TAG_SIDE'))} as flipper_tag_side, {_blank(_txt('UME'))} as ume,
+        {_txt('AGENCY')} as agency, {_txt('CREW')} as crew, {_blank(_txt('PHOTOS'))} as photos,
+        {_txt('ADDITIONAL_NOTES')} as capture_notes
+      from dfile""",
+    "nsb_histos_raw": _with(WIDE, HISTOS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select h.id, k.deploy_id,
+        {_txt(_q('DeployID'))} as deployid, {_txt(_q('Source'))} as source,
+        {_txt(_q('HistType'))} as hist_type, {_time(_txt(_q('Date')), False)} as hist_dt,
+        {_dbl(_q('Time Offset'))} as time_offset, {_int(_q('Count'))} as hist_count,
+        {_int(_q('NumBins'))} as num_bins, {_dbl(_q('Sum'))} as hist_sum,
+        {", ".join(f"{_dbl(_q(f'Bin{i}'))} as bin{i:02d}" for i in range(1, 25))}
+      from hfile h left join dkeys k on {_int('h.' + _q('Ptt'))} is not distinct from k.ptt""",
+    "nsb_locs": _with(LOCS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select l.id, k.deploy_id,
+        {_txt(_q('tag-local-identifier'))} as deployid, {_time(_txt(_q('timestamp')), False)} as loc_dt,
+        {_dbl(_q('location-lat'))} as loc_lat, {_dbl(_q('location-long'))} as loc_long,
+        {_blank(_txt(_q('algorithm-marked-outlier')))} as alg_marked_outlier,
+        {_dbl(_q('argos-altitude'))} as argos_altitude, {_int(_q('argos-best-level'))} as argos_best_level,
+        {_dbl(_q('argos-calcul-freq'))} as argos_calc_freq, {_int(_q('argos-iq'))} as argos_iq,
+        {_dbl(_q('argos-lat1'))} as argos_lat1, {_dbl(_q('argos-lon1'))} as argos_long1,
+        {_dbl(_q('argos-lat2'))} as argos_lat2, {_dbl(_q('argos-lon2'))} as argos_long2,
+        {_txt(_q('argos-lc'))} as argos_lc, {_int(_q('argos-nb-mes'))} as argos_nb_mes,
+        {_int(_q('argos-nb-mes-120'))} as argos_nb_mes_120, {_int(_q('argos-nopc'))} as argos_nopc,
+        {_int(_q('argos-pass-duration'))} as argos_pass_duration,
+        {_int(_q('argos-sensor-1'))} as argos_sensor1, {_int(_q('argos-sensor-2'))} as argos_sensor2,
+        {_int(_q('argos-sensor-3'))} as argos_sensor3, {_int(_q('argos-sensor-4'))} as argos_sensor4,
+        {_int(_q('argos-valid-location-algorithm'))} as argos_valid_loc_alg,
+        {_blank(_txt(_q('manually-marked-valid')))} as manual_valid, {_txt(_q('sensor-type'))} as sensor_type
+      from lfile l left join dkeys k on {_int('l.' + _q('tag-local-identifier'))} is not distinct from k.ptt""",
+    "tag_family_norm": f"""select c_custkey,
+        {_first(dict(_PF.deploy_columns('duck'))['tag_model'], _TAG_FAMILY)} as tag_family_lku
+      from customer""",
+    "species_code": f"""select c_custkey,
+        {_first(dict(_PF.deploy_columns('duck'))['Species'], _SPECIES)} as species_lku from customer""",
+    "age_class_code": f"""select c_custkey,
+        {_blank(_first(dict(_PF.deploy_columns('duck'))['animal_life_stage'], _AGE))} as age_class_lku
+      from customer""",
+    "csv_blank_rules": """select p_partkey,
+        case p_partkey % 3 when 0 then null when 1 then null else p_type end as photos,
+        case p_partkey % 3 when 0 then '' when 1 then null else p_type end as agency
+      from part""",
+})
