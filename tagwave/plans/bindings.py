@@ -135,3 +135,31 @@ def landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when((k + p) % 9 == 0, F.lit("absent"))
               .otherwise(F.lit("present")))
     return g.select(k.cast("string").alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))
+
+
+def tag_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export metadata (one row per order): ``action_lku`` I/U/D from the
+    order status, times as zone-less Vancouver wall times."""
+    o = read_table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    start = F.col("o_orderdate").cast("timestamp_ntz")
+    stop = F.timestamp_add("HOUR", (k % 24) + F.lit(720), start)
+    return o.select(
+        F.when(F.col("o_orderstatus") == "F", "I").when(F.col("o_orderstatus") == "O", "U")
+         .otherwise("D").alias("action_lku"),
+        F.concat(F.lit("pi"), (c % 10).cast("string"), F.lit("@example.org")).alias("piemail"),
+        F.lit("data@example.org").alias("datamanageremail"),
+        F.concat(F.lit("maker "), (k % 3).cast("string")).alias("tagmanufacturer"),
+        F.col("o_orderpriority").alias("tagmodel"),
+        F.concat(F.lit("SN"), k.cast("string")).alias("tagserialnumber"),
+        F.lit("pressure, wet/dry").alias("sensors"),
+        c.alias("pttid"),
+        (c % 7 + 1000).alias("argosprogramnum"),
+        k.cast("string").alias("deploymentid"),
+        start.alias("deploymentstartdate"),
+        stop.alias("deploymentstopdate"),
+        (F.col("o_totalprice") / 10000.0).alias("deploymentlatitude"),
+        F.lit(-150.5).alias("deploymentlongitude"),
+        F.lit("Eb").alias("species"),
+        F.concat(F.lit("A"), c.cast("string")).alias("animalid"),
+    )

@@ -16,6 +16,7 @@ from tagwave import schemas as S
 from tagwave.functions.text import blank_to_null, replace_first_chain
 from tagwave.operators import cleanup as C
 from tagwave.operators import deploy as D
+from tagwave.operators import export as X
 from tagwave.operators import histogram as H
 from tagwave.operators import load as L
 from tagwave.operators import qa as Q
@@ -205,6 +206,12 @@ def q_csv_blank_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("p_partkey").cast("long").alias("p_partkey"), "photos", "agency")
 
 
+# -- export -------------------------------------------------------------------
+
+def q_atn_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.export_rows(B.tag_details(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deploy_eligible": q_deploy_eligible,
     "qa_reset": q_qa_reset,
@@ -236,4 +243,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "species_code": q_species_code,
     "age_class_code": q_age_class_code,
     "csv_blank_rules": q_csv_blank_rules,
+    "atn_export": q_atn_export,
 }

@@ -326,3 +326,25 @@ ORACLES.update({
         case p_partkey % 3 when 0 then '' when 1 then null else p_type end as agency
       from part""",
 })
+
+
+# -- export ----------------------------------------------------------------------
+ORACLES["atn_export"] = """
+  with d as (select
+      case o_orderstatus when 'F' then 'I' when 'O' then 'U' else 'D' end as action_lku,
+      'pi' || cast(o_custkey % 10 as varchar) || '@example.org' as piemail,
+      'data@example.org' as datamanageremail,
+      'maker ' || cast(o_orderkey % 3 as varchar) as tagmanufacturer,
+      o_orderpriority as tagmodel, 'SN' || cast(o_orderkey as varchar) as tagserialnumber,
+      'pressure, wet/dry' as sensors, o_custkey as pttid, o_custkey % 7 + 1000 as argosprogramnum,
+      cast(o_orderkey as varchar) as deploymentid, o_orderdate as deploymentstartdate,
+      o_orderdate + to_hours(o_orderkey % 24 + 720) as deploymentstopdate,
+      o_totalprice / 10000.0 as deploymentlatitude, -150.5 as deploymentlongitude,
+      'Eb' as species, 'A' || cast(o_custkey as varchar) as animalid
+    from orders)
+  select piemail, datamanageremail, tagmanufacturer, tagmodel, tagserialnumber, sensors, pttid,
+    argosprogramnum, deploymentid,
+    (deploymentstartdate at time zone 'America/Vancouver') at time zone 'UTC' as deploymentstartdate,
+    (deploymentstopdate at time zone 'America/Vancouver') at time zone 'UTC' as deploymentstopdate,
+    deploymentlatitude, cast(deploymentlongitude as double) as deploymentlongitude, species, animalid
+  from d where action_lku = 'I'"""
