@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
+from tagwave.operators.joins import bounded_broadcast
 from tagwave.operators.sequence import surrogate_ids
 
 
@@ -24,9 +25,10 @@ def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref"
     ``all_locations`` when the tag has it, else ``locations``; never mixed).
 
     The per-tag minimum is a partial aggregate (one row per tag and map
-    task crosses the shuffle), joined back on the tag.
+    task crosses the shuffle), joined back on the tag: broadcast when a
+    count shows the per-tag table is small, else a skew-aware sort-merge join.
     """
-    best = sources.groupBy(key).agg(F.min(pref).alias("__best"))
+    best = bounded_broadcast(sources.groupBy(key).agg(F.min(pref).alias("__best")))
     return (sources.join(best, key, "inner")
             .where(F.col(pref) == F.col("__best")).drop("__best"))
 
@@ -36,9 +38,10 @@ def attach_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
 
     Every tag's download only holds that tag, so the upstream left join on
     ``deployid`` becomes an inner join with the loadable tags; a deployid
-    listed twice fans out exactly as the upstream join does.
+    listed twice fans out exactly as the upstream join does.  The tag table
+    is broadcast after a size check, so the rows are never shuffled for it.
     """
-    return rows.join(tags.select("deploy_id", "deployid"), "deployid", "inner")
+    return rows.join(bounded_broadcast(tags.select("deploy_id", "deployid")), "deployid", "inner")
 
 
 def shape(df: DataFrame, product: S.Product) -> DataFrame:

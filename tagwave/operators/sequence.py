@@ -31,6 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagwave.operators.joins import bounded_broadcast
 from tagwave.session import shared_dir
 
 _PID = "__seq_pid"
@@ -125,13 +126,13 @@ def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id"
     """Ids the per-tag append loop would give: tags processed in ascending
     ``tag`` order, rows of a tag in ``order``; ``id = position + tag rank``.
 
-    The tag-rank table has one row per tag; it is joined (null-safe) without
-    a broadcast hint, so AQE broadcasts it when it is small at run time and
-    otherwise keeps a sort-merge join whose skewed partitions it splits.
+    The tag-rank table has one row per tag; it is broadcast only after a row
+    count shows it is small (``joins.bounded_broadcast``), else joined with a
+    skew-aware sort-merge join.
     """
     tagged = range_partitioned(df, [tag, *order], partitions)
     numbered = _positions(tagged, "__pos")
-    ranks = _tag_ranks(tagged, tag, "__tag_rank").withColumnRenamed(tag, "__rank_tag")
+    ranks = bounded_broadcast(_tag_ranks(tagged, tag, "__tag_rank").withColumnRenamed(tag, "__rank_tag"))
     joined = numbered.join(ranks, numbered[tag].eqNullSafe(ranks["__rank_tag"]), "left")
     return (joined.withColumn(out, (F.col("__pos") + F.col("__tag_rank")).cast("long"))
             .drop("__pos", "__tag_rank", "__rank_tag", _PID, _RIP))

@@ -85,17 +85,20 @@ def _raw_rows(spark: SparkSession, sf_dir: str, product: S.Product) -> DataFrame
     return B.product_rows(spark, sf_dir, product.name)
 
 
-def _routing(spark: SparkSession, sf_dir: str):
-    """Eligible tags, landed rows per product position and per-tag outcomes."""
+def _routing(spark: SparkSession, sf_dir: str, upto: int = len(S.LOAD_ORDER)):
+    """Eligible tags, landed rows per product position and per-tag outcomes
+    for positions ``1..upto`` (a position's outcome depends on earlier
+    positions only, so later products are not even scanned)."""
     tags = D.eligible_tags(B.deployments(spark, sf_dir))
-    rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER}
-    outcomes = ST.tag_outcomes(tags, B.landing_log(spark, sf_dir), ST.row_presence(rows))
+    rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER if p.pos <= upto}
+    landing = B.landing_log(spark, sf_dir).where(F.col("pos") <= upto)
+    outcomes = ST.tag_outcomes(tags, landing, ST.row_presence(rows), n_products=upto)
     return tags, rows, outcomes
 
 
 def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _tags, rows, outcomes = _routing(spark, sf_dir)
+        _tags, rows, outcomes = _routing(spark, sf_dir, upto=product.pos)
         return L.load_product(rows[product.pos], ST.loadable_tags(outcomes, product.pos), product)
     run.__name__ = f"q_load_{product.name}"
     return run
