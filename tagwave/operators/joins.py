@@ -2,9 +2,10 @@
 
 Spark broadcasts a join side on its own only when it can estimate the size
 statically (files) or at run time (AQE, after the shuffle of both sides has
-already been written).  A derived table read from a checkpoint has no
-estimate at all, so the big side would be shuffled first.  Here such a side
-is materialized once (reliable checkpoint), counted, and hinted for
+already been written).  A table derived through aggregates, windows and
+explodes gets a poor static estimate, so the big side could be shuffled
+first or even broadcast in its place.  Here such a side
+is staged once (parquet in the shared folder), counted, and hinted for
 broadcast only under a row bound; beyond it the join stays a sort-merge join
 whose skewed partitions AQE splits.
 """
@@ -14,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagwave.operators.stage import stage
+
 # About 64 MB for the narrow (key, value) tables joined here.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
@@ -27,5 +30,5 @@ def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFram
     """``small`` materialized and broadcast-hinted if it has at most
     ``max_rows`` rows, else materialized only."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(small)
-    small = small.checkpoint(eager=True)
+    small = stage(small, "dim")
     return F.broadcast(small) if small.count() <= limit else small

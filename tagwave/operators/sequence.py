@@ -11,8 +11,10 @@ partition, a proven bound, so it is the only thing broadcast.
 The range bounds come from a sample of the input, and the counts and the
 numbering are two reads of the partitioned rows.  To make both reads see the
 same partitions -- also when an executor is lost and work is recomputed --
-the partitioned rows are checkpointed once (reliably, into the folder the
-cluster names in ``spark.checkpoint.dir``) before they are counted.
+the partitioned rows, with their partition index and position inside it as
+columns, are staged once as parquet in the folder the cluster names in
+``spark.checkpoint.dir`` (``operators.stage``).  The counting passes then
+read two narrow columns, not the rows.
 
 Two numberings are built on it:
 
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwave.operators.joins import bounded_broadcast
-from tagwave.session import shared_dir
+from tagwave.operators.stage import stage
 
 _PID = "__seq_pid"
 _RIP = "__seq_rip"
@@ -55,7 +57,7 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column],
                       partitions: int | None = None, distinct: bool = False) -> DataFrame:
     """Rows range-partitioned and sorted on ``order``, tagged with their
     partition (``__seq_pid``) and 0-based index inside it (``__seq_rip``),
-    checkpointed so the partition boundaries are fixed once.
+    staged so the partition boundaries are fixed once.
 
     ``distinct=True`` drops duplicate rows first.  When ``order`` names only
     columns of ``df``, the range partitioning already clusters equal rows, so
@@ -63,7 +65,6 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column],
     """
     keys = _order_exprs(order)
     n = _num_partitions(df, partitions)
-    shared_dir(df.sparkSession)  # checkpoint dir: the cluster's, or a test folder
     ranged = df.repartitionByRange(n, *keys)
     if distinct:
         ranged = ranged.distinct()
@@ -73,7 +74,7 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column],
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_RIP, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    return tagged.checkpoint(eager=True)
+    return stage(tagged, "ranged")
 
 
 def _prefix_offsets(counts: DataFrame, key: str, cnt: str, out: str) -> DataFrame:

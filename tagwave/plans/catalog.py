@@ -22,6 +22,7 @@ from tagwave.operators import load as L
 from tagwave.operators import qa as Q
 from tagwave.operators import status as ST
 from tagwave.operators.sequence import surrogate_ids
+from tagwave.operators.stage import stage
 from tagwave.plans import bindings as B
 from tagwave.plans import partner_files as PF
 from tagwave.session import scratch_path
@@ -92,7 +93,9 @@ def _routing(spark: SparkSession, sf_dir: str, upto: int = len(S.LOAD_ORDER)):
     tags = D.eligible_tags(B.deployments(spark, sf_dir))
     rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER if p.pos <= upto}
     landing = B.landing_log(spark, sf_dir).where(F.col("pos") <= upto)
-    outcomes = ST.tag_outcomes(tags, landing, ST.row_presence(rows), n_products=upto)
+    # One row per (tag, position): staged once, read by every product's load.
+    outcomes = stage(ST.tag_outcomes(tags, landing, ST.row_presence(rows), n_products=upto),
+                     "outcomes")
     return tags, rows, outcomes
 
 
