@@ -229,3 +229,12 @@ def blank_rules(text: DataFrame, blank_null: list[str]) -> DataFrame:
     blank -> null on the listed columns only (FN-5)."""
     out = text.select(*[r_text(col(c)).alias(c) for c in text.columns])
     return out.withColumns({c: blank_to_null(F.col(c)) for c in blank_null if c in out.columns})
+
+
+def histogram_wide(histos_text: DataFrame) -> DataFrame:
+    """A histogram file as a typed wide table: ``deployid`` (text),
+    ``hist_type``, ``hist_dt`` (parsed as UTC), ``bin01..bin24``; the input of
+    the tidy timeline."""
+    t = _renamed(histos_text, HISTOS_RENAMES)
+    t = t.withColumn("hist_dt", parse_r_time(F.col("hist_dt"), S.NSB_LOCS_TIME_FORMAT))
+    return t.select("deployid", "hist_type", "hist_dt", *S.BIN_COLUMNS)

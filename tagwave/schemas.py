@@ -143,13 +143,26 @@ LOCS = Product(
 # the table; its "time" column for the QA rules is `end_dt`.
 BEHAV = Product(
     "behav", 7, "tbl_wc_behav", "end_dt", MISSING_CSV,
-    renames={"count": "behav_count", "start": "start_dt", "end": "end_dt"},
+    renames={"count": "message_count", "start": "start_dt", "end": "end_dt"},
     columns=("id", "deploy_id", "deployid", "ptt", "depth_sensor", "source", "instr",
-             "behav_count", "start_dt", "end_dt", "what", "number", "shape", "depth_min",
+             "message_count", "start_dt", "end_dt", "what", "number", "shape", "depth_min",
              "depth_max", "duration_min", "duration_max", "shallow", "deep",
              "qa_status", "data_status", "data_explain"),
 )
 
+# ---------------------------------------------------------------------------
+# Names of the products inside one tag's download, and the
+# location sources in order of preference.
+# ---------------------------------------------------------------------------
+LANDED_NAMES = {
+    "allmsg": "messages",
+    "histos_divedepth": "dive_depths",
+    "histos_diveduration": "dive_durations",
+    "histos_timeatdepth": "time_depth",
+    "histos_timeline": "timelines",
+}
+LOCATION_SOURCES = ["all_locations", "locations"]
+
 # Load order of the per-tag loop (positions 1..6).
 LOAD_ORDER = [ALLMSG, DIVEDEPTH, DIVEDURATION, TIMEATDEPTH, TIMELINE, LOCS]
 PRODUCTS = {p.name: p for p in LOAD_ORDER + [BEHAV]}

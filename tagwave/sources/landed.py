@@ -9,19 +9,32 @@ supplies ``deployid`` (and prunes tags when a filter names them).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
 
 def read_product(spark: SparkSession, root: str, product: str,
-                 schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """All tags' rows of one product: ``<root>/<product>/deployid=*/``."""
-    reader = spark.read.format(fmt).option("basePath", f"{root.rstrip('/')}/{product}")
+                 schema: StructType | None = None, fmt: str = "parquet") -> DataFrame | None:
+    """All tags' rows of one product: ``<root>/<product>/deployid=*/``, with
+    ``deployid`` kept as text (``007`` stays ``007``).  ``None`` when no tag
+    landed the product at all."""
+    base = f"{root.rstrip('/')}/{product}"
+    reader = spark.read.format(fmt).option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.load(f"{root.rstrip('/')}/{product}/deployid=*")
+    before = spark.conf.get(_INFER, "true")
+    spark.conf.set(_INFER, "false")  # partition values resolve when the DataFrame is created
+    try:
+        return reader.load(f"{base}/deployid=*")
+    except AnalysisException:
+        return None
+    finally:
+        spark.conf.set(_INFER, before)
 
 
 def write_product(df: DataFrame, root: str, product: str, mode: str = "overwrite") -> None:
