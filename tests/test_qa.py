@@ -126,3 +126,25 @@ def test_single_steps(spark):
     assert {r.id for r in Q.flag_before(recs, deps, "locs_dt").collect()} == {1}
     assert {r.id for r in Q.flag_after(recs, deps, "locs_dt").collect()} == {3}
     assert Q.reset(recs).where(F.col("qa_status") != "unreviewed").count() == 0
+
+
+def test_registry_tables_with_real_fault_list(spark):
+    deps = spark.createDataFrame(
+        [(1, "EB2009_3000_09S0188", D(2009, 10, 1), None),
+         (2, "HF2010_1007_06L0129", D(2010, 4, 1), D(2010, 9, 1))], DEP_SCHEMA)
+    tl = spark.createDataFrame(
+        [(1, "EB2009_3000_09S0188", D(2010, 4, 1)), (2, "EB2009_3000_09S0188", D(2010, 3, 31, 23)),
+         (3, "HF2010_1007_06L0129", D(2010, 4, 2))],
+        "id long, deployid string, timeline_start_dt timestamp_ntz")
+    got = {r.id: (r.qa_status, r.data_explain) for r in Q.qa_table(tl, deps, S.TIMELINE).collect()}
+    assert got == {1: (S.QA_REVIEWED, S.EXPLAIN_BAD_SENSOR), 2: (S.QA_ACTIVE, S.EXPLAIN_UNREVIEWED),
+                   3: (S.QA_UNREVIEWED, S.EXPLAIN_UNREVIEWED)}
+    locs = spark.createDataFrame(
+        [(1, "HF2010_1007_06L0129", D(2010, 5, 11, 12, 49, 1), "Argos"),
+         (2, "HF2010_1007_06L0129", D(2010, 3, 1), "User"),
+         (3, "HF2010_1007_06L0129", D(2010, 3, 1), "Argos")], REC_SCHEMA)
+    got = {r.id: r.data_explain for r in Q.qa_table(locs, deps, S.LOCS).collect()}
+    assert got == {1: S.EXPLAIN_BAD_LOCATION, 2: S.EXPLAIN_UNREVIEWED, 3: S.EXPLAIN_BEFORE}
+    behav = spark.createDataFrame([(1, "HF2010_1007_06L0129", D(2010, 10, 1))],
+                                  "id long, deployid string, end_dt timestamp_ntz")
+    assert Q.qa_table(behav, deps, S.BEHAV).first().data_explain == S.EXPLAIN_AFTER
