@@ -5,22 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Leading "<digits><sep>...<digits>:<digits>:<digits>" of a text time; R's
-# strptime ignores whatever follows the format (".000", " UTC", ...).
-_LEADING = {
-    "M/d/yyyy H:mm:ss": r"^\s*(\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2})",
-    "yyyy-M-d H:mm:ss": r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})",
+# Leading date-time of a text field for each supported format: the regex
+# captures the fields, the tuple says which group is year, month, day, hour,
+# minute, second.  R's strptime accepts one- or two-digit fields and ignores
+# whatever follows the format (".000", " UTC", ...); so do these.
+_FORMATS = {
+    "M/d/yyyy H:mm:ss": (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}):(\d{1,2})",
+                         (3, 1, 2, 4, 5, 6)),
+    "yyyy-M-d H:mm:ss": (r"^\s*(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})",
+                         (1, 2, 3, 4, 5, 6)),
 }
 
 
 def parse_r_time(c: Column, fmt: str) -> Column:
     """``as.POSIXct(x, format=...)`` read as UTC wall time: one- and two-digit
-    fields parse, trailing text is ignored, blank or malformed text is null.
-    Returns ``timestamp_ntz``."""
-    lead = _LEADING.get(fmt)
-    text = F.regexp_extract(c, lead, 1) if lead else c
-    text = F.nullif(text, F.lit(""))
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    fields parse, trailing text is ignored, blank, malformed or impossible
+    values (month 13, 30 February) are null.  Returns ``timestamp_ntz``.
+
+    The value is assembled from its fields (``try_make_timestamp_ntz``), so
+    it never passes through the session time zone.
+    """
+    if fmt not in _FORMATS:
+        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    pattern, order = _FORMATS[fmt]
+    part = [F.regexp_extract(c, pattern, g).try_cast("int") for g in order]
+    year, month, day, hour, minute, second = part
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(8,6)"))
 
 
 def add_hours(ts: Column, hours: Column) -> Column:

@@ -73,3 +73,14 @@ def test_point(spark):
     assert rows[1].p is None and rows[2].p is None
     txt = df.select(point_ewkt(make_point(F.col("lon"), F.col("lat")))).first()[0]
     assert txt == "SRID=4326;POINT(-150.5 70.25)"
+
+
+def test_parse_ignores_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = _one(spark, lambda c: parse_r_time(c, S.NSB_DEPLOY_TIME_FORMAT),
+                   ["3/13/2016 2:30:00", "2/30/2016 1:00:00", "13/1/2016 1:00:00", "1/2/2016 3:4:5"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [dt.datetime(2016, 3, 13, 2, 30), None, None, dt.datetime(2016, 1, 2, 3, 4, 5)]
