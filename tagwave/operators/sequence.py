@@ -47,6 +47,18 @@ def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
+def _float_free_prefix(df: DataFrame, order: Sequence[str | Column]) -> list[str]:
+    """Leading names in ``order`` up to the first floating-point column (or
+    expression)."""
+    types = dict(df.dtypes)
+    out = []
+    for c in order:
+        if not isinstance(c, str) or types.get(c) in ("double", "float"):
+            break
+        out.append(c)
+    return out
+
+
 def _num_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return int(partitions)
@@ -59,15 +71,25 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column],
     partition (``__seq_pid``) and 0-based index inside it (``__seq_rip``),
     staged so the partition boundaries are fixed once.
 
-    ``distinct=True`` drops duplicate rows first.  When ``order`` names only
-    columns of ``df``, the range partitioning already clusters equal rows, so
-    the de-duplication runs inside each partition without a second shuffle.
+    ``distinct=True`` drops duplicate rows first.  The range partitioning is
+    then done on the longest prefix of ``order`` without floating-point
+    columns: equal rows share that prefix, so they meet in one partition and
+    the de-duplication runs there without a second shuffle.  (Spark groups
+    floating-point keys on a normalized value, which a partitioning on the
+    raw column does not satisfy, so including one would make the planner add
+    a hash exchange and lose the range order.)  Without such a prefix the
+    rows are de-duplicated in a shuffle of their own first.
     """
     keys = _order_exprs(order)
     n = _num_partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *keys)
     if distinct:
-        ranged = ranged.distinct()
+        prefix = _float_free_prefix(df, order)
+        if prefix:
+            ranged = df.repartitionByRange(n, *_order_exprs(prefix)).distinct()
+        else:
+            ranged = df.distinct().repartitionByRange(n, *keys)
+    else:
+        ranged = df.repartitionByRange(n, *keys)
     ranged = ranged.sortWithinPartitions(*keys)
     # monotonically_increasing_id() = (partition index << 33) + index in partition
     tagged = (ranged

@@ -60,3 +60,19 @@ def test_hot_key_is_split_across_partitions(spark):
     assert parts > 1
     r = ids.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.countDistinct("id").alias("n")).first()
     assert r.n == 40000 and r.lo == 2 and r.hi == 40000 + 51
+
+
+def test_distinct_numbering_with_float_keys_many_partitions(spark):
+    # duplicates, nulls and a double in the key: ids must follow the full order
+    # however many partitions are used (the de-duplication must not re-shuffle)
+    base = spark.range(0, 3000).select(
+        (F.col("id") % 37).alias("a"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") % 7) / 2.0).alias("x"),
+        (F.col("id") % 5).cast("string").alias("s"))
+    df = base.unionByName(base)
+    got = global_row_number(df, ["a", "s", "x"], out="rn", partitions=64, distinct=True)
+    from pyspark.sql import Window
+    w = Window.orderBy(F.col("a").asc_nulls_last(), F.col("s").asc_nulls_last(), F.col("x").asc_nulls_last())
+    expected = df.distinct().withColumn("rn", F.row_number().over(w).cast("long"))
+    assert got.count() == expected.count()
+    assert got.exceptAll(expected.select(got.columns)).count() == 0
