@@ -143,9 +143,15 @@ def _renamed(df: DataFrame, renames: dict, keep: list[str] | None = None) -> Dat
     return df.select(*(keep or []), *cols)
 
 
+FILE_ROW = "__file_row"
+
+
 def number_file_rows(df: DataFrame, out: str = "id") -> DataFrame:
     """``mutate(id = 1:n())`` on a freshly read file (WIN-3).  Apply to the
-    scan output, before any shuffle."""
+    scan output, before any shuffle.  A frame already numbered with
+    ``out=FILE_ROW`` (e.g. staged once for several tables) keeps its numbers."""
+    if FILE_ROW in df.columns:
+        return df if out == FILE_ROW else df.withColumnRenamed(FILE_ROW, out)
     return global_row_number(file_order_key(df), FILE_ORDER, out=out).drop(*FILE_ORDER)
 
 
