@@ -3,8 +3,8 @@ tables (PRJ-8..PRJ-12, FN-1..FN-9, JOIN-2, JOIN-3, WIN-3).
 
 Inputs are text DataFrames as ``sources.csv.read_text_csv`` returns them
 (R-style header names).  Row ids are the row's position in its file
-(R's ``1:n()`` right after the read), computed with the distributed
-numbering of ``operators.sequence`` over the file-order key.
+(R's ``1:n()`` right after the read), computed without a shuffle by
+``operators.sequence.file_row_number``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from tagwave.functions.casts import r_as_integer, try_double
 from tagwave.functions.geo import make_point
 from tagwave.functions.text import blank_to_null, exact_fix, r_text, replace_first_chain
 from tagwave.functions.timefmt import parse_r_time
-from tagwave.operators.sequence import FILE_ORDER, file_order_key, global_row_number
+from tagwave.operators.joins import bounded_broadcast
+from tagwave.operators.sequence import file_row_number
 from tagwave.sources.csv import col
 
 # ---------------------------------------------------------------------------
@@ -152,14 +153,17 @@ def number_file_rows(df: DataFrame, out: str = "id") -> DataFrame:
     ``out=FILE_ROW`` (e.g. staged once for several tables) keeps its numbers."""
     if FILE_ROW in df.columns:
         return df if out == FILE_ROW else df.withColumnRenamed(FILE_ROW, out)
-    return global_row_number(file_order_key(df), FILE_ORDER, out=out).drop(*FILE_ORDER)
+    return file_row_number(df, out=out)
 
 
 def deploy_keys(deploy_text: DataFrame) -> DataFrame:
     """``(deploy_id, ptt)`` of the partner deployment file: its row id and tag
     number, the key the histogram and location files join on."""
     d = number_file_rows(deploy_text)
-    return d.select(F.col("id").alias("deploy_id"), r_as_integer(r_text(col("PTT"))).alias("ptt"))
+    keys = d.select(F.col("id").alias("deploy_id"), r_as_integer(r_text(col("PTT"))).alias("ptt"))
+    # one row per deployment: broadcast after a size check, so the histogram
+    # and location rows are never shuffled for this join
+    return bounded_broadcast(keys)
 
 
 def nsb_deploy(deploy_text: DataFrame, with_geom: bool = True) -> DataFrame:

@@ -18,7 +18,8 @@ read two narrow columns, not the rows.
 
 Two numberings are built on it:
 
-* ``global_row_number`` -- WIN-1 / WIN-3: 1-based position in a total order.
+* ``global_row_number`` -- WIN-1: 1-based position in a total order.
+* ``file_row_number`` -- WIN-3: position in file order, without any shuffle.
 * ``surrogate_ids`` -- WIN-2: the ids the per-tag load loop produces.  The loop
   reads ``max(id)`` before each tag (1 when the table is empty, else max+1)
   and assigns ``1..n + base``; its closed form is
@@ -161,6 +162,32 @@ def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id"
             .drop("__pos", "__tag_rank", "__rank_tag", _PID, _RIP))
 
 
+def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
+    """1-based position of each row in its files' order (R's ``1:n()`` right
+    after reading: files by path, then by byte offset, then line order),
+    without moving any row.
+
+    Each input split is read by one task from start to end, so its rows get
+    consecutive ``monotonically_increasing_id`` values.  A table with one row
+    per split -- path, block start, first id, row count; bounded by the
+    number of splits, not rows -- gives every split its offset (a running sum
+    in path order), and a row's position is offset + (id - first id) + 1.
+    The split table is staged once, so both reads of the scan agree; the
+    scan itself is deterministic (same files, same split packing).  Must be
+    applied to the scan output, before any shuffle.
+    """
+    keyed = file_order_key(df).withColumn("__fkey", F.xxhash64("__file"))
+    splits = (keyed.groupBy("__fkey", "__file", "__block")
+              .agg(F.min("__mono").alias("__first"), F.count(F.lit(1)).alias("__n")))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("__fkey", "__block", "__first",
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    offsets = bounded_broadcast(offsets)
+    return (keyed.drop("__file").join(offsets, ["__fkey", "__block"])
+            .withColumn(out, (F.col("__off") + F.col("__mono") - F.col("__first") + 1).cast("long"))
+            .drop("__fkey", "__block", "__mono", "__first", "__off"))
+
+
 def file_order_key(df: DataFrame) -> DataFrame:
     """Columns that reproduce the order rows have in their source files
     (path, byte offset of the split, then the reading order inside it), for

@@ -53,3 +53,24 @@ def test_export_filter_zone_and_csv(spark):
     text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".csv"))
     assert text.splitlines()[0].startswith("piemail,datamanageremail")
     assert ",NA," in text
+
+
+def test_file_order_ids_across_blocks_and_files(spark):
+    d = local_scratch()
+    expected = []
+    for i in range(3):  # three files; the big one is split into many blocks
+        n = 20000 if i == 1 else 300
+        vals = [f"{i}-{j:06d}" for j in range(n)][::-1]
+        expected += vals
+        with open(os.path.join(d, f"part-{i:05d}.csv"), "w") as f:
+            f.write("v\n" + "".join(v + "\n" for v in vals))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_text_csv(spark, d)
+        assert df.rdd.getNumPartitions() > 5
+        out = number_file_rows(df).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.v for r in out] == expected
+    assert [r.id for r in out] == list(range(1, len(expected) + 1))
