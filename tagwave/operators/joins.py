@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.operators.stage import stage
+from tagwave.operators.stage import stage_counted
 
 # About 64 MB for the narrow (key, value) tables joined here.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -30,5 +30,5 @@ def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFram
     """``small`` materialized and broadcast-hinted if it has at most
     ``max_rows`` rows, else materialized only."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(small)
-    small = stage(small, "dim")
-    return F.broadcast(small) if small.count() <= limit else small
+    small, rows = stage_counted(small, "dim")
+    return F.broadcast(small) if rows <= limit else small

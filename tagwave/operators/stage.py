@@ -13,7 +13,8 @@ folder the cluster shares) and read back, which
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tagwave.session import scratch_path
 
@@ -23,3 +24,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """``stage`` plus the number of rows written, observed during the write
+    (no separate counting job)."""
+    obs = Observation()
+    path = scratch_path(df.sparkSession, name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
