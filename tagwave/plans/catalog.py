@@ -107,6 +107,16 @@ def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _qa_loaded(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
+    """A loaded product table flagged with the production QA settings of
+    that table (time column, ``User`` exemption, the real fault list)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        loaded = _load(product)(spark, sf_dir)
+        return Q.qa_table(loaded, B.deployments(spark, sf_dir), product)
+    run.__name__ = f"q_qa_loaded_{product.name}"
+    return run
+
+
 def q_surrogate_id_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = B.records(spark, sf_dir).select("deployid", "seq")
     return surrogate_ids(r, "deployid", ["seq"]).select("id", "deployid", "seq")
@@ -235,6 +245,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_timeline": _load(S.TIMELINE),
     "load_locs": _load(S.LOCS),
     "locs_source_pref": q_locs_source_pref,
+    "qa_loaded_locs": _qa_loaded(S.LOCS),
+    "qa_loaded_timeline": _qa_loaded(S.TIMELINE),
     "import_status": q_import_status,
     "import_failures": q_import_failures,
     "import_short_circuit": q_import_short_circuit,

@@ -122,13 +122,49 @@ LOAD_PRELUDE = _with(DEP, REC, TAGS, LAND, *PRODUCT_CTES, *ROUTING)
 _QA_DEFAULT_COLS = "'unreviewed' as qa_status, 'use' as data_status, 'unreviewed' as data_explain"
 
 
-def _load_sql(pos: int, cols: str, qa: bool = True) -> str:
+def _load_select(pos: int, cols: str, qa: bool = True) -> str:
     extra = f", {_QA_DEFAULT_COLS}" if qa else ""
-    return LOAD_PRELUDE + f"""select row_number() over (order by x.deployid, x.seq)
+    return f"""select row_number() over (order by x.deployid, x.seq)
         + dense_rank() over (order by x.deployid) as id, o.deploy_id, x.deployid, {cols}{extra}
       from p{pos} x join outc o on o.deployid = x.deployid and o.pos = {pos} and o.outcome = 'loaded'"""
 
 
+def _load_sql(pos: int, cols: str, qa: bool = True) -> str:
+    return LOAD_PRELUDE + _load_select(pos, cols, qa)
+
+
+def _qa_loaded_sql(pos: int, cols: str, dt: str, keep: str, known: str, exempt: bool) -> str:
+    """QA of a loaded table: the load as a CTE, then the rule chain."""
+    before = f"ld.{dt} < a.mxd" + (" and ld.type <> 'User'" if exempt else "")
+    return LOAD_PRELUDE + f""", {AGG},
+      ld as ({_load_select(pos, cols, qa=False)}),
+      j as (select {keep},
+          case {known} when ld.{dt} > a.mne then 'records after end_dt'
+               when {before} then 'records before deploy_dt' else 'unreviewed' end as data_explain,
+          coalesce(a.opn, true) as opn
+        from ld left join agg a using (deployid))
+      select {keep.replace('ld.', '')},
+        case when data_explain <> 'unreviewed' then 'reviewed'
+             when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
+        case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
+        data_explain
+      from j"""
+
+
+# The production fault list, written as SQL (the later rule wins).
+_LOCS_KNOWN = ("when ld.deployid = 'HF2010_1007_06L0129' "
+               "and ld.locs_dt = timestamp '2010-05-11 12:49:01' then 'erroneous location'")
+_TIMELINE_FAULTS = [
+    ("EB2009_3000_09S0188", "2010-04-01"), ("EB2009_3001_08S0215", "2010-04-18"),
+    ("EB2009_3002_09S0185", "2010-04-07"), ("EB2011_3000_10S0628", "2012-05-12"),
+    ("EB2011_3001_09S1225", "2012-03-30"), ("EB2011_3002_10S0494", "2012-05-17"),
+    ("EB2012_3003_10S0625", "2013-05-26"), ("EB2009_7010_08S0236", "2010-03-21"),
+]
+_TIMELINE_KNOWN = " ".join(
+    f"when ld.deployid = '{d}' and ld.timeline_start_dt >= timestamp '{t} 00:00:00' "
+    f"then 'wet-dry sensors suspected to be compromised'" for d, t in reversed(_TIMELINE_FAULTS))
+
+
 MISSING_TEXT = {
     1: "no CSV file",
     2: "no dive depth data in histos CSV file",
@@ -161,6 +197,13 @@ ORACLES.update({
     "load_timeatdepth": _load_sql(4, "x.tad_start_dt, x.pct_tad"),
     "load_timeline": _load_sql(5, "x.hist_type, x.timeline_start_dt, x.percent_dry"),
     "load_locs": _load_sql(6, "x.date_time as locs_dt, x.type"),
+    "qa_loaded_locs": _qa_loaded_sql(6, "x.date_time as locs_dt, x.type", "locs_dt",
+                                     "ld.id, ld.deploy_id, ld.deployid, ld.locs_dt, ld.type",
+                                     _LOCS_KNOWN, exempt=True),
+    "qa_loaded_timeline": _qa_loaded_sql(
+        5, "x.hist_type, x.timeline_start_dt, x.percent_dry", "timeline_start_dt",
+        "ld.id, ld.deploy_id, ld.deployid, ld.hist_type, ld.timeline_start_dt, ld.percent_dry",
+        _TIMELINE_KNOWN, exempt=False),
     "locs_source_pref": _with(REC, PRODUCT_CTES[5], PRODUCT_CTES[6])
     + "select deployid, seq, pref from p6",
     "import_status": LOAD_PRELUDE + _STATUS_PARTS,
