@@ -225,6 +225,8 @@ def nsb_locs(locs_text: DataFrame, deploy_text: DataFrame, with_geom: bool = Tru
     keys = deploy_keys(deploy_text)
     j = t.join(keys, t["__ptt"].eqNullSafe(keys["ptt"]), "left")
     j = j.withColumns({
+        # the tag number joins the integer PTT upstream, so R read it as integer
+        "deployid": F.col("__ptt"),
         "loc_dt": parse_r_time(F.col("loc_dt"), S.NSB_LOCS_TIME_FORMAT),
         **{c: blank_to_null(F.col(c)) for c in S.LOCS_BLANK_COLUMNS},
     })

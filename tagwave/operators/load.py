@@ -37,9 +37,11 @@ def attach_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
     """Rows of the tags being loaded, with their ``deploy_id`` (JOIN-1).
 
     Every tag's download only holds that tag, so the upstream left join on
-    ``deployid`` becomes an inner join with the loadable tags; a deployid
-    listed twice fans out exactly as the upstream join does.  The tag table
-    is broadcast after a size check, so the rows are never shuffled for it.
+    ``deployid`` becomes an inner join with the loadable tags.  Deployids are
+    expected to be unique among eligible deployments: a deployid listed twice
+    joins both rows here (and gets distinct ids), whereas upstream the loop
+    would also fetch that tag twice.  The tag table is broadcast after a size
+    check, so the rows are never shuffled for it.
     """
     return rows.join(bounded_broadcast(tags.select("deploy_id", "deployid")), "deployid", "inner")
 

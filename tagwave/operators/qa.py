@@ -103,7 +103,9 @@ def apply_qa(records: DataFrame, deployments: DataFrame, dt_col: str,
 
     ``records`` needs ``deployid`` and ``dt_col`` (and ``type_col`` when
     ``type_exempt`` is set).  Returns the records with the three QA columns
-    replaced.  Rows need not have unique ids: every row is judged on its own.
+    replaced.  Upstream the statements select rows by ``id``; with the unique
+    ids the loaders produce that is the same as judging every row on its own,
+    which is what happens here (no id is needed).
     """
     base = records.drop(*[c for c in QA_COLUMNS if c in records.columns])
     j = with_deployment_summary(base, deployments)

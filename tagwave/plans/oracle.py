@@ -185,7 +185,7 @@ _STATUS_PARTS = " union all ".join(
                union all select deployid, '{MISSING_TEXT[i]}' as status from miss)
       select deployid, status from done
       union all select deployid, 'failed to import' as status from (
-        select deployid from tags where deployid <> '' except select deployid from done))"""
+        select deployid from tags except select deployid from done))"""
     for i in range(1, 7))
 
 ORACLES.update({
@@ -341,7 +341,7 @@ ORACLES.update({
         {", ".join(f"{_dbl(_q(f'Bin{i}'))} as bin{i:02d}" for i in range(1, 25))}
       from hfile h left join dkeys k on {_int('h.' + _q('Ptt'))} is not distinct from k.ptt""",
     "nsb_locs": _with(LOCS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select l.id, k.deploy_id,
-        {_txt(_q('tag-local-identifier'))} as deployid, {_time(_txt(_q('timestamp')), False)} as loc_dt,
+        {_int(_q('tag-local-identifier'))} as deployid, {_time(_txt(_q('timestamp')), False)} as loc_dt,
         {_dbl(_q('location-lat'))} as loc_lat, {_dbl(_q('location-long'))} as loc_long,
         {_blank(_txt(_q('algorithm-marked-outlier')))} as alg_marked_outlier,
         {_dbl(_q('argos-altitude'))} as argos_altitude, {_int(_q('argos-best-level'))} as argos_best_level,
