@@ -162,6 +162,7 @@ LANDED_NAMES = {
     "histos_timeline": "timelines",
 }
 LOCATION_SOURCES = ["all_locations", "locations"]
+BEHAV_LANDED_NAME = "behavior"
 
 # Load order of the per-tag loop (positions 1..6).
 LOAD_ORDER = [ALLMSG, DIVEDEPTH, DIVEDURATION, TIMEATDEPTH, TIMELINE, LOCS]
