@@ -84,3 +84,27 @@ def test_parse_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [dt.datetime(2016, 3, 13, 2, 30), None, None, dt.datetime(2016, 1, 2, 3, 4, 5)]
+
+
+def test_replace_first_property(spark):
+    """First-match replace equals Python's ``str.replace(p, r, 1)`` on strings
+    full of regex metacharacters (one Spark job for all cases)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = "ab.$*\\()[]{}^|?+/ \n"
+    cases = []
+
+    @settings(max_examples=150, deadline=None, derandomize=True)
+    @given(st.text(alphabet, max_size=12), st.text(alphabet, min_size=1, max_size=3),
+           st.text(alphabet, max_size=3))
+    def collect(s, pat, rep):
+        cases.append((s, pat, rep))
+
+    collect()
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, s string")
+    expr = F.coalesce(*[F.when(F.col("i") == i, replace_first(F.col("s"), pat, rep))
+                        for i, (_s, pat, rep) in enumerate(cases)])
+    got = {r.i: r.out for r in df.select("i", expr.alias("out")).collect()}
+    for i, (text, pat, rep) in enumerate(cases):
+        assert got[i] == text.replace(pat, rep, 1), (text, pat, rep)
