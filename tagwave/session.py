@@ -40,22 +40,36 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can see, taken from ``spark.checkpoint.dir``.
+    """The folder all executors can see: ``spark.checkpoint.dir`` as the
+    cluster names it.
 
-    The cluster names it; only when it is unset (local tests) is a fresh
-    local folder created and registered as the checkpoint directory.
+    Only when it is unset (local tests) is one chosen: the context's
+    checkpoint folder if code set one, else a fresh local folder, which is
+    registered as the checkpoint folder and remembered in the session under
+    ``tagwave.sharedDir`` (``spark.checkpoint.dir`` itself cannot change at
+    run time).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tagwave.sharedDir", None)
+    if d:
+        return d
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = tempfile.mkdtemp(prefix="tagwave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+    spark.conf.set("tagwave.sharedDir", d)
     return d
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or ``None`` on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path inside the shared folder (never reused)."""
     base = shared_dir(spark).rstrip("/")

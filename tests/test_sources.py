@@ -74,3 +74,21 @@ def test_file_order_ids_across_blocks_and_files(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r.v for r in out] == expected
     assert [r.id for r in out] == list(range(1, len(expected) + 1))
+
+
+def test_shared_dir_when_cluster_names_none():
+    """Without ``spark.checkpoint.dir`` a test folder is chosen and reused."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "from tagwave.session import shared_dir\n"
+            "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "a, b = shared_dir(s), shared_dir(s)\n"
+            "assert a == b and s.sparkContext.getCheckpointDir() is not None\n"
+            "print('OK')\n") % root
+    env = dict(os.environ, SPARK_CONF_DIR=local_scratch())
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert out.stdout.strip().endswith("OK"), out.stderr[-2000:]
