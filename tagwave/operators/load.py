@@ -33,7 +33,7 @@ def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref"
             .where(F.col(pref) == F.col("__best")).drop("__best"))
 
 
-def attach_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
+def attach_tags(rows: DataFrame, tags: DataFrame, prepared: bool = False) -> DataFrame:
     """Rows of the tags being loaded, with their ``deploy_id`` (JOIN-1).
 
     Every tag's download only holds that tag, so the upstream left join on
@@ -41,9 +41,11 @@ def attach_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
     expected to be unique among eligible deployments: a deployid listed twice
     joins both rows here (and gets distinct ids), whereas upstream the loop
     would also fetch that tag twice.  The tag table is broadcast after a size
-    check, so the rows are never shuffled for it.
+    check, so the rows are never shuffled for it (``prepared=True``: the
+    caller already did that, e.g. with ``status.loaded_keys``).
     """
-    return rows.join(bounded_broadcast(tags.select("deploy_id", "deployid")), "deployid", "inner")
+    keys = tags.select("deploy_id", "deployid")
+    return rows.join(keys if prepared else bounded_broadcast(keys), "deployid", "inner")
 
 
 def shape(df: DataFrame, product: S.Product) -> DataFrame:
@@ -55,18 +57,18 @@ def shape(df: DataFrame, product: S.Product) -> DataFrame:
     return out.select(*[c for c in product.columns if c in out.columns])
 
 
-def load_rows(rows: DataFrame, tags: DataFrame) -> DataFrame:
+def load_rows(rows: DataFrame, tags: DataFrame, prepared: bool = False) -> DataFrame:
     """The rows that end up in the product table, before numbering."""
-    return attach_tags(rows, tags)
+    return attach_tags(rows, tags, prepared)
 
 
 def load_product(rows: DataFrame, tags: DataFrame, product: S.Product,
-                 order: Sequence[str] = ("seq",)) -> DataFrame:
+                 order: Sequence[str] = ("seq",), prepared: bool = False) -> DataFrame:
     """Loaded product table: ids, ``deploy_id``, renames, QA defaults.
 
     ``order`` is the within-tag row order of the download (arrival order);
     it must make ``(deployid, *order)`` unique for reproducible ids.
     """
-    loaded = load_rows(rows, tags)
+    loaded = load_rows(rows, tags, prepared)
     numbered = surrogate_ids(loaded, "deployid", list(order), out="id")
     return shape(numbered, product)

@@ -102,7 +102,9 @@ def _routing(spark: SparkSession, sf_dir: str, upto: int = len(S.LOAD_ORDER)):
 def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tags, rows, outcomes = _routing(spark, sf_dir, upto=product.pos)
-        return L.load_product(rows[product.pos], ST.loadable_tags(outcomes, product.pos), product)
+        keys = ST.loaded_keys(outcomes)
+        return L.load_product(rows[product.pos], ST.loadable_tags(keys, product.pos), product,
+                              prepared=True)
     run.__name__ = f"q_load_{product.name}"
     return run
 
@@ -128,7 +130,8 @@ def q_locs_source_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags, rows, outcomes = _routing(spark, sf_dir)
-    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(outcomes, p.pos))
+    keys = ST.loaded_keys(outcomes)
+    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(keys, p.pos), prepared=True)
               for p in S.LOAD_ORDER}
     return ST.import_status(tags, loaded, outcomes)
 
