@@ -7,6 +7,8 @@ every oracle is one self-contained statement.
 
 from __future__ import annotations
 
+from tagwave.plans import partner_files as _PF
+
 # -- shared derivations (mirror tagwave.plans.bindings) ---------------------
 DEP = """dep as (
   select c_custkey as id, cast(c_custkey as varchar) as deployid,
@@ -246,7 +248,6 @@ ORACLES.update({
 
 
 # -- partner CSV cleanup -------------------------------------------------------
-from tagwave.plans import partner_files as _PF  # noqa: E402
 
 
 def _q(name: str) -> str:
