@@ -22,7 +22,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("tagwave.maxBroadcastRows", None)
+    conf = df.sparkSession.conf.get("spark.tagwave.maxBroadcastRows", None)
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
 
 

@@ -46,10 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) is one chosen: the context's
     checkpoint folder if code set one, else a fresh local folder, which is
     registered as the checkpoint folder and remembered in the session under
-    ``tagwave.sharedDir`` (``spark.checkpoint.dir`` itself cannot change at
+    ``spark.tagwave.sharedDir`` (``spark.checkpoint.dir`` itself cannot change at
     run time).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tagwave.sharedDir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.tagwave.sharedDir", None)
     if d:
         return d
     sc = _context(spark)
@@ -58,7 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="tagwave-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
-    spark.conf.set("tagwave.sharedDir", d)
+    spark.conf.set("spark.tagwave.sharedDir", d)
     return d
 
 

@@ -35,3 +35,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["seq", "qa_status", "data_status", "data_explain"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["qa_full", "load_locs", "nsb_locs", "import_status"])
+def test_query_matches_oracle_without_broadcasts(spark, con_small, key):
+    """Size checks fail -> sort-merge joins; results must not change."""
+    keys = ("spark.tagwave.maxBroadcastRows", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k, None) for k in keys]
+    spark.conf.set(keys[0], "0")
+    spark.conf.set(keys[1], "-1")
+    try:
+        df = E.queries()[key](spark, SMALL)
+        assert spark_digest(df) == duck_digest(con_small, E.oracle_sql()[key])
+    finally:
+        for k, v in zip(keys, before):
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
