@@ -9,19 +9,34 @@ folder the cluster shares) and read back, which
 * keeps it columnar, so a later pass that needs two columns (per-partition
   counts, first partition per tag) reads only those, and Spark knows its
   size from the files.
+
+Staged tables live until removed.  A job that writes its own outputs wraps
+its work in ``staging_scope``, which deletes the tables staged inside it when
+the job ends; a lazily returned DataFrame (a registered query) still reads
+its staged files, so those stay for the shared folder's retention policy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import contextlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagwave.session import scratch_path
 
+_SCOPES: list[list[str]] = []
+
+
+def _register(path: str) -> None:
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to a new folder in the shared directory; return the read."""
     path = scratch_path(df.sparkSession, name)
+    _register(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -31,5 +46,31 @@ def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     (no separate counting job)."""
     obs = Observation()
     path = scratch_path(df.sparkSession, name)
+    _register(path)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the cluster's file system (best effort; not
+    available on sessions without a JVM gateway)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # cleanup must never fail the job
+        pass
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession):
+    """Delete every table staged inside the ``with`` block when it ends.
+    Use it around work whose results are written before the block ends."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            _delete(spark, path)
