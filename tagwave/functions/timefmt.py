@@ -41,5 +41,19 @@ def add_hours(ts: Column, hours: Column) -> Column:
 def wall_time_to_utc(ts: Column, zone: str) -> Column:
     """A zone-less wall time in ``zone`` as zone-less UTC (the instant a
     reader in ``zone`` meant, printed in GMT).  Independent of the session
-    time zone."""
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    time zone.
+
+    Wall times that occur twice (the hour repeated when daylight time ends)
+    take the offset in force after the transition, i.e. standard time, as
+    PostgreSQL does; Spark's own conversion would take the earlier offset.
+    Wall times skipped by the spring transition move forward, as in both.
+    """
+    z, utc = F.lit(zone), F.lit("UTC")
+    t = ts.cast("timestamp_ntz")
+    first = F.convert_timezone(z, utc, t)  # earlier offset on a repeated hour
+    # offset in force a few hours later, after any transition at this time
+    later = first + F.make_dt_interval(hours=F.lit(3))
+    offset_after = F.convert_timezone(utc, z, later) - later
+    second = t - offset_after
+    repeated = (second != first) & (F.convert_timezone(utc, z, second) == t)
+    return F.when(repeated, F.greatest(first, second)).otherwise(first)

@@ -61,9 +61,17 @@ def test_parse_r_time(spark):
 
 
 def test_vancouver_wall_time_to_utc(spark):
+    D = dt.datetime
     got = _one(spark, lambda c: wall_time_to_utc(c, "America/Vancouver"),
-               [dt.datetime(2021, 7, 1, 0, 0), dt.datetime(2021, 1, 1, 0, 0)], "timestamp_ntz")
-    assert got == [dt.datetime(2021, 7, 1, 7, 0), dt.datetime(2021, 1, 1, 8, 0)]
+               [D(2021, 7, 1, 0, 0), D(2021, 1, 1, 0, 0),
+                D(2000, 10, 29, 1, 0), D(2000, 10, 29, 1, 59), D(2000, 10, 29, 0, 30),
+                D(2000, 10, 29, 2, 0), D(2021, 3, 14, 2, 30), D(2021, 3, 14, 1, 30), None],
+               "timestamp_ntz")
+    assert got == [D(2021, 7, 1, 7, 0), D(2021, 1, 1, 8, 0),
+                   D(2000, 10, 29, 9, 0), D(2000, 10, 29, 9, 59),   # repeated hour: standard time
+                   D(2000, 10, 29, 7, 30), D(2000, 10, 29, 10, 0),
+                   D(2021, 3, 14, 10, 30), D(2021, 3, 14, 9, 30),   # skipped hour moves forward
+                   None]
 
 
 def test_point(spark):
