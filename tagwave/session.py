@@ -8,9 +8,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on.  Times are zone-less
-# (TIMESTAMP_NTZ) end to end; UTC as the session zone keeps the few
-# zone-aware functions (`to_utc_timestamp`, `convert_timezone`) honest.
+# Settings for tests and the bench.  Times are zone-less (TIMESTAMP_NTZ) end
+# to end and no transform reads the session zone; UTC keeps printed values
+# plain.  AQE coalesces small shuffles and splits skewed sort-merge joins.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,7 +19,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
