@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from tagwave.session import scratch_path
 
 _SCOPES: list[list[str]] = []
+# When a list is placed here (tools/plans.py), every staged DataFrame's
+# (name, DataFrame) is appended before it is written, to show its plan.
+PLAN_SINK: list | None = None
 
 
 def _register(path: str) -> None:
@@ -33,8 +36,14 @@ def _register(path: str) -> None:
         _SCOPES[-1].append(path)
 
 
+def _record(df: DataFrame, name: str) -> None:
+    if PLAN_SINK is not None:
+        PLAN_SINK.append((name, df))
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to a new folder in the shared directory; return the read."""
+    _record(df, name)
     path = scratch_path(df.sparkSession, name)
     _register(path)
     df.write.mode("overwrite").parquet(path)
@@ -44,6 +53,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     """``stage`` plus the number of rows written, observed during the write
     (no separate counting job)."""
+    _record(df, name)
     obs = Observation()
     path = scratch_path(df.sparkSession, name)
     _register(path)
