@@ -53,3 +53,14 @@ def test_query_matches_oracle_without_broadcasts(spark, con_small, key):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_column_types_match_oracle(spark, con_small, key):
+    got = {c: SPARK_TO_DUCK.get(t, t) for c, t in E.queries()[key](spark, SMALL).dtypes}
+    want = {r[0]: r[1] for r in con_small.execute(f"describe {E.oracle_sql()[key]}").fetchall()}
+    assert got == want
