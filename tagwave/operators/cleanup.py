@@ -17,7 +17,7 @@ from tagwave.functions.casts import r_as_integer, try_double
 from tagwave.functions.geo import make_point
 from tagwave.functions.text import blank_to_null, exact_fix, r_text, replace_first_chain
 from tagwave.functions.timefmt import parse_r_time
-from tagwave.operators.joins import bounded_broadcast
+from tagwave.operators.joins import Dimension, dimension, join_dimension
 from tagwave.operators.sequence import file_row_number
 from tagwave.sources.csv import col
 
@@ -156,14 +156,14 @@ def number_file_rows(df: DataFrame, out: str = "id") -> DataFrame:
     return file_row_number(df, out=out)
 
 
-def deploy_keys(deploy_text: DataFrame) -> DataFrame:
+def deploy_keys(deploy_text: DataFrame) -> Dimension:
     """``(deploy_id, ptt)`` of the partner deployment file: its row id and tag
     number, the key the histogram and location files join on."""
     d = number_file_rows(deploy_text)
     keys = d.select(F.col("id").alias("deploy_id"), r_as_integer(r_text(col("PTT"))).alias("ptt"))
     # one row per deployment: broadcast after a size check, so the histogram
     # and location rows are never shuffled for this join
-    return bounded_broadcast(keys)
+    return dimension(keys.withColumnRenamed("ptt", "__ptt"))
 
 
 def nsb_deploy(deploy_text: DataFrame, with_geom: bool = True) -> DataFrame:
@@ -210,7 +210,7 @@ def nsb_histos_raw(histos_text: DataFrame, deploy_text: DataFrame) -> DataFrame:
     h = h.withColumn("__ptt", r_as_integer(r_text(col("Ptt"))))
     t = _renamed(h, HISTOS_RENAMES, keep=["id", "__ptt"])
     keys = deploy_keys(deploy_text)
-    j = t.join(keys, t["__ptt"].eqNullSafe(keys["ptt"]), "left")
+    j = join_dimension(t, keys, ["__ptt"], "left", null_safe=True)
     j = j.withColumn("hist_dt", parse_r_time(F.col("hist_dt"), S.NSB_LOCS_TIME_FORMAT))
     return j.select(*HISTOS_COLUMNS)
 
@@ -223,7 +223,7 @@ def nsb_locs(locs_text: DataFrame, deploy_text: DataFrame, with_geom: bool = Tru
     lo = lo.withColumn("__ptt", r_as_integer(r_text(col("tag.local.identifier"))))
     t = _renamed(lo, LOCS_RENAMES, keep=["id", "__ptt"])
     keys = deploy_keys(deploy_text)
-    j = t.join(keys, t["__ptt"].eqNullSafe(keys["ptt"]), "left")
+    j = join_dimension(t, keys, ["__ptt"], "left", null_safe=True)
     j = j.withColumns({
         # the tag number joins the integer PTT upstream, so R read it as integer
         "deployid": F.col("__ptt"),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
-from tagwave.operators.joins import bounded_broadcast
+from tagwave.operators.joins import Dimension, join_dimension
 from tagwave.operators.sequence import surrogate_ids
 
 
@@ -26,14 +26,15 @@ def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref"
 
     The per-tag minimum is a partial aggregate (one row per tag and map
     task crosses the shuffle), joined back on the tag: broadcast when a
-    count shows the per-tag table is small, else a skew-aware sort-merge join.
+    count shows the per-tag table is small, else a sort-merge join with hot
+    tags salted.
     """
-    best = bounded_broadcast(sources.groupBy(key).agg(F.min(pref).alias("__best")))
-    return (sources.join(best, key, "inner")
+    best = sources.groupBy(key).agg(F.min(pref).alias("__best"))
+    return (join_dimension(sources, best, [key], "inner")
             .where(F.col(pref) == F.col("__best")).drop("__best"))
 
 
-def attach_tags(rows: DataFrame, tags: DataFrame, prepared: bool = False) -> DataFrame:
+def attach_tags(rows: DataFrame, tags: DataFrame | Dimension, prepared: bool = False) -> DataFrame:
     """Rows of the tags being loaded, with their ``deploy_id`` (JOIN-1).
 
     Every tag's download only holds that tag, so the upstream left join on
@@ -41,11 +42,11 @@ def attach_tags(rows: DataFrame, tags: DataFrame, prepared: bool = False) -> Dat
     expected to be unique among eligible deployments: a deployid listed twice
     joins both rows here (and gets distinct ids), whereas upstream the loop
     would also fetch that tag twice.  The tag table is broadcast after a size
-    check, so the rows are never shuffled for it (``prepared=True``: the
-    caller already did that, e.g. with ``status.loaded_keys``).
+    check, so the rows are never shuffled for it (a ``Dimension``, e.g. from
+    ``status.loaded_keys``, was checked already; ``prepared`` is kept for
+    callers that say so explicitly).
     """
-    keys = tags.select("deploy_id", "deployid")
-    return rows.join(keys if prepared else bounded_broadcast(keys), "deployid", "inner")
+    return join_dimension(rows, tags.select("deploy_id", "deployid"), ["deployid"], "inner")
 
 
 def shape(df: DataFrame, product: S.Product) -> DataFrame:
@@ -57,12 +58,12 @@ def shape(df: DataFrame, product: S.Product) -> DataFrame:
     return out.select(*[c for c in product.columns if c in out.columns])
 
 
-def load_rows(rows: DataFrame, tags: DataFrame, prepared: bool = False) -> DataFrame:
+def load_rows(rows: DataFrame, tags: DataFrame | Dimension, prepared: bool = False) -> DataFrame:
     """The rows that end up in the product table, before numbering."""
     return attach_tags(rows, tags, prepared)
 
 
-def load_product(rows: DataFrame, tags: DataFrame, product: S.Product,
+def load_product(rows: DataFrame, tags: DataFrame | Dimension, product: S.Product,
                  order: Sequence[str] = ("seq",), prepared: bool = False) -> DataFrame:
     """Loaded product table: ids, ``deploy_id``, renames, QA defaults.
 

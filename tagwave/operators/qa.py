@@ -8,10 +8,10 @@ per-deployid deployment summary and three ``when`` chains, latest rule
 first, give ``qa_status``, ``data_status`` and ``data_explain``.
 
 Join strategy: the summary has one row per deployid (a dimension).  It is
-materialized and counted first and broadcast only under a row bound
-(``joins.bounded_broadcast``), so the records are never shuffled for it;
-beyond the bound the join is a sort-merge join whose skewed partitions (one
-deployid holding a large share of the records) AQE splits.
+staged and counted first and broadcast only under a row bound
+(``joins.join_dimension``), so the records are never shuffled for it;
+beyond the bound the join is a sort-merge join in which a deployid holding a
+large share of the records is salted over many tasks.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.operators.deploy import deployment_summary
-from tagwave.operators.joins import bounded_broadcast
+from tagwave.operators.joins import join_dimension
 
 QA_COLUMNS = ["qa_status", "data_status", "data_explain"]
 
@@ -59,7 +59,7 @@ def known_issue_explain(rules: Sequence[tuple], dt_col: str,
 def with_deployment_summary(records: DataFrame, deployments: DataFrame) -> DataFrame:
     """Attach ``max_deploy_dt, min_end_dt, any_open`` per deployid (left join:
     records without a deployment row keep nulls)."""
-    return records.join(bounded_broadcast(deployment_summary(deployments)), "deployid", "left")
+    return join_dimension(records, deployment_summary(deployments), ["deployid"], "left")
 
 
 def active_flag() -> Column:

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagwave.operators.joins import bounded_broadcast
+from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage
 
 _PID = "__seq_pid"
@@ -151,15 +151,15 @@ def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id"
     ``tag`` order, rows of a tag in ``order``; ``id = position + tag rank``.
 
     The tag-rank table has one row per tag; it is broadcast only after a row
-    count shows it is small (``joins.bounded_broadcast``), else joined with a
-    skew-aware sort-merge join.
+    count shows it is small, else joined (null-safe) in a sort-merge join
+    with hot tags salted (``joins.join_dimension``).
     """
     tagged = range_partitioned(df, [tag, *order], partitions)
     numbered = _positions(tagged, "__pos")
-    ranks = bounded_broadcast(_tag_ranks(tagged, tag, "__tag_rank").withColumnRenamed(tag, "__rank_tag"))
-    joined = numbered.join(ranks, numbered[tag].eqNullSafe(ranks["__rank_tag"]), "left")
+    ranks = _tag_ranks(tagged, tag, "__tag_rank")
+    joined = join_dimension(numbered, ranks, [tag], "left", null_safe=True)
     return (joined.withColumn(out, (F.col("__pos") + F.col("__tag_rank")).cast("long"))
-            .drop("__pos", "__tag_rank", "__rank_tag", _PID, _RIP))
+            .drop("__pos", "__tag_rank", _PID, _RIP))
 
 
 def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
@@ -182,8 +182,7 @@ def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("__fkey", "__block", "__first",
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    offsets = bounded_broadcast(offsets)
-    return (keyed.drop("__file").join(offsets, ["__fkey", "__block"])
+    return (join_dimension(keyed.drop("__file"), offsets, ["__fkey", "__block"], "inner")
             .withColumn(out, (F.col("__off") + F.col("__mono") - F.col("__first") + 1).cast("long"))
             .drop("__fkey", "__block", "__mono", "__first", "__off"))
 

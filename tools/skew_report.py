@@ -3,9 +3,11 @@
     python tools/skew_report.py [sf_dir]
 
 Remaps the events so every third user becomes one hot tag, numbers the rows
-with ``surrogate_ids`` and, for contrast, with a per-tag window, writing
-Spark's event log to a fresh scratch folder; then prints, per stage that
-reads a shuffle, the task count and the largest task's share of the rows.
+with ``surrogate_ids`` and, for contrast, with a per-tag window, then runs
+the one-pass QA with every broadcast refused (sort-merge join with the hot
+tag salted).  Spark's event log goes to a fresh
+scratch folder; printed per stage that reads a shuffle: the task count and
+the largest task's share of the rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tagwave.operators.qa import apply_qa  # noqa: E402
 from tagwave.operators.sequence import surrogate_ids  # noqa: E402
+from tagwave.plans.bindings import deployments  # noqa: E402
 from tagwave.session import build_session  # noqa: E402
 
 
@@ -42,6 +46,20 @@ def main(sf_dir: str) -> None:
     spark.sparkContext.setJobGroup("per-tag-window", "row_number over (partition by deployid)")
     w = Window.partitionBy("deployid").orderBy("seq")
     rows.withColumn("rn", F.row_number().over(w)).write.format("noop").mode("overwrite").save()
+
+    # QA with every broadcast refused: the records join the deployment
+    # summary in a sort-merge join whose hot tag is salted (joins.py).
+    # (AQE's coalescing is off here: at this size it would merge all 16
+    # partitions into one or two tasks and hide how the keys are spread.)
+    for k, v in {"spark.tagwave.maxBroadcastRows": "0",
+                 "spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
+        spark.conf.set(k, v)
+    recs = e.select(F.col("event_id").alias("seq"), F.when(
+        F.col("user_id") % 3 == 0, F.lit("1")).otherwise(F.col("user_id").cast("string")).alias("deployid"),
+        F.col("ts").alias("dt"), F.col("event_type").alias("type"))
+    spark.sparkContext.setJobGroup("qa-salted-sort-merge", "apply_qa without broadcasts")
+    apply_qa(recs, deployments(spark, sf_dir), "dt", "error").write.format("noop").mode("overwrite").save()
     spark.stop()
 
     group, tasks = {}, collections.defaultdict(list)
