@@ -34,7 +34,7 @@ def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref"
             .where(F.col(pref) == F.col("__best")).drop("__best"))
 
 
-def attach_tags(rows: DataFrame, tags: DataFrame | Dimension, prepared: bool = False) -> DataFrame:
+def attach_tags(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:
     """Rows of the tags being loaded, with their ``deploy_id`` (JOIN-1).
 
     Every tag's download only holds that tag, so the upstream left join on
@@ -43,8 +43,7 @@ def attach_tags(rows: DataFrame, tags: DataFrame | Dimension, prepared: bool = F
     joins both rows here (and gets distinct ids), whereas upstream the loop
     would also fetch that tag twice.  The tag table is broadcast after a size
     check, so the rows are never shuffled for it (a ``Dimension``, e.g. from
-    ``status.loaded_keys``, was checked already; ``prepared`` is kept for
-    callers that say so explicitly).
+    ``status.loaded_keys``, was checked already).
     """
     return join_dimension(rows, tags.select("deploy_id", "deployid"), ["deployid"], "inner")
 
@@ -58,18 +57,18 @@ def shape(df: DataFrame, product: S.Product) -> DataFrame:
     return out.select(*[c for c in product.columns if c in out.columns])
 
 
-def load_rows(rows: DataFrame, tags: DataFrame | Dimension, prepared: bool = False) -> DataFrame:
+def load_rows(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:
     """The rows that end up in the product table, before numbering."""
-    return attach_tags(rows, tags, prepared)
+    return attach_tags(rows, tags)
 
 
 def load_product(rows: DataFrame, tags: DataFrame | Dimension, product: S.Product,
-                 order: Sequence[str] = ("seq",), prepared: bool = False) -> DataFrame:
+                 order: Sequence[str] = ("seq",)) -> DataFrame:
     """Loaded product table: ids, ``deploy_id``, renames, QA defaults.
 
     ``order`` is the within-tag row order of the download (arrival order);
     it must make ``(deployid, *order)`` unique for reproducible ids.
     """
-    loaded = load_rows(rows, tags, prepared)
+    loaded = load_rows(rows, tags)
     numbered = surrogate_ids(loaded, "deployid", list(order), out="id")
     return shape(numbered, product)

@@ -103,8 +103,7 @@ def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tags, rows, outcomes = _routing(spark, sf_dir, upto=product.pos)
         keys = ST.loaded_keys(outcomes)
-        return L.load_product(rows[product.pos], ST.loadable_tags(keys, product.pos), product,
-                              prepared=True)
+        return L.load_product(rows[product.pos], ST.loadable_tags(keys, product.pos), product)
     run.__name__ = f"q_load_{product.name}"
     return run
 
@@ -131,7 +130,7 @@ def q_locs_source_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags, rows, outcomes = _routing(spark, sf_dir)
     keys = ST.loaded_keys(outcomes)
-    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(keys, p.pos), prepared=True)
+    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(keys, p.pos))
               for p in S.LOAD_ORDER}
     return ST.import_status(tags, loaded, outcomes)
 
