@@ -70,5 +70,10 @@ def load_product(rows: DataFrame, tags: DataFrame | Dimension, product: S.Produc
     it must make ``(deployid, *order)`` unique for reproducible ids.
     """
     loaded = load_rows(rows, tags)
-    numbered = surrogate_ids(loaded, "deployid", list(order), out="id")
+    renamed = loaded.withColumnsRenamed({k: v for k, v in product.renames.items()
+                                         if k in loaded.columns})
+    # Only the output columns and the order keys are numbered (and staged).
+    keep = [c for c in product.columns if c in renamed.columns and c != "id"]
+    keep += [o for o in order if o not in keep]
+    numbered = surrogate_ids(renamed.select(*keep), "deployid", list(order), out="id")
     return shape(numbered, product)
