@@ -36,6 +36,13 @@ def _register(path: str) -> None:
         _SCOPES[-1].append(path)
 
 
+def track(path: str) -> str:
+    """Put another intermediate folder (e.g. a landed CSV) under the
+    current ``staging_scope``; returns the path."""
+    _register(path)
+    return path
+
+
 def _record(df: DataFrame, name: str) -> None:
     if PLAN_SINK is not None:
         PLAN_SINK.append((name, df))

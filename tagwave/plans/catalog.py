@@ -22,7 +22,7 @@ from tagwave.operators import load as L
 from tagwave.operators import qa as Q
 from tagwave.operators import status as ST
 from tagwave.operators.sequence import surrogate_ids
-from tagwave.operators.stage import stage
+from tagwave.operators.stage import stage, track
 from tagwave.plans import bindings as B
 from tagwave.plans import partner_files as PF
 from tagwave.session import scratch_path
@@ -216,7 +216,7 @@ def q_csv_blank_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     field = (F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(None).cast("string"))
               .otherwise(F.col("p_type")))
-    path = scratch_path(spark, "blank-rules")
+    path = track(scratch_path(spark, "blank-rules"))
     write_text_csv(p.select(k.cast("string").alias("p_partkey"), field.alias("photos"),
                             field.alias("agency")), path)
     text = read_text_csv(spark, path, header=["p_partkey", "photos", "agency"])

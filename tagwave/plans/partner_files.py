@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagwave.operators.stage import track
 from tagwave.plans.bindings import wide_histograms
 from tagwave.session import scratch_path
 from tagwave.sources.csv import read_text_csv, write_text_csv
@@ -153,7 +154,7 @@ def locs_columns(engine: str) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------------------
 
 def _land(df: DataFrame, spark: SparkSession, name: str, order: list[str]) -> str:
-    path = scratch_path(spark, name)
+    path = track(scratch_path(spark, name))
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(*order)
     write_text_csv(ordered, path)
