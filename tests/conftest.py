@@ -15,3 +15,11 @@ def spark():
     s = build_session(master="local[*]", shuffle_partitions=8)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def _remove_staged_tables(spark):
+    """Tables a test stages in the shared folder are removed after it."""
+    from tagwave.operators.stage import staging_scope
+    with staging_scope(spark):
+        yield
