@@ -34,14 +34,17 @@ def text_schema(header: list[str]) -> StructType:
     return StructType([StructField(h, StringType(), True) for h in header])
 
 
-def read_text_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, header: list[str] | None = None,
+                  multiline: bool = False) -> DataFrame:
     """All fields as strings, columns named by ``make.names`` of the header.
 
     Pass ``header`` (the file's header line, in order) to skip the extra
     pass Spark needs to read the header names; the first line of every file
-    is still skipped as a header.
+    is still skipped as a header.  ``multiline=True`` accepts quoted fields
+    that contain line breaks (as ``read.csv`` does) at the price of reading
+    each file whole in one task; the default splits large files on lines.
     """
-    reader = (spark.read.option("header", True).option("multiLine", False)
+    reader = (spark.read.option("header", True).option("multiLine", multiline)
               .option("escape", '"').option("mode", "PERMISSIVE"))
     if header is not None:
         reader = reader.schema(text_schema(header))

@@ -92,3 +92,13 @@ def test_shared_dir_when_cluster_names_none():
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
                          timeout=600)
     assert out.stdout.strip().endswith("OK"), out.stderr[-2000:]
+
+
+def test_multiline_fields_and_file_order(spark):
+    d = local_scratch()
+    with open(os.path.join(d, "f.csv"), "w") as f:
+        f.write('k,note\n1,"first\nline"\n2,plain\n3,"a ""quoted"" word"\n')
+    df = read_text_csv(spark, d, multiline=True)
+    out = number_file_rows(df).orderBy("id").collect()
+    assert [(r.id, r.k, r.note) for r in out] == [
+        (1, "1", "first\nline"), (2, "2", "plain"), (3, "3", 'a "quoted" word')]
