@@ -116,3 +116,14 @@ def test_replace_first_property(spark):
     got = {r.i: r.out for r in df.select("i", expr.alias("out")).collect()}
     for i, (text, pat, rep) in enumerate(cases):
         assert got[i] == text.replace(pat, rep, 1), (text, pat, rep)
+
+
+def test_point_ewkb(spark):
+    import struct
+    from tagwave.functions.geo import point_ewkb
+    df = spark.createDataFrame([(-150.5, 70.25), (None, 1.0), (12.0, -3.5)], "lon double, lat double")
+    got = [r[0] for r in df.select(point_ewkb(make_point(F.col("lon"), F.col("lat")))).collect()]
+    want = [struct.pack("<BIidd", 1, 0x20000001, 4326, -150.5, 70.25), None,
+            struct.pack("<BIidd", 1, 0x20000001, 4326, 12.0, -3.5)]
+    assert [bytes(g) if g is not None else None for g in got] == want
+    assert want[0].hex().upper().startswith("0101000020E6100000")
