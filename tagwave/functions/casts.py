@@ -21,9 +21,3 @@ def r_as_integer(c: Column) -> Column:
     dbl = try_double(c)
     fits = (dbl >= F.lit(_INT_MIN)) & (dbl < F.lit(_INT_LIMIT))
     return F.when(fits, dbl.cast("long").cast("int"))
-
-
-def r_as_long(c: Column) -> Column:
-    """Like ``r_as_integer`` for 64-bit ids (``"12.0"`` parses)."""
-    dbl = try_double(c)
-    return F.when(F.abs(dbl) < F.lit(9.2e18), dbl.cast("long"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.functions.casts import r_as_integer
+from tagwave.functions.timefmt import add_hours
 from tagwave.operators.sequence import global_row_number
 
 
@@ -23,10 +24,8 @@ def explode_bins(wide: DataFrame, keep: list[str], start: str = "hist_dt",
     ``value`` = the bin (nulls kept)."""
     arr = F.array(*[F.col(b).cast("double") for b in bins])
     exploded = wide.select(*keep, start, F.posexplode(arr).alias("__h", value))
-    return exploded.select(
-        *keep,
-        (F.col(start) + F.make_dt_interval(hours=F.col("__h"))).alias("timeline_start_dt"),
-        value)
+    return exploded.select(*keep, add_hours(F.col(start), F.col("__h")).alias("timeline_start_dt"),
+                           value)
 
 
 def timeline_unpivot(wide: DataFrame, hist_type: str = S.HIST_TYPE_PERCENT) -> DataFrame:

@@ -73,13 +73,6 @@ def dimension(df: DataFrame | Dimension, max_rows: int | None = None) -> Dimensi
     return Dimension(staged, rows <= limit)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` staged and broadcast-hinted if it passes the size check, else
-    staged only (for joins whose other side is not a big table)."""
-    d = dimension(df, max_rows)
-    return F.broadcast(d.df) if d.small else d.df
-
-
 def _col(name: str) -> Column:
     """A column by its exact name (names may contain dots)."""
     return F.col(f"`{name}`")
