@@ -53,9 +53,11 @@ def read_text_csv(spark: SparkSession, path: str, header: list[str] | None = Non
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:
-    """Write with a header, R-style ``NA`` for nulls, quoting only where needed."""
+    """Write with a header, R-style ``NA`` for nulls, quoting only where
+    needed, and times as R prints them (``2021-07-01 07:00:00``)."""
     (df.write.mode("overwrite").option("header", True).option("nullValue", "NA")
-       .option("escape", '"').csv(path))
+       .option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+       .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
 def col(name: str) -> F.Column:

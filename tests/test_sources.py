@@ -53,6 +53,7 @@ def test_export_filter_zone_and_csv(spark):
     text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".csv"))
     assert text.splitlines()[0].startswith("piemail,datamanageremail")
     assert ",NA," in text
+    assert ",2021-07-01 07:00:00," in text  # times printed as R prints them
 
 
 def test_file_order_ids_across_blocks_and_files(spark):
