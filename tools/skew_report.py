@@ -29,7 +29,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tagwave.operators.qa import apply_qa  # noqa: E402
 from tagwave.operators.sequence import surrogate_ids  # noqa: E402
-from tagwave.plans.bindings import deployments  # noqa: E402
+from tagwave.operators.histogram import timeline_unpivot  # noqa: E402
+from tagwave.plans.bindings import deployments, wide_histograms  # noqa: E402
 from tagwave.session import build_session  # noqa: E402
 
 
@@ -43,6 +44,13 @@ def main(sf_dir: str) -> None:
                     F.col("event_id").alias("seq"))
     spark.sparkContext.setJobGroup("range-numbering", "surrogate_ids")
     surrogate_ids(rows, "deployid", ["seq"]).write.format("noop").mode("overwrite").save()
+    # Timeline numbering with one hot deploy_id: the range partitioning on
+    # (deploy_id, timeline_start_dt, ...) splits it by time.
+    wide = wide_histograms(spark, sf_dir).where(F.col("hist_type") == "click").drop("hist_type")
+    hot_wide = wide.withColumn("deploy_id", F.when(F.col("deploy_id") % 3 == 0, F.lit(0))
+                               .otherwise(F.col("deploy_id")))
+    spark.sparkContext.setJobGroup("timeline-numbering", "timeline_unpivot, one hot deploy_id")
+    timeline_unpivot(hot_wide).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("per-tag-window", "row_number over (partition by deployid)")
     w = Window.partitionBy("deployid").orderBy("seq")
     rows.withColumn("rn", F.row_number().over(w)).write.format("noop").mode("overwrite").save()
