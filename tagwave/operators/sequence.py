@@ -60,10 +60,15 @@ def _float_free_prefix(df: DataFrame, order: Sequence[str | Column]) -> list[str
     return out
 
 
-def _num_partitions(df: DataFrame, partitions: int | None) -> int:
+def _range(df: DataFrame, keys: list[Column], partitions: int | None) -> DataFrame:
+    """Range-partition on ``keys``.  Without an explicit count Spark starts
+    from ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (or
+    ``spark.sql.shuffle.partitions``) and AQE merges small neighbouring
+    ranges up to the advisory partition size; merged partitions are still
+    contiguous key ranges, so partition index order stays key order."""
     if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(int(partitions), *keys)
+    return df.repartitionByRange(*keys)
 
 
 def range_partitioned(df: DataFrame, order: Sequence[str | Column],
@@ -82,15 +87,14 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column],
     rows are de-duplicated in a shuffle of their own first.
     """
     keys = _order_exprs(order)
-    n = _num_partitions(df, partitions)
     if distinct:
         prefix = _float_free_prefix(df, order)
         if prefix:
-            ranged = df.repartitionByRange(n, *_order_exprs(prefix)).distinct()
+            ranged = _range(df, _order_exprs(prefix), partitions).distinct()
         else:
-            ranged = df.distinct().repartitionByRange(n, *keys)
+            ranged = _range(df.distinct(), keys, partitions)
     else:
-        ranged = df.repartitionByRange(n, *keys)
+        ranged = _range(df, keys, partitions)
     ranged = ranged.sortWithinPartitions(*keys)
     # monotonically_increasing_id() = (partition index << 33) + index in partition
     tagged = (ranged

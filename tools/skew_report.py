@@ -36,8 +36,11 @@ from tagwave.session import build_session  # noqa: E402
 
 def main(sf_dir: str) -> None:
     log_dir = tempfile.mkdtemp(prefix="tagwave-eventlog-")
+    # AQE's partition coalescing is off: at this size it would merge all 16
+    # partitions into one or two tasks and hide how the keys are spread.
     spark = build_session(shuffle_partitions=16, extra={
-        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     rows = e.select(F.when(F.col("user_id") % 3 == 0, F.lit("hot"))
                     .otherwise(F.col("user_id").cast("string")).alias("deployid"),
@@ -57,11 +60,8 @@ def main(sf_dir: str) -> None:
 
     # QA with every broadcast refused: the records join the deployment
     # summary in a sort-merge join whose hot tag is salted (joins.py).
-    # (AQE's coalescing is off here: at this size it would merge all 16
-    # partitions into one or two tasks and hide how the keys are spread.)
     for k, v in {"spark.tagwave.maxBroadcastRows": "0",
-                 "spark.sql.autoBroadcastJoinThreshold": "-1",
-                 "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
+                 "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
         spark.conf.set(k, v)
     recs = e.select(F.col("event_id").alias("seq"), F.when(
         F.col("user_id") % 3 == 0, F.lit("1")).otherwise(F.col("user_id").cast("string")).alias("deployid"),
