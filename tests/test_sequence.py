@@ -76,3 +76,27 @@ def test_distinct_numbering_with_float_keys_many_partitions(spark):
     expected = df.distinct().withColumn("rn", F.row_number().over(w).cast("long"))
     assert got.count() == expected.count()
     assert got.exceptAll(expected.select(got.columns)).count() == 0
+
+
+def test_numbering_with_aqe_merged_ranges(spark):
+    """No fixed partition count: AQE merges many small ranges; ids still
+    follow the total order."""
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in keys]
+    spark.conf.set(keys[0], "300")
+    spark.conf.set(keys[1], "8k")
+    try:
+        df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"),
+                                          (F.col("id") % 7).cast("string").alias("t"))
+        out = global_row_number(df, ["t", "k"], out="rn").collect()
+        ids = surrogate_ids(df, "t", ["k"]).collect()
+    finally:
+        for k, v in zip(keys, before):
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert sorted((r.rn, r.t, r.k) for r in out) == [
+        (i + 1, t, k) for i, (t, k) in enumerate(sorted((r.t, r.k) for r in out))]
+    assert {(r.t, r.k): r.id for r in ids} == _loop_ids([(r.t, r.k) for r in ids])
