@@ -110,6 +110,15 @@ def location_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_locs.select(*cols).unionByName(locs.select(*cols))
 
 
+def behaviour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour records (purchase events): ``seq, deployid, count, start,
+    end`` with ``end = start + floor(value)`` minutes."""
+    r = records(spark, sf_dir).where(F.col("type") == "purchase")
+    minutes = F.floor("value")
+    return r.select("seq", "deployid", minutes.alias("count"), F.col("dt").alias("start"),
+                    (F.col("dt") + F.make_dt_interval(mins=minutes.cast("int"))).alias("end"))
+
+
 def wide_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``deploy_id, deployid, hist_dt, hist_type, bin01..bin24``: one row per
     (tag, day, type); bin h holds the largest value seen in hour h-1."""

@@ -118,6 +118,14 @@ def _qa_loaded(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def q_qa_loaded_behav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour records (loader switched off upstream, QA still flags them):
+    every eligible tag's rows loaded with ids, then flagged on ``end_dt``."""
+    deployments = B.deployments(spark, sf_dir)
+    loaded = L.load_product(B.behaviour_rows(spark, sf_dir), D.eligible_tags(deployments), S.BEHAV)
+    return Q.qa_table(loaded, deployments, S.BEHAV)
+
+
 def q_surrogate_id_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = B.records(spark, sf_dir).select("deployid", "seq")
     return surrogate_ids(r, "deployid", ["seq"]).select("id", "deployid", "seq")
@@ -249,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "locs_source_pref": q_locs_source_pref,
     "qa_loaded_locs": _qa_loaded(S.LOCS),
     "qa_loaded_timeline": _qa_loaded(S.TIMELINE),
+    "qa_loaded_behav": q_qa_loaded_behav,
     "import_status": q_import_status,
     "import_failures": q_import_failures,
     "import_short_circuit": q_import_short_circuit,

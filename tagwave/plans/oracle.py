@@ -392,3 +392,24 @@ ORACLES["atn_export"] = """
     (deploymentstopdate at time zone 'America/Vancouver') at time zone 'UTC' as deploymentstopdate,
     deploymentlatitude, cast(deploymentlongitude as double) as deploymentlongitude, species, animalid
   from d where action_lku = 'I'"""
+
+
+# -- behaviour records (loaded for every eligible tag, flagged on end_dt) --------
+ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS, AGG) + """
+  , b as (select seq, deployid, cast(floor(value) as bigint) as cnt, dt as start_dt,
+          dt + to_minutes(cast(floor(value) as int)) as end_dt from rec where type = 'purchase')
+  , ld as (select row_number() over (order by b.deployid, b.seq)
+               + dense_rank() over (order by b.deployid) as id,
+             t.deploy_id, b.deployid, b.cnt as message_count, b.start_dt, b.end_dt
+           from b join tags t on t.deployid = b.deployid)
+  , j as (select ld.*, case when ld.end_dt > a.mne then 'records after end_dt'
+                            when ld.end_dt < a.mxd then 'records before deploy_dt'
+                            else 'unreviewed' end as data_explain,
+                 coalesce(a.opn, true) as opn
+          from ld left join agg a using (deployid))
+  select id, deploy_id, deployid, message_count, start_dt, end_dt,
+    case when data_explain <> 'unreviewed' then 'reviewed'
+         when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
+    case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
+    data_explain
+  from j"""
