@@ -8,14 +8,16 @@ explodes gets a poor static estimate, so the big side could be shuffled
 first or even broadcast in its place.  Here such a table is staged once
 (parquet in the shared folder) and counted while it is written:
 
-* at most ``spark.tagwave.maxBroadcastRows`` rows (default 2M): broadcast;
+* at most ``spark.tagwave.maxBroadcastBytes`` bytes in memory (default 64 MB)
+  and ``spark.tagwave.maxBroadcastRows`` rows (default 2M): broadcast;
 * more: a sort-merge join in which hot keys are salted.  The big side's rows
   per key are counted (a partial aggregate); a key holding more than twice a
   partition's fair share is hot -- there are at most about P/2 of them, a
   proven bound, so that list is broadcast.  A hot key's big-side rows are
   spread over ``spark.tagwave.saltBuckets`` buckets (default 32) by a hash of
-  their own columns and its dimension rows are copied once per bucket; other
-  keys use bucket 0.  One key holding a third of all rows is thereby split
+  their own columns and its dimension rows are copied once per bucket; rows
+  with a null key, which match nothing, are spread the same way; other keys
+  use bucket 0.  One key holding a third of all rows is thereby split
   over many tasks.
 """
 
@@ -27,9 +29,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.operators.stage import stage, stage_counted
+from tagwave.operators.stage import stage, stage_measured
 
-# About 64 MB for the narrow (key, value) tables joined here.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_SALT_BUCKETS = 32
 
@@ -69,8 +71,9 @@ def dimension(df: DataFrame | Dimension, max_rows: int | None = None) -> Dimensi
     if isinstance(df, Dimension):
         return df
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    staged, rows = stage_counted(df, "dim")
-    return Dimension(staged, rows <= limit)
+    staged, rows, size = stage_measured(df, "dim")
+    most = _conf_int(df, "spark.tagwave.maxBroadcastBytes", DEFAULT_MAX_BROADCAST_BYTES)
+    return Dimension(staged, rows <= limit and size <= most)
 
 
 def _col(name: str) -> Column:
@@ -123,8 +126,12 @@ def _salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str) ->
     hot = F.broadcast(stage(counts.where(F.col("__n") > threshold).select(*keys)
                             .withColumn("__hot", F.lit(True)), "hotkeys"))
     row_hash = F.xxhash64(*[_col(c) for c in big.columns])
+    # a null key equals no key, so its rows may lie in any bucket
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | _col(k).isNull()
     big_s = (big.join(hot, keys, "left")
-             .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(buckets)))
+             .withColumn("__salt", F.when(F.col("__hot") | no_key, F.pmod(row_hash, F.lit(buckets)))
                          .otherwise(F.lit(0).cast("long")))
              .drop("__hot"))
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))) \

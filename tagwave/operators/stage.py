@@ -21,7 +21,7 @@ from __future__ import annotations
 import contextlib
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagwave.session import scratch_path
@@ -58,15 +58,32 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
-    """``stage`` plus the number of rows written, observed during the write
-    (no separate counting job)."""
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row as Spark holds it in memory: a word per column and the
+    null bits, plus the bytes of its texts and binary values (arrays and
+    structs count as their JSON text)."""
+    size = F.lit(8 * (len(df.columns) + 2)).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size
+
+
+def stage_measured(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int, int]:
+    """``stage`` plus the rows written and their bytes in memory, observed
+    during the write (no separate counting job)."""
     _record(df, name)
     obs = Observation()
     path = scratch_path(df.sparkSession, name)
     _register(path)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
+     .write.mode("overwrite").parquet(path))
+    got = obs.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"] or 0)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
