@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
 from tagwave.llm.token_counts import token_counts
 
@@ -18,9 +19,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_exact_dedup": ED.ORACLE_SQL,
+}
