@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
+from tagwave.llm.packing import pack
 from tagwave.llm.token_counts import token_counts
 
 
@@ -23,9 +24,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
