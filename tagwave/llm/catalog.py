@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
+from tagwave.llm.near_dedup import near_groups
 from tagwave.llm.packing import pack
 from tagwave.llm.token_counts import token_counts
 
@@ -24,6 +25,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read_table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_packing": op10_packing,
 }
 
