@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
 from tagwave.llm.near_dedup import near_groups
@@ -17,6 +18,10 @@ from tagwave.llm.packing import pack
 from tagwave.llm.token_counts import token_counts
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
@@ -42,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op1_decontamination": DC.ORACLE_SQL,
     "op7_exact_dedup": ED.ORACLE_SQL,
 }
