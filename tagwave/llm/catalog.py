@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
+from tagwave.llm.license_scan import license_digest
 from tagwave.llm.near_dedup import near_groups
 from tagwave.llm.packing import pack
+from tagwave.llm.pii import personal_data_digest
 from tagwave.llm.token_counts import token_counts
 
 
@@ -26,6 +28,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +40,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
@@ -41,8 +51,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op5_license_scan": op5_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 
