@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
+from tagwave.llm.language_id import languages
 from tagwave.llm.license_scan import license_digest
 from tagwave.llm.near_dedup import near_groups
 from tagwave.llm.packing import pack
 from tagwave.llm.pii import personal_data_digest
+from tagwave.llm.quality import quality_scores
 from tagwave.llm.token_counts import token_counts
 
 
@@ -28,10 +30,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read_table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -51,7 +61,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op3_language_id": op3_language_id,
     "op5_license_scan": op5_license_scan,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
