@@ -15,6 +15,7 @@ from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
 from tagwave.llm.language_id import languages
 from tagwave.llm.license_scan import license_digest
+from tagwave.llm.lm_scoring import lm_scores
 from tagwave.llm.near_dedup import near_groups
 from tagwave.llm.packing import pack
 from tagwave.llm.pii import personal_data_digest
@@ -34,6 +35,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_license_scan": op5_license_scan,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
