@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm.common import read_table
@@ -74,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

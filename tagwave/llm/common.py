@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -78,3 +79,28 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def text_key(text: str = "text") -> Column:
+    """With the id, what tells a row apart in a second read of its table."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` (``doc_id, text_key, kept``, one
+    row per row of ``docs``) keeps, with all their columns.
+
+    An anti-join with the dropped rows' keys.  Rows that repeat both id and
+    text share a group, of which one row stays at most: if one does, the
+    repeats are dropped by an aggregation that collapses them in their tasks.
+    """
+    key = "__text_key"
+    by_row = stage(decisions.groupBy("doc_id", F.col("text_key").alias(key)).agg(
+        F.bool_or("kept").alias("one_stays"), F.count_if(~F.col("kept")).alias("go")).where("go > 0"), "decisions")
+    keyed = docs.withColumn(key, text_key())
+    out = join_dimension(keyed, by_row.select("doc_id", key), ["doc_id", key], "left_anti", null_safe=True)
+    some = by_row.where("one_stays")
+    if not some.isEmpty():
+        repeats = join_dimension(keyed, some.select("doc_id", key), ["doc_id", key], "left_semi", null_safe=True)
+        out = out.unionByName(repeats.dropDuplicates(["doc_id", key]))
+    return out.drop(key).select(docs.columns)

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagwave.llm.common import keep_rows, text_key
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage
 
@@ -62,29 +63,17 @@ def item_sketches(items: DataFrame, shingle: int, percent: int) -> DataFrame:
                  .withColumn("item", F.monotonically_increasing_id()), "items")
 
 
-def _text_key() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
-def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, item_id, n_item, n_shared, containment``: a row for each
-    document and benchmark item of which it holds ``percent`` of the distinct
-    ``shingle``-word shingles or more.
-
-    Words are lower-cased runs of letters and digits.  An item or document of
-    fewer words than a shingle, or null, matches nothing.  Rows that repeat
-    give one row; under a repeated id the largest overlap counts; null ids are
-    kept as such.  Empty tables give no rows; other columns are ignored.
-    """
+def matches(docs: DataFrame, items: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, item_id, n_item, n_shared``: confirmed pairs."""
     docs = docs.select("doc_id", "text")
     known = item_sketches(items, shingle, percent)
     sketches = known.select("item", F.explode("sketch").alias("hash"))
-    probes = (docs.where("text is not null").select("doc_id", _text_key().alias("text_key"), words(F.col("text")).alias("w"))
+    probes = (docs.where("text is not null").select("doc_id", text_key().alias("text_key"), words(F.col("text")).alias("w"))
               .select("doc_id", "text_key",
                       F.explode(_windows("w", shingle, lambda *ws: F.xxhash64(F.concat_ws(" ", *ws)))).alias("hash")))
     pairs = stage(join_dimension(probes, sketches, ["hash"], "inner")
                   .select("doc_id", "text_key", "item").distinct(), "candidates")
-    texts = stage(join_dimension(docs.withColumn("text_key", _text_key()),
+    texts = stage(join_dimension(docs.select("doc_id", text_key().alias("text_key"), "text"),
                                  pairs.select("doc_id", "text_key").distinct(),
                                  ["doc_id", "text_key"], "inner", null_safe=True)
                   .dropDuplicates(["doc_id", "text_key"]), "candidate-texts")
@@ -92,15 +81,33 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, perc
     both = join_dimension(pairs, known.select("item", "item_id", "shingles"), ["item"], "inner")
     null_safe = whole.alias("d").join(both.alias("p"), (F.col("d.text_key") == F.col("p.text_key"))
                                       & F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")))
-    shared = null_safe.select("d.doc_id", "p.item_id", F.size("p.shingles").cast("long").alias("n_item"),
+    shared = null_safe.select("d.doc_id", "d.text_key", "p.item_id", F.size("p.shingles").cast("long").alias("n_item"),
                               F.size(F.array_intersect("p.shingles", "d.doc_shingles")).cast("long").alias("n_shared"))
-    return (shared.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
-            .groupBy("doc_id", "item_id")
+    return shared.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, item_id, n_item, n_shared, containment``: a row for each
+    document and benchmark item of which it holds ``percent`` of the distinct
+    ``shingle``-word shingles or more.
+
+    Words are lower-cased runs of letters and digits.  An item or document of
+    fewer words than a shingle, or null, matches nothing.  Rows that repeat
+    give one row; under a repeated id the largest overlap counts; null ids are
+    kept as such.  Empty tables give no rows; other columns are ignored.
+    """
+    return (matches(docs, items, shingle, percent).groupBy("doc_id", "item_id")
             .agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("containment"), "n_item", "n_shared"))
                  .alias("best"))
             .select("doc_id", "item_id", "best.n_item", "best.n_shared", "best.containment"))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without the documents that contain a benchmark item."""
+    found = matches(docs, items, shingle, percent).select("doc_id", "text_key").distinct()
+    return keep_rows(docs, found.withColumn("kept", F.lit(False)))
+
+
 #: The result as DuckDB SQL (one text per id).
 ORACLE_SQL = r"""
 WITH d AS (

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.llm.common import lower_ascii
+from tagwave.llm.common import keep_rows, lower_ascii, text_key
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage, stage_measured
 
@@ -63,8 +63,8 @@ def _directory(narrow: DataFrame, rows: int, capacity: int) -> tuple[DataFrame,
 
 def dedup_index(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits: int = 64,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The staged index: ``doc_id, rid, key, text_sha256, n_bytes, bucket``,
-    one row per document, in files of (bucket, key) ranges.
+    """The staged index: ``doc_id, rid, key, text_sha256, n_bytes, text_key,
+    bucket``, one row per document, in files of (bucket, key) ranges.
 
     ``key_bits`` below 64 weakens the key, to make keys collide in tests.
     """
@@ -72,7 +72,8 @@ def dedup_index(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits: int =
     narrow, rows, _ = stage_measured(
         docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                     _key(norm, key_bits).alias("key"), F.sha2(norm, 256).alias("text_sha256"),
-                    F.octet_length(norm).cast("long").alias("n_bytes")), "dedup-rows")
+                    F.octet_length(norm).cast("long").alias("n_bytes"),
+                    text_key(text_col).alias("text_key")), "dedup-rows")
     directory, deepest = _directory(narrow, rows, bucket_rows)
     slotted = narrow.withColumn("__slot", F.shiftrightunsigned("key", 64 - deepest))
     indexed = join_dimension(slotted, directory, ["__slot"], "inner").drop("__slot")
@@ -92,8 +93,9 @@ def compare_bytes(docs: DataFrame, groups: DataFrame, key_bits: int = 64, text_c
 
 
 def exact_dedup(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits: int = 64,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` per row of ``docs``.
+                id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` per row of ``docs``
+    (and ``text_key``, for ``common.keep_rows``).
 
     Texts are equal when identical after lower-casing A-Z; null counts as
     empty.  The row with the largest ``doc_id`` stays (null ids lose; of
@@ -116,7 +118,12 @@ def exact_dedup(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits: int =
         F.when(F.col("keep_rid").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("rid") == F.col("keep_rid"), F.lit(True)).alias("kept"),
-        "text_sha256")
+        "text_sha256", *(["text_key"] if with_key else []))
+
+
+def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of equal texts."""
+    return keep_rows(docs, exact_dedup(docs, with_key=True))
 
 
 #: The result as DuckDB SQL.

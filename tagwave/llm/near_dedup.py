@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.llm.common import splitmix, text_chunks
+from tagwave.llm.common import keep_rows, splitmix, text_chunks, text_key
 from tagwave.llm.components import components
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage
@@ -135,7 +135,7 @@ def _sketched(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.monotonically_increasing_id().alias("rid"),
-                       F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+                       text_key().alias("text_key"), "text").mapInArrow(
         run, f"doc_id {id_type}, rid long, text_key long, n_shingles long, k1 long, k2 long, "
              "bands array<long>, sketch binary")
 
@@ -162,7 +162,7 @@ def _plausible(pairs: DataFrame, percent: int) -> DataFrame:
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``rep, members`` (the sorted hashes as bytes) of the documents in
     ``wanted`` (``rep, doc_id, text_key``), from their texts."""
-    texts = join_dimension(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), wanted,
+    texts = join_dimension(docs.select("doc_id", text_key().alias("text_key"), "text"), wanted,
                            ["doc_id", "text_key"], "inner", null_safe=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +194,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _first() -> Column:
+    """Rows in the order in which one is kept: smallest id, null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS,
                 band_rows: int = BAND_ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
@@ -206,11 +211,25 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int
     never the smallest (alone, its component is null and it is kept).  An empty
     table gives no rows; other columns are ignored.
     """
+    rows = near_rows(docs, shingle, percent, bands, band_rows)
+    return rows.select("doc_id", "n_shingles", "component_id",
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component, that of smallest id."""
+    return keep_rows(docs, near_rows(docs, shingle, percent).select("doc_id", "text_key", "kept"))
+
+
+def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS,
+              band_rows: int = BAND_ROWS) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept``, where exactly one
+    row of each component is ``kept``."""
     docs = docs.select("doc_id", "text")
     rows = stage(_sketched(docs, shingle, bands, band_rows), "near-rows")
     filled = rows.where("n_shingles > 0")
     classes = stage(filled.groupBy("k1", "k2").agg(
-        F.min("rid").alias("rep"), F.min("doc_id").alias("least_doc"), F.count(F.lit(1)).alias("copies"),
+        F.min("rid").alias("rep"), F.min(_first()).alias("least"), F.count(F.lit(1)).alias("copies"),
         F.min_by(F.struct("doc_id", "text_key", "n_shingles", "bands", "sketch"), "rid").alias("r")), "near-classes")
     banded = classes.select("rep", F.explode("r.bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -277,18 +296,18 @@ def _centres(open_rows: DataFrame, n: int) -> DataFrame:
 
 def _labelled(rows: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Component ids for all documents, through their classes."""
-    named = classes.select("k1", "k2", "rep", "least_doc", "copies")
+    named = classes.select("k1", "k2", "rep", "least", "copies")
     if labels is not None:
         named = join_dimension(named, labels.withColumnRenamed("node", "rep"), ["rep"], "left")
-        roots = (named.where("root is not null").groupBy("root").agg(F.min("least_doc").alias("root_doc")))
+        roots = named.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
         named = join_dimension(named, roots, ["root"], "left")
-        component = F.when(F.col("root").isNotNull(), F.col("root_doc")).otherwise(F.col("least_doc"))
-        special = named.where("root is not null or copies > 1")
+        special = named.where("root is not null or copies > 1").withColumn("least", F.coalesce("root_least", "least"))
     else:
-        component, special = F.col("least_doc"), named.where("copies > 1")
-    special = special.select("k1", "k2", component.alias("component"))
-    out = join_dimension(rows.select("doc_id", "k1", "k2", "n_shingles"),
-                         special.withColumn("grouped", F.lit(True)), ["k1", "k2"], "left")
-    component_id = F.when(F.col("grouped"), F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+        special = named.where("copies > 1")
+    special = special.select("k1", "k2", F.col("least.doc_id").alias("component"), F.col("least.rid").alias("keep_rid"))
+    out = join_dimension(rows.select("doc_id", "rid", "text_key", "k1", "k2", "n_shingles"),
+                         special, ["k1", "k2"], "left")
+    alone = F.col("keep_rid").isNull()
+    return out.select("doc_id", "text_key", "n_shingles",
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+                      (alone | (F.col("rid") == F.col("keep_rid"))).alias("kept"))

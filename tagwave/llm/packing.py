@@ -20,53 +20,85 @@ generation.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagwave.llm.common import running_sum, text_chunks
+from tagwave.llm.common import running_sum, text_chunks, text_key
+from tagwave.llm.token_counts import byte_symbols
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.sequence import global_row_number
 from tagwave.operators.stage import stage
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words whose ids a worker remembers before it starts afresh.
+#: Distinct chunks whose ids a worker remembers before it starts afresh.
 CACHE_SIZE = 300_000
 #: Characters that Python splits at although the tokenizer keeps them.
 _KEPT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"
+#: The last character that Python folds and classes as the tokenizer does, whatever the version.
+_FOLDED_HERE = "\u024f"
 #: Length of the blocks in which the two lines of step 4 are joined.
 _BLOCK = 16_384
 
 
 class WordIds:
     """Token ids of texts.  The tokenizer drops white space and never joins
-    across it, so ids are looked up per white-space-delimited word; words not
-    yet known are encoded by the library in batches."""
+    across it, so ids are looked up per white-space-delimited chunk.  A chunk
+    not yet known is folded and split into words as the tokenizer file says
+    (canonical composition, lower case, its pattern); each new word's ids come
+    from the library's own model.  Chunks with characters beyond the Latin
+    blocks, whose folding depends on the Unicode version, with control
+    characters or special strings go through the library whole."""
 
     def __init__(self, path: str, end_id: int):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spec = json.loads(self.tokenizer.to_str())
+        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
+        self.symbols = byte_symbols()
         self.end_id = end_id
         self._reset()
 
     def _reset(self) -> None:
+        self.words: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
         self.start = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        n = len(self.index)
-        self.index.update(zip(words, range(n, n + len(words))))
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g), np.uint32, int(sizes.sum()))
+    def _ids_of(self, chunk: str) -> list[int]:
+        if self.special.search(chunk) or not chunk.isprintable() or not chunk.isascii() and max(chunk) > _FOLDED_HERE:
+            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if not chunk.isascii():
+            chunk = unicodedata.normalize("NFC", chunk)
+        chunk = chunk.lower()
+        out: list[int] = []
+        for word in [chunk] if chunk.isalpha() else self.pattern.findall(chunk):
+            ids = self.words.get(word)
+            if ids is None:
+                symbols = word if word.isascii() else "".join([self.symbols[b] for b in word.encode()])
+                ids = self.words[word] = [t.id for t in self.model.tokenize(symbols)]
+            out += ids
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        n, flat, sizes = len(self.index), [], []
+        for c in chunks:
+            ids = self._ids_of(c)
+            flat += ids
+            sizes.append(len(ids))
+        self.index.update(zip(chunks, range(n, n + len(chunks))))
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, with the end id."""
@@ -130,15 +162,11 @@ def measure(docs: DataFrame, length: int, path: str | None, end_id: int) -> Data
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", F.monotonically_increasing_id().alias("rid"),
-                        _text_key().alias("text_key"), "text")
+                        text_key().alias("text_key"), "text")
             .mapInArrow(run, f"doc_id {id_type}, rid long, text_key long, n long, "
                              "full_crcs array<long>, rest_crc long"))
 
 
-def _text_key() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
 def price(values: np.ndarray, units: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The unbounded knapsack: copies of each item of most value in ``capacity``."""
     best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
@@ -241,7 +269,7 @@ def _cut(rest: DataFrame, gaps: DataFrame) -> DataFrame:
 def _piece_crcs(docs: DataFrame, pieces: DataFrame, path: str | None, end_id: int) -> DataFrame:
     """``pieces`` with ``ids_crc32``, by tokenising the cut documents again."""
     wanted = pieces.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
-    texts = join_dimension(docs.select("doc_id", _text_key().alias("text_key"), "text"), wanted,
+    texts = join_dimension(docs.select("doc_id", text_key().alias("text_key"), "text"), wanted,
                            ["doc_id", "text_key"], "inner", null_safe=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -188,6 +188,23 @@ def labelled_features(docs: DataFrame, labels: DataFrame, train: Column, sample:
     return rows.orderBy(F.xxhash64("buckets", "vals", "stats"), "quality").toArrow().to_pydict()
 
 
+def _trained(docs: DataFrame, labels: DataFrame, train: Column, sample: int) -> FactorisationMachine | None:
+    got = labelled_features(docs, labels, train, sample)
+    if not got or not got["quality"]:
+        return None
+    parts = [(None, np.array(b, np.int64), np.array(v), np.array([s]))
+             for b, v, s in zip(got["buckets"], got["vals"], got["stats"])]
+    return fit(parts, np.array(got["quality"], float))
+
+
+def _score(model: FactorisationMachine | None, features: Features, texts: list[str], n_chars: list) -> np.ndarray:
+    return model.score(*features(texts, n_chars)) if model else np.full(len(texts), 0.5)
+
+
+def _held_out() -> Column:
+    return F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
                    sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every text of ``docs``.
@@ -198,13 +215,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
     each, a null id is not held out, of a document's repeated labels the
     largest counts; an empty table gives no rows; other columns are ignored.
     """
-    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)) if held_out is None else held_out
-    got = labelled_features(docs, labels, ~held_out, sample)
-    model = None
-    if got and got["quality"]:
-        parts = [(None, np.array(b, np.int64), np.array(v), np.array([s]))
-                 for b, v, s in zip(got["buckets"], got["vals"], got["stats"])]
-        model = fit(parts, np.array(got["quality"], float))
+    held_out = _held_out() if held_out is None else held_out
+    model = _trained(docs, labels, ~held_out, sample)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +224,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
         for batch in batches:
             at = 0
             for n_chars, texts in text_chunks(batch.column(2), batch.column(1)):
-                score = model.score(*features(texts, n_chars)) if model else np.full(len(texts), 0.5)
+                score = _score(model, features, texts, n_chars)
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
@@ -222,3 +234,23 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
 
     return _with_metadata(docs, held_out.alias("held_out")).mapInArrow(
         run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+
+
+def drop_low_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
+                     threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents whose score is below ``threshold``; rows
+    keep all their columns and stay in their tasks."""
+    model = _trained(docs, labels, ~_held_out(), sample)
+    text, n_chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch in batches:
+            known = batch.column(n_chars) if n_chars is not None else pa.nulls(batch.num_rows, pa.int64())
+            at = 0
+            for counts, texts in text_chunks(known, batch.column(text)):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                yield part.filter(pa.array(_score(model, features, texts, counts) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -37,7 +37,7 @@ _NONE = np.int32(2**31 - 1)
 _SHIFT = np.int64(20)
 
 
-def _byte_symbols() -> dict[int, str]:
+def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte in the vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     out = {b: chr(b) for b in plain}
@@ -59,7 +59,7 @@ class RaggedBPE:
         keys = (left << _SHIFT) | right
         order = np.argsort(keys)
         self._fill_table(keys[order], order.astype(np.int32))
-        names = _byte_symbols()
+        names = byte_symbols()
         self.byte_ids = np.array([vocab[names[b]] for b in range(256)], np.int32)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
