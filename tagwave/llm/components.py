@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagwave.operators.stage import stage
@@ -28,6 +28,14 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
             .distinct())
 
 
+def _staged(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links, staged, and a fingerprint of them observed meanwhile."""
+    seen = Observation()
+    mark = F.sum(F.xxhash64("u", "v") % (1 << 40))
+    out = stage(links.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "links")
+    return out, (seen.get["n"], seen.get["mark"])
+
+
 def components(links: DataFrame, u: str, v: str) -> DataFrame:
     """``node, root`` for every node of ``links`` (long columns ``u``, ``v``):
     the smallest node that can be reached.
@@ -37,14 +45,11 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
     very many neighbours is summed up by partial aggregation and its join is
     one that Spark may split.  Null nodes are dropped; no links, no rows.
     """
-    links = stage(links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
-                  .where("u <> v").distinct(), "links")
+    links, state = _staged(links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
+                           .where("u <> v").distinct())
     before = None
-    while True:
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if state == before:
-            break
+    while state != before:
         before = state
-        links = stage(_star(_star(links, True), False), "stars")
+        links, state = _staged(_star(_star(links, True), False))
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         links.select("v", "v").distinct())

@@ -7,16 +7,19 @@
 2. Documents with equal shingle sets form a class; only a class's
    representative goes on, so a group of copies costs one row.
 3. Bands of bins are bucketed.  Each bucket gives star edges from a centre to
-   its other members, never all pairs.  Pairs are dropped by size ratio, by
-   their sketches where these are decisive, and the rest confirmed on the full
-   shingle sets, read again from the text.
-4. A bucket whose members are not all connected yet is taken up again with
-   eight times as many centres, until it is connected or every member was a
-   centre: no link that shares a bucket is lost, and no bucket is capped.
+   its other members, never all pairs.  Pairs are dropped by size ratio and by
+   their sketches where these are decisive; the rest are confirmed on the full
+   shingle sets, read again from the texts of documents that share a bucket.
+4. Where a bucket's members are not all connected by then, those outside its
+   largest component are held against all members in blocks of bounded size:
+   a task counts common shingles of two blocks by matrix products and reports,
+   per document and other component, the best link only.  So no link that
+   shares a bucket is lost, no bucket is capped, and no pairs are listed.
 5. Links become components; a class's label goes to all its documents.
 
 With 40 bands of 5 bins a pair at the threshold of 0.8 misses all buckets once
-in about ten million cases.
+in about ten million cases.  Blocks hold 32-bit hashes of the shingles; a
+reported link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -31,15 +34,16 @@ from pyspark.sql import functions as F
 
 from tagwave.llm.common import keep_rows, splitmix, text_chunks, text_key
 from tagwave.llm.components import components
-from tagwave.operators.joins import join_dimension
+from tagwave.operators.joins import Dimension, dimension, join_dimension
 from tagwave.operators.stage import stage
 
 BANDS, BAND_ROWS = 40, 5
 #: Sketches decide only between sets of at least this size, and only against a
 #: pair whose share of equal bins lies this many standard deviations too low.
 SKETCH_SIZE, SKETCH_SIGMAS = 200, 8
-#: By how much the number of centres grows from round to round.
-MORE_CENTRES = 8
+#: Documents of a block, and the largest set that a block holds as it is (larger
+#: ones are compared by their sketches before the full sets).
+BLOCK, BLOCK_SET = 256, 2_500
 
 _WORD_SEED = 7
 
@@ -160,20 +164,23 @@ def _plausible(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``rep, members`` (the sorted hashes as bytes) of the documents in
-    ``wanted`` (``rep, doc_id, text_key``), from their texts."""
+    """``rep, n, sketch, members`` (the sorted hashes as bytes) of the documents
+    in ``wanted`` (``rep, doc_id, text_key, n, sketch``), from their texts."""
     texts = join_dimension(docs.select("doc_id", text_key().alias("text_key"), "text"), wanted,
                            ["doc_id", "text_key"], "inner", null_safe=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
         for batch in batches:
-            for reps, chunk in text_chunks(batch.column(0), batch.column(1)):
+            at = 0
+            for _, chunk in text_chunks(batch.column(0), batch.column(3)):
+                members = [s.tobytes() for s in shingler.sets(chunk)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps, pa.int64()), pa.array([s.tobytes() for s in shingler.sets(chunk)], pa.binary())],
-                    ["rep", "members"])
+                    [*(batch.column(c).slice(at, len(chunk)) for c in range(3)), pa.array(members, pa.binary())],
+                    ["rep", "n", "sketch", "members"])
+                at += len(chunk)
 
-    return (texts.select("rep", "text").mapInArrow(run, "rep long, members binary")
+    return (texts.select("rep", "n", "sketch", "text").mapInArrow(run, "rep long, n long, sketch binary, members binary")
             .dropDuplicates(["rep"]))  # a row may repeat
 
 
@@ -234,76 +241,147 @@ def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int =
     banded = classes.select("rep", F.explode("r.bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = stage(join_dimension(banded, shared, ["key"], "inner"), "near-buckets")
-    in_bucket = buckets.select("rep").distinct()
-    about = stage(join_dimension(
+    wanted = join_dimension(
         classes.select("rep", "r.doc_id", "r.text_key", F.col("r.n_shingles").alias("n"), "r.sketch"),
-        in_bucket, ["rep"], "inner"), "near-about")
-
-    links: DataFrame | None = None
-    done: DataFrame | None = None
-    labels: DataFrame | None = None
-    centres = 1
-    pairs = (buckets.where("rep <> centre")
-             .select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
-    while True:
-        a_side, b_side = (about.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"),
-                                       F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-        compared = join_dimension(join_dimension(pairs, a_side, ["a"], "inner"), b_side, ["b"], "inner")
-        likely = stage(_plausible(compared, percent), "near-pairs")
-        if not likely.isEmpty():
-            ends = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
-            wanted = join_dimension(about.select("rep", "doc_id", "text_key"), ends, ["rep"], "inner")
-            sets = stage(_full_sets(docs, wanted, shingle), "near-sets")
-            found = stage(_confirmed(likely, sets, percent), "near-links")
-            links = found if links is None else links.unionByName(found)
-            labels = stage(components(links, "a", "b"), "near-labels")
-        # buckets with members that are not connected
-        label = F.col("rep")
-        state = buckets
-        if labels is not None:
-            state = join_dimension(buckets, labels.withColumnRenamed("node", "rep"), ["rep"], "left")
-            label = F.coalesce("root", "rep")
-        state = state.select("key", "rep", "size", label.alias("root"))
-        open_keys = (state.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                              F.max("size").alias("size"))
-                     .where((F.col("lo") < F.col("hi")) & (F.col("size") > centres)))
-        done = pairs if done is None else done.unionByName(pairs)
-        open_rows = stage(join_dimension(state.drop("size"), open_keys.select("key", "size"), ["key"], "inner"),
-                          "near-open")
-        if open_rows.isEmpty():
-            break
-        # next round: more centres per bucket, in the order of a hash; pairs
-        # already compared or already connected are left out
-        centres *= MORE_CENTRES
-        chosen = _centres(open_rows, centres)
-        other = open_rows.select("key", F.col("rep").alias("o"), F.col("root").alias("o_root"))
-        pairs = stage(chosen.join(other, "key").where("root <> o_root")
-                      .select(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).distinct()
-                      .join(done, ["a", "b"], "left_anti"), "near-next")
-        done = stage(done, "near-done")
-
+        buckets.select("rep").distinct(), ["rep"], "left_semi")
+    sets = stage(_full_sets(docs, wanted, shingle), "near-sets")
+
+    # star edges
+    stars = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    about = dimension(sets.select("rep", "n", "sketch"))
+    for side in "ab":
+        stars = join_dimension(stars, about.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"),
+                                                   F.col("sketch").alias(f"sketch_{side}")), [side], "inner")
+    links = stage(_confirmed(_plausible(stars, percent), sets, percent), "near-links")
+    labels = dimension(components(links, "a", "b"))
+
+    # what star edges left apart
+    more = stage(_confirmed(_across(buckets, sets, labels, percent), sets, percent), "near-links")
+    if not more.isEmpty():
+        labels = dimension(components(links.unionByName(more), "a", "b"))
     return _labelled(rows, classes, labels)
 
 
-def _centres(open_rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` members of smallest hash of each bucket (all of smaller ones):
-    a hash threshold near n / size, with a margin of members kept beyond it,
-    replaces a sort of the whole bucket in one task."""
-    share = F.least(F.lit(1.0), F.lit(2.0 * n) / F.col("size"))
-    mark = F.pmod(F.xxhash64("key", "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return open_rows.where((F.col("size") <= n) | (mark <= share)).select("key", "rep", "root")
+def _across(buckets: DataFrame, sets: DataFrame, labels: Dimension, percent: int) -> DataFrame:
+    """Likely links (``a, b``) between different components inside a bucket:
+    for each document outside a bucket's largest component and each other
+    component the most similar one, by blocks."""
+    state = (join_dimension(buckets.where("size > 2"), labels.withColumnRenamed("node", "rep"), ["rep"], "left")
+             .select("key", "rep", "size", F.coalesce("root", "rep").alias("root")))
+    parts = state.groupBy("key", "size", "root").agg(F.count(F.lit(1)).alias("n"))
+    open_keys = (parts.groupBy("key", "size").agg(F.max(F.struct("n", "root")).alias("main"))
+                 .select("key", F.col("main.root").alias("main"), (F.col("size") - F.col("main.n")).alias("rest"))
+                 .where("rest > 0"))
+    open_rows = join_dimension(state, open_keys, ["key"], "inner")
+
+    def blocks(size):
+        return F.ceil(F.col(size) / F.lit(BLOCK)).cast("int")
+
+    def every(size):
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+
+    here = F.xxhash64("rep", F.lit(1))
+    members = open_rows.select("key", "rep", "root", F.lit(False).alias("outer"),
+                               F.pmod(here, blocks("size")).cast("int").alias("j"), every("rest").alias("i"))
+    outer = open_rows.where("root <> main").select(
+        "key", "rep", "root", F.lit(True).alias("outer"),
+        F.pmod(here, blocks("rest")).cast("int").alias("i"), every("size").alias("j"))
+    small = F.when(F.col("n") <= BLOCK_SET, F.col("members"))
+    held = join_dimension(stage(members.unionByName(outer), "near-blocks"),
+                          _low_halves(sets.select("rep", "n", "sketch", small.alias("members"))), ["rep"], "inner")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        found = compare_blocks(table, percent)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return held.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def _labelled(rows: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _low_halves(sets: DataFrame) -> DataFrame:
+    """``sets`` with the low 32 bits of each hash in place of the hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = [None if m is None else np.unique(np.frombuffer(m, np.uint32)[::2]).tobytes()
+                   for m in batch.column(3).to_pylist()]
+            yield batch.set_column(3, "members", pa.array(low, pa.binary()))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common values of each two sets, by products of incidence
+    matrices over slices of the values that both sides hold."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+
+    def entries(sets):
+        flat = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, flat), max(0, len(shared) - 1))
+        hit = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    sides = [entries(left), entries(right)]
+    for lo in range(0, len(shared), 4096):
+        width = min(4096, len(shared) - lo)
+        dense = []
+        for sets, (row, at) in zip((left, right), sides):
+            part = slice(*np.searchsorted(at, [lo, lo + width]))
+            m = np.zeros((len(sets), width), np.float32)
+            m[row[part], at[part] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def compare_blocks(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block of outer documents and one of members: for each outer
+    document and each component but its own, its most similar member, if the
+    similarity can reach ``percent``."""
+    t = percent / 100
+    outer = np.array(table.column("outer").to_pylist(), bool)
+    o, m = np.flatnonzero(outer), np.flatnonzero(~outer)
+    if not len(o) or not len(m):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rep, root, n = (table.column(c).to_numpy() for c in ("rep", "root", "n"))
+    held = table.column("members").to_pylist()
+    whole = np.array([x is not None for x in held])
+    values = [np.frombuffer(x or b"", np.uint32) for x in held]
+    size = np.array([len(v) for v in values])
+    common = common_counts([values[k] for k in o], [values[k] for k in m])
+    # hashes that fell together inside a set may hide as many common shingles
+    common += np.minimum((n - size)[o][:, None], (n - size)[m][None, :]) * (whole[o][:, None] & whole[m][None, :])
+    total = n[o][:, None] + n[m][None, :]
+    like = common / np.maximum(total - common, 1)
+    least = np.full(like.shape, t - 1e-6)
+    sketched = ~(whole[o][:, None] & whole[m][None, :])
+    if sketched.any():
+        marks = np.stack([np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()])
+        same = np.stack([(marks[m] == marks[k]).mean(axis=1) for k in o])
+        like = np.where(sketched, same, like)
+        least = np.where(sketched, t - SKETCH_SIGMAS * (t * (1 - t) / marks.shape[1]) ** 0.5, least)
+    fits = (root[o][:, None] != root[m][None, :]) & (like >= least)
+    fits &= np.minimum.outer(n[o], n[m]) * 100 >= np.maximum.outer(n[o], n[m]) * percent
+    row, col = np.nonzero(fits)
+    # the best of each (outer document, component); all where only sketches speak
+    order = np.lexsort((-like[row, col], root[m][col], row))
+    row, col = row[order], col[order]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (root[m][col[1:]] != root[m][col[:-1]])
+    first |= sketched[row, col]
+    a, b = rep[o[row[first]]], rep[m[col[first]]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _labelled(rows: DataFrame, classes: DataFrame, labels: Dimension) -> DataFrame:
     """Component ids for all documents, through their classes."""
     named = classes.select("k1", "k2", "rep", "least", "copies")
-    if labels is not None:
-        named = join_dimension(named, labels.withColumnRenamed("node", "rep"), ["rep"], "left")
-        roots = named.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
-        named = join_dimension(named, roots, ["root"], "left")
-        special = named.where("root is not null or copies > 1").withColumn("least", F.coalesce("root_least", "least"))
-    else:
-        special = named.where("copies > 1")
+    named = join_dimension(named, labels.withColumnRenamed("node", "rep"), ["rep"], "left")
+    roots = named.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
+    named = join_dimension(named, roots, ["root"], "left")
+    special = named.where("root is not null or copies > 1").withColumn("least", F.coalesce("root_least", "least"))
     special = special.select("k1", "k2", F.col("least.doc_id").alias("component"), F.col("least.rid").alias("keep_rid"))
     out = join_dimension(rows.select("doc_id", "rid", "text_key", "k1", "k2", "n_shingles"),
                          special, ["k1", "k2"], "left")

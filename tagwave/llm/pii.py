@@ -181,9 +181,11 @@ def personal_data_digest(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+    return found.select("doc_id", *map(number, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"),
                         F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("risk"))
 

@@ -1,0 +1,20 @@
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def make_docs(spark):
+    """Documents from (doc_id, text) or (doc_id, text, lang) rows, over three partitions."""
+    def make(rows, schema=SCHEMA):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "src0", None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, schema).repartition(3)
+    return make
+
+
+@pytest.fixture
+def odd_rows():
+    """Null ids and texts, empty and blank texts, repeated rows, ties, a very long text."""
+    return [(1, None), (2, ""), (3, " \n\t "), (None, "a null id has this text"), (5, "one"), (5, "one"),
+            (6, "same words in the same order here"), (7, "SAME words in the same order here"),
+            (8, "x" * 50_000), (9, "ab " * 20_000), (10, "ÄÖ üß 日本 \U0001f600"), (11, "...")]

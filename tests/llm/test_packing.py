@@ -1,0 +1,109 @@
+"""Packing: every id in exactly one piece, sequences gapless and full."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tagwave.llm import packing as PK
+
+PATH = public_tokenizers.path(PK.VOCABULARY)
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def ids_of(text):
+    return np.array([*LIBRARY.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+
+
+def holds(rows, docs, length):
+    """Checks the result; returns the padding."""
+    left = defaultdict(list)
+    for d, t in docs:
+        left[d].append(ids_of(t))
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert any(r.doc_tokens == len(x) and zlib.crc32(x[r.start:r.start + r.length].tobytes()) == r.ids_crc32
+                   for x in left[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for d, xs in left.items():
+        ends = sorted(p for s, n in pieces[d] for p in (s, -(s + n)))
+        starts = sorted(s for s, _ in pieces[d])
+        stops = sorted(s + n for s, n in pieces[d])
+        # as many pieces begin as end at every inner place, and each text begins and ends once
+        assert sum(n for _, n in pieces[d]) == sum(map(len, xs)), d
+        for x in xs:
+            starts.remove(0)
+            stops.remove(len(x))
+        assert starts == stops and ends
+    padding = 0
+    for parts in sequences.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at and n > 0
+            at += n
+        assert at <= length
+        padding += length - at if at & (at - 1) else 0
+    return padding
+
+
+@pytest.mark.parametrize("length,classes", [(4096, 64), (128, 16)])
+def test_pieces_and_sequences(make_docs, odd_rows, length, classes):
+    rng = random.Random(4)
+    docs = odd_rows + [(100 + k, " ".join(rng.choice(["alpha", "beta's", "Gamma,", "42", "été"])
+                                          for _ in range(int(rng.paretovariate(0.7)) % 3000))) for k in range(300)]
+    rows = PK.pack(make_docs(docs), length, classes).collect()
+    assert holds(rows, docs, length) <= length
+    assert holds(rows, docs, length) == 0 or length == 4096
+
+
+def test_awkward_lengths_are_cut(make_docs):
+    """All documents a little over half a sequence: whole ones cannot pair up."""
+    docs = [(k, "word " * 70) for k in range(40)]
+    rows = PK.pack(make_docs(docs), 128, 16).collect()
+    assert holds(rows, docs, 128) == 0
+
+
+def test_few_and_no_documents(make_docs):
+    docs = make_docs([(1, None)])
+    assert [tuple(r) for r in PK.pack(docs).collect()] == [
+        (1, 0, 1, zlib.crc32(ids_of("").tobytes()), 1, 0, 0)]
+    assert PK.pack(docs.limit(0)).count() == 0
+
+
+def test_extra_columns_do_not_matter(make_docs):
+    docs = [(k, "some words " * k) for k in range(20)]
+    d = make_docs(docs).withColumn("length", F.lit(1)).withColumn("cls", F.lit("x")).withColumn("rid", F.lit(2))
+    assert holds(PK.pack(d).collect(), docs, 4096) == 0
+
+
+def test_word_ids_equal_library(monkeypatch):
+    rng = random.Random(1)
+    signs = "aAb 'sS̈ ̣é\t\n​　<|endoftext|> <|startoftext|>İΣςßK1²\x1c\x00日"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    texts += ["<|endoftext|>x <|endoftext|>", "don't DON'T 's", "ΑΣ ΑΣΑ", "a" * 5000]
+    monkeypatch.setattr(PK, "CACHE_SIZE", 1000)
+    words = PK.WordIds(PATH, 2)
+    for k in range(0, len(texts), 100):
+        for t, got in zip(texts[k:k + 100], words.encode(texts[k:k + 100])):
+            assert got.tolist() == ids_of(t).tolist()
+
+
+def test_knapsack_and_program():
+    units, values = np.array([3, 5, 7]), np.array([0.31, 0.52, 0.7])
+    worth, copies = PK.price(values, units, 16)
+    best = max(a * .31 + b * .52 + c * .7 for a in range(6) for b in range(4) for c in range(3) if 3 * a + 5 * b + 7 * c <= 16)
+    assert abs(worth - best) < 1e-9 and copies @ units <= 16 and abs(copies @ values - best) < 1e-9
+    # the textbook case: 9 rolls of 3, 79 of 6 and 86 of 7 units out of rolls of 10
+    patterns, used = PK.solve_patterns(np.array([3, 6, 7]), np.array([97.0, 79.0, 86.0]), 10)
+    assert (patterns @ np.array([3, 6, 7]) <= 10).all() and np.allclose(patterns.T @ used, [97, 79, 86])
+    assert abs(used.sum() - 165) < 1e-6
+    units = np.arange(1, 65)
+    demand = np.random.default_rng(1).integers(1, 1000, 64).astype(float)
+    patterns, used = PK.solve_patterns(units, demand, 64)
+    assert np.allclose(patterns.T @ used, demand) and used.sum() >= demand @ units / 64 - 1e-6
