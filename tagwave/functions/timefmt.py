@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Leading date-time of a text field for each supported format: the regex
@@ -57,3 +57,12 @@ def wall_time_to_utc(ts: Column, zone: str) -> Column:
     second = t - offset_after
     repeated = (second != first) & (F.convert_timezone(utc, z, second) == t)
     return F.when(repeated, F.greatest(first, second)).otherwise(first)
+
+
+def utc_time(df: DataFrame, name: str) -> Column:
+    """A time column as zone-less UTC time, whatever the session zone: an
+    instant (``TIMESTAMP``) is taken at UTC, a zone-less time as it stands."""
+    c = F.col(f"`{name}`")
+    if dict(df.dtypes).get(name) != "timestamp":
+        return c
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01").cast("timestamp_ntz"))

@@ -17,7 +17,7 @@ from tagwave.functions.casts import r_as_integer, try_double
 from tagwave.functions.geo import make_point
 from tagwave.functions.text import blank_to_null, exact_fix, r_text, replace_first_chain
 from tagwave.functions.timefmt import parse_r_time
-from tagwave.operators.joins import Dimension, dimension, join_dimension
+from tagwave.operators.joins import dimension, join_dimension
 from tagwave.operators.sequence import file_row_number
 from tagwave.sources.csv import col
 
@@ -156,14 +156,35 @@ def number_file_rows(df: DataFrame, out: str = "id") -> DataFrame:
     return file_row_number(df, out=out)
 
 
-def deploy_keys(deploy_text: DataFrame) -> Dimension:
-    """``(deploy_id, ptt)`` of the partner deployment file: its row id and tag
-    number, the key the histogram and location files join on."""
-    d = number_file_rows(deploy_text)
-    keys = d.select(F.col("id").alias("deploy_id"), r_as_integer(r_text(col("PTT"))).alias("ptt"))
+def _all_numbers(df: DataFrame, tag: str) -> bool:
+    """Whether R reads a column as numbers: every filled field parses."""
+    t = r_text(col(tag))
+    number = t.isNull() | (F.trim(t) == "") | try_double(t).isNotNull()
+    return bool(df.agg(F.coalesce(F.bool_and(number), F.lit(True))).first()[0])
+
+
+def join_deployments(rows: DataFrame, tag: str, renames: dict, deploy_text: DataFrame) -> DataFrame:
+    """Rows of a partner file with the ``deploy_id`` (row id) of the deployments
+    of their tag number: a left join in which a missing number matches a
+    missing one, as dplyr does.
+
+    Tag numbers are compared as numbers where both columns are numbers
+    throughout (``12`` equals ``12.0``), else as the text in the file, so that
+    ``07U100`` meets only itself.
+    """
+    rows, deploy = number_file_rows(rows), number_file_rows(deploy_text)
+    numbers = _all_numbers(rows, tag) and _all_numbers(deploy, "PTT")
+
+    def key(name: str) -> Column:
+        t = r_text(col(name))
+        return (try_double(t) if numbers else t).alias("__tag")
+
     # one row per deployment: broadcast after a size check, so the histogram
     # and location rows are never shuffled for this join
-    return dimension(keys.withColumnRenamed("ptt", "__ptt"))
+    keys = dimension(deploy.select(F.col("id").alias("deploy_id"), key("PTT")))
+    tagged = rows.withColumns({"__tag": key(tag), "__ptt": r_as_integer(r_text(col(tag)))})
+    return join_dimension(_renamed(tagged, renames, keep=["id", "__tag", "__ptt"]), keys, ["__tag"], "left",
+                          null_safe=True)
 
 
 def nsb_deploy(deploy_text: DataFrame, with_geom: bool = True) -> DataFrame:
@@ -206,11 +227,7 @@ def nsb_histos_raw(histos_text: DataFrame, deploy_text: DataFrame) -> DataFrame:
     """Raw histogram table: file-order ids, the deployment row id joined on
     the tag number (null-safe left join, like dplyr), zero-padded bin names,
     ``hist_dt`` parsed as UTC."""
-    h = number_file_rows(histos_text)
-    h = h.withColumn("__ptt", r_as_integer(r_text(col("Ptt"))))
-    t = _renamed(h, HISTOS_RENAMES, keep=["id", "__ptt"])
-    keys = deploy_keys(deploy_text)
-    j = join_dimension(t, keys, ["__ptt"], "left", null_safe=True)
+    j = join_deployments(histos_text, "Ptt", HISTOS_RENAMES, deploy_text)
     j = j.withColumn("hist_dt", parse_r_time(F.col("hist_dt"), S.NSB_LOCS_TIME_FORMAT))
     return j.select(*HISTOS_COLUMNS)
 
@@ -219,11 +236,7 @@ def nsb_locs(locs_text: DataFrame, deploy_text: DataFrame, with_geom: bool = Tru
     """Location table: file-order ids, deployment row id joined on the tag
     number, dotted headers renamed, time parsed as UTC, blank flags -> null,
     point geometry from the location."""
-    lo = number_file_rows(locs_text)
-    lo = lo.withColumn("__ptt", r_as_integer(r_text(col("tag.local.identifier"))))
-    t = _renamed(lo, LOCS_RENAMES, keep=["id", "__ptt"])
-    keys = deploy_keys(deploy_text)
-    j = join_dimension(t, keys, ["__ptt"], "left", null_safe=True)
+    j = join_deployments(locs_text, "tag.local.identifier", LOCS_RENAMES, deploy_text)
     j = j.withColumns({
         # the tag number joins the integer PTT upstream, so R read it as integer
         "deployid": F.col("__ptt"),

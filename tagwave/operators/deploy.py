@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagwave.functions.timefmt import utc_time
+
 
 def eligible_predicate(deploy_dt: str = "deploy_dt", end_dt: str = "end_dt") -> Column:
     """``(deploy_dt <> end_dt) OR (deploy_dt IS NOT NULL AND end_dt IS NULL)``
@@ -37,6 +39,6 @@ def deployment_summary(deployments: DataFrame) -> DataFrame:
     a table with unique keys, so the join never fans out.
     """
     return (deployments.groupBy("deployid")
-            .agg(F.max("deploy_dt").alias("max_deploy_dt"),
-                 F.min("end_dt").alias("min_end_dt"),
+            .agg(F.max(utc_time(deployments, "deploy_dt")).alias("max_deploy_dt"),
+                 F.min(utc_time(deployments, "end_dt")).alias("min_end_dt"),
                  F.bool_or(F.col("end_dt").isNull()).alias("any_open")))

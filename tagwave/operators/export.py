@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.functions.timefmt import wall_time_to_utc
-from tagwave.sources.csv import write_text_csv
+from tagwave.sources.csv import write_r_csv, write_r_csv_file
 
 # Exported columns, in file order.
 EXPORT_COLUMNS = ["piemail", "datamanageremail", "tagmanufacturer", "tagmodel", "tagserialnumber",
@@ -30,8 +30,11 @@ def export_rows(details: DataFrame, action: str = ACTION_INSERT,
 
 
 def write_export(rows: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header and ``NA`` for missing values.  ``single_file``
-    funnels the (small, filtered) export through one task to produce one
-    file, as partners expect; leave it off for large exports."""
-    out = rows.coalesce(1) if single_file else rows
-    write_text_csv(out, path)
+    """CSV as R's ``write.csv`` prints it: header and texts quoted, ``NA`` for
+    missing values, times plain.  The rows are written in parallel; with
+    ``single_file`` the parts are then joined into ``export.csv`` in the folder
+    ``path`` by the file system, else each part has the header."""
+    if single_file:
+        write_r_csv_file(rows, path, "export.csv")
+    else:
+        write_r_csv(rows, path)

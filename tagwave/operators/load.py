@@ -49,12 +49,23 @@ def attach_tags(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:
 
 
 def shape(df: DataFrame, product: S.Product) -> DataFrame:
-    """Renames, QA defaults and the product's output columns, in order
-    (columns the landed rows lack are skipped)."""
+    """Renames, QA defaults and all of the product's output columns, in order;
+    a column that no tag landed is null."""
     out = df.withColumnsRenamed({k: v for k, v in product.renames.items() if k in df.columns})
     if product.has_qa:
         out = out.withColumns({k: F.lit(v) for k, v in S.QA_DEFAULTS.items()})
-    return out.select(*[c for c in product.columns if c in out.columns])
+    return out.select(*[c if c in out.columns else F.lit(None).cast(column_type(c)).alias(c)
+                        for c in product.columns])
+
+
+def column_type(name: str) -> str:
+    """Type of an output column that no file tells: ids are numbers, times
+    (``*_dt``) zone-less times, positions doubles, everything else text."""
+    if name in ("id", "deploy_id"):
+        return "long"
+    if name in ("latitude", "longitude"):
+        return "double"
+    return "timestamp_ntz" if name.endswith("_dt") else "string"
 
 
 def load_rows(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:

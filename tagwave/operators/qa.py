@@ -22,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
+from tagwave.functions.timefmt import utc_time
 from tagwave.operators.deploy import deployment_summary
 from tagwave.operators.joins import join_dimension
 
+_AT = "__at"  # a record's time as a zone-less UTC time
 QA_COLUMNS = ["qa_status", "data_status", "data_explain"]
 
 
@@ -48,6 +50,8 @@ def known_issue_explain(rules: Sequence[tuple], dt_col: str,
     """
     expr = None
     for _table, deployid, op, instant, explain in reversed(list(rules)):
+        if op not in ("=", ">="):
+            raise ValueError(f"known-issue rules compare with = or >=, not {op!r}")
         ts = F.lit(instant).cast("timestamp_ntz")
         dt = F.col(dt_col)
         hit = dt == ts if op == "=" else dt >= ts
@@ -108,8 +112,8 @@ def apply_qa(records: DataFrame, deployments: DataFrame, dt_col: str,
     which is what happens here (no id is needed).
     """
     base = records.drop(*[c for c in QA_COLUMNS if c in records.columns])
-    j = with_deployment_summary(base, deployments)
-    explain = explain_column(dt_col, type_exempt, rules, type_col)
+    j = with_deployment_summary(base.withColumn(_AT, utc_time(base, dt_col)), deployments)
+    explain = explain_column(_AT, type_exempt, rules, type_col)
     out = j.withColumn("data_explain", explain)
     flagged = F.col("data_explain") != F.lit(S.EXPLAIN_UNREVIEWED)
     out = out.withColumns({
@@ -140,19 +144,19 @@ def flag_active(records: DataFrame, deployments: DataFrame) -> DataFrame:
 def flag_before(records: DataFrame, deployments: DataFrame, dt_col: str,
                 type_exempt: str | None = None, type_col: str = "type") -> DataFrame:
     """Rows QA-2 would mark ``records before deploy_dt``."""
-    j = with_deployment_summary(records, deployments)
-    return j.where(before_flag(dt_col, type_exempt, type_col)).select(records.columns)
+    j = with_deployment_summary(records.withColumn(_AT, utc_time(records, dt_col)), deployments)
+    return j.where(before_flag(_AT, type_exempt, type_col)).select(records.columns)
 
 
 def flag_after(records: DataFrame, deployments: DataFrame, dt_col: str) -> DataFrame:
     """Rows QA-3 would mark ``records after end_dt``."""
-    j = with_deployment_summary(records, deployments)
-    return j.where(after_flag(dt_col)).select(records.columns)
+    j = with_deployment_summary(records.withColumn(_AT, utc_time(records, dt_col)), deployments)
+    return j.where(after_flag(_AT)).select(records.columns)
 
 
 def flag_known(records: DataFrame, rules: Sequence[tuple], dt_col: str) -> DataFrame:
     """Rows the known-issue list would mark (no join needed)."""
-    expr = known_issue_explain(rules, dt_col)
+    expr = known_issue_explain(rules, _AT)
     if expr is None:
         return records.where(F.lit(False))
-    return records.where(expr.isNotNull())
+    return records.withColumn(_AT, utc_time(records, dt_col)).where(expr.isNotNull()).select(records.columns)

@@ -172,15 +172,16 @@ def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
     without moving any row.
 
     Each input split is read by one task from start to end, so its rows get
-    consecutive ``monotonically_increasing_id`` values.  A table with one row
-    per split -- path, block start, first id, row count; bounded by the
-    number of splits, not rows -- gives every split its offset (a running sum
-    in path order), and a row's position is offset + (id - first id) + 1.
-    The split table is staged once, so both reads of the scan agree; the
-    scan itself is deterministic (same files, same split packing).  Must be
+    consecutive ``monotonically_increasing_id`` values.  Rows are staged once
+    with path, block start and id: how splits are packed into tasks depends on
+    the cores registered at the time, so a second scan could give other ids.
+    From the staged rows, a table with one row per split -- path, block start,
+    first id, row count; bounded by the number of splits, not rows -- gives
+    every split its offset (a running sum in path order), and a row's position
+    is offset + (id - first id) + 1.  The files are parsed once.  Must be
     applied to the scan output, before any shuffle.
     """
-    keyed = file_order_key(df).withColumn("__fkey", F.xxhash64("__file"))
+    keyed = stage(file_order_key(df).withColumn("__fkey", F.xxhash64("__file")), "file-rows")
     splits = (keyed.groupBy("__fkey", "__file", "__block")
               .agg(F.min("__mono").alias("__first"), F.count(F.lit(1)).alias("__n")))
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)

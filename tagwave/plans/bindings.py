@@ -8,13 +8,16 @@ The same derivations are written in SQL in ``tagwave.plans.oracle``.
 
 * deployments <- customer: ``id = c_custkey``, ``deployid`` its text; start,
   end and gaps follow fixed arithmetic rules so that null starts, open
-  deployments, zero-length deployments and deployids without a deployment
-  row (every 11th key) all occur.
+  deployments and zero-length deployments all occur.  Every 11th customer is
+  a second, zero-length deployment of the tag before it, so some deployids
+  have two rows and some records have none.
 * tag records <- events: ``seq = event_id`` (arrival order), ``deployid =
   user_id`` as text, ``dt = ts``, ``type = event_type``.
 * products <- events by type: messages = every event, dive depths = click,
   dive durations = view, time at depth = purchase, timelines = signup,
-  all_locations = error events of every third tag, locations = view events.
+  all_locations = error events of every third tag, locations = view events
+  and all other error events.  Columns that events do not have are filled by
+  a rule, so every product has its full width.
 * wide histograms <- events per (user, day, type): bin h = max value in hour
   h-1 (null when the hour has no event).
 * landing log <- customer x six product positions: present / absent / error.
@@ -22,7 +25,7 @@ The same derivations are written in SQL in ``tagwave.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
@@ -38,17 +41,18 @@ def _days(base: str, n) -> F.Column:
 
 def deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, deployid, deploy_dt, end_dt, capture_event_id`` (one row per
-    deployment; every 11th customer has none)."""
+    customer; every 11th is a second deployment of the tag before it)."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k = F.col("c_custkey")
-    deploy_dt = F.when(k % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(_days(BASE_DAY, k % 5))
-    end_dt = (F.when(k % 7 == 0, F.lit(None).cast("timestamp_ntz"))
+    second = k % 11 == 0
+    again = _days(BASE_DAY, k % 7 + 1)
+    deploy_dt = F.when(second, again).when(k % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(_days(BASE_DAY, k % 5))
+    end_dt = (F.when(second, again).when(k % 7 == 0, F.lit(None).cast("timestamp_ntz"))
                .when(k % 17 == 0, _days(BASE_DAY, k % 5))
                .otherwise(_days(END_DAY, k % 9)))
-    return (c.where(k % 11 != 0)
-            .select(k.alias("id"), k.cast("string").alias("deployid"),
+    return c.select(k.alias("id"), F.when(second, k - 1).otherwise(k).cast("string").alias("deployid"),
                     deploy_dt.alias("deploy_dt"), end_dt.alias("end_dt"),
-                    F.col("c_nationkey").cast("long").alias("capture_event_id")))
+                    F.col("c_nationkey").cast("long").alias("capture_event_id"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,51 +76,98 @@ ALL_LOCATIONS_TYPE = "error"
 LOCATIONS_TYPE = "view"
 
 
+# What the stand-in takes from an event, by landed column name.
+TAKEN = {
+    "allmsg": {"msg_date": "dt", "msg": "type"},
+    "histos_divedepth": {"divedepth_dt": "dt", "num_dives": "value"},
+    "histos_diveduration": {"diveduration_dt": "dt", "num_dives": "value"},
+    "histos_timeatdepth": {"tad_start_dt": "dt", "pct_tad": "value"},
+    "histos_timeline": {"timeline_start_dt": "dt", "percent_dry": "value"},
+    "locs": {"date_time": "dt", "type": "type"},
+    "behav": {"start": "dt"},
+}
+MADE = ("id", "deploy_id", "deployid", "qa_status", "data_status", "data_explain")
+
+
+def landed_columns(product: S.Product) -> list[tuple[str, str]]:
+    """(output column, landed column) of everything a tag's file holds."""
+    back = {new: old for old, new in product.renames.items()}
+    return [(c, back.get(c, c)) for c in product.columns if c not in MADE]
+
+
+def filler(product: S.Product, out: str) -> tuple[str, int]:
+    """Kind and period of the rule that fills a column events do not have."""
+    kind = {"latitude": "lat", "longitude": "long", "hist_type": "percent"}.get(
+        out, "time" if out.endswith("_dt") else "text")
+    return kind, 7 + product.columns.index(out)
+
+
+def _landed(r: DataFrame, product: S.Product, *more) -> DataFrame:
+    """A product's landed columns from records ``r``."""
+    seq, cols = F.col("seq"), []
+    for out, name in landed_columns(product):
+        kind, period = filler(product, out)
+        if name in TAKEN[product.name]:
+            c = F.col(TAKEN[product.name][name])
+        elif name in r.columns:
+            c = F.col(name)
+        elif kind == "percent":
+            c = F.lit(S.HIST_TYPE_PERCENT)
+        elif kind == "time":
+            c = F.timestamp_add("MINUTE", seq % period, F.col("dt"))
+        elif kind in ("lat", "long"):
+            c = (F.when(seq % 29 != 0, seq % (179 if kind == "lat" else 359) - (89 if kind == "lat" else 179))
+                 .cast("double"))
+        else:
+            c = F.concat(F.lit(f"{out} "), (seq % period).cast("string"))
+        cols.append(c.alias(name))
+    return r.select("seq", "deployid", *cols, *more)
+
+
 def product_rows(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     """Landed rows of one product for every tag, in the product's own
     column names (before the loader's renames)."""
-    r = records(spark, sf_dir)
     if product == "locs":
         return location_sources(spark, sf_dir)
+    r = records(spark, sf_dir)
     types = PRODUCT_TYPES[product]
-    if types is not None:
-        r = r.where(F.col("type").isin(*types))
-    if product == "allmsg":
-        return r.select("seq", "deployid", F.col("dt").alias("msg_date"), F.col("type").alias("msg"))
-    if product == "histos_divedepth":
-        return r.select("seq", "deployid", F.col("dt").alias("divedepth_dt"),
-                        F.col("value").alias("num_dives"))
-    if product == "histos_diveduration":
-        return r.select("seq", "deployid", F.col("dt").alias("diveduration_dt"),
-                        F.col("value").alias("num_dives"))
-    if product == "histos_timeatdepth":
-        return r.select("seq", "deployid", F.col("dt").alias("tad_start_dt"),
-                        F.col("value").alias("pct_tad"))
-    if product == "histos_timeline":
-        return r.select("seq", "deployid", F.lit(S.HIST_TYPE_PERCENT).alias("hist_type"),
-                        F.col("dt").alias("timeline_start_dt"), F.col("value").alias("percent_dry"))
-    raise KeyError(product)
+    return _landed(r.where(F.col("type").isin(*types)) if types else r, S.PRODUCTS[product])
+
+
+def _preference() -> Column:
+    """Which location source a record stands in for: 1 ``all_locations``
+    (error events of every third tag), 2 ``locations`` (view events and the
+    other error events), null neither."""
+    error = F.col("type") == ALL_LOCATIONS_TYPE
+    return (F.when(error & (F.col("deployid").cast("int") % 3 == 0), F.lit(1))
+            .when(error | (F.col("type") == LOCATIONS_TYPE), F.lit(2)))
 
 
 def location_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both location products with their preference: ``all_locations``
-    (pref 1, error events of every third tag) and ``locations`` (pref 2,
-    view events).  Columns: ``seq, deployid, date_time, type, pref``."""
+    """Both location products with their preference ``pref``, from one scan."""
+    r = records(spark, sf_dir).withColumn("pref", _preference()).where("pref is not null")
+    return _landed(r, S.LOCS, "pref")
+
+
+def product_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(deployid, pos, has_rows)``: which products have rows for which tag,
+    for all products from one scan."""
     r = records(spark, sf_dir)
-    all_locs = r.where((F.col("type") == ALL_LOCATIONS_TYPE)
-                       & (F.col("deployid").cast("int") % 3 == 0)).withColumn("pref", F.lit(1))
-    locs = r.where(F.col("type") == LOCATIONS_TYPE).withColumn("pref", F.lit(2))
-    cols = ["seq", "deployid", F.col("dt").alias("date_time"), "type", "pref"]
-    return all_locs.select(*cols).unionByName(locs.select(*cols))
+    held = [F.when(F.col("type").isin(*types) if types else F.lit(True), F.lit(S.PRODUCTS[p].pos).cast("long"))
+            for p, types in PRODUCT_TYPES.items()]
+    held.append(F.when(_preference().isNotNull(), F.lit(S.LOCS.pos).cast("long")))
+    return (r.select("deployid", F.explode(F.array_compact(F.array(*held))).alias("pos"))
+            .distinct().withColumn("has_rows", F.lit(True)))
 
 
 def behaviour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Behaviour records (purchase events): ``seq, deployid, count, start,
-    end`` with ``end = start + floor(value)`` minutes."""
+    """Behaviour records (purchase events), ``end = start + floor(value)``
+    minutes, ``count`` the minutes."""
     r = records(spark, sf_dir).where(F.col("type") == "purchase")
     minutes = F.floor("value")
-    return r.select("seq", "deployid", minutes.alias("count"), F.col("dt").alias("start"),
-                    (F.col("dt") + F.make_dt_interval(mins=minutes.cast("int"))).alias("end"))
+    r = r.withColumn("count", minutes).withColumn(
+        "end", F.col("dt") + F.make_dt_interval(mins=minutes.cast("int")))
+    return _landed(r, S.BEHAV)
 
 
 def wide_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:

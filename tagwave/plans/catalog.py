@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwave import schemas as S
+from tagwave.functions.geo import with_point
 from tagwave.functions.text import blank_to_null, replace_first_chain
 from tagwave.operators import cleanup as C
 from tagwave.operators import deploy as D
@@ -87,23 +88,32 @@ def _raw_rows(spark: SparkSession, sf_dir: str, product: S.Product) -> DataFrame
 
 
 def _routing(spark: SparkSession, sf_dir: str, upto: int = len(S.LOAD_ORDER)):
-    """Eligible tags, landed rows per product position and per-tag outcomes
-    for positions ``1..upto`` (a position's outcome depends on earlier
-    positions only, so later products are not even scanned)."""
+    """Eligible tags, the landed rows of position ``upto`` and per-tag outcomes
+    for positions ``1..upto`` (an outcome depends on earlier positions only;
+    one scan tells which products have rows)."""
     tags = D.eligible_tags(B.deployments(spark, sf_dir))
-    rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER if p.pos <= upto}
+    rows = {p.pos: _raw_rows(spark, sf_dir, p) for p in S.LOAD_ORDER if p.pos == upto}
+    presence = B.product_presence(spark, sf_dir).where(F.col("pos") <= upto)
     landing = B.landing_log(spark, sf_dir).where(F.col("pos") <= upto)
     # One row per (tag, position): staged once, read by every product's load.
-    outcomes = stage(ST.tag_outcomes(tags, landing, ST.row_presence(rows), n_products=upto),
-                     "outcomes")
+    outcomes = stage(ST.tag_outcomes(tags, landing, presence, n_products=upto), "outcomes")
     return tags, rows, outcomes
 
 
-def _load(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
+def _point_parts(df: DataFrame, name: str) -> DataFrame:
+    """Locations with the parts of their point as columns."""
+    if name not in df.columns:
+        df = with_point(df, "longitude", "latitude", name)
+    g = F.col(name)
+    return df.withColumns({f"{name}_{part}": g[part] for part in ("x", "y", "srid")}).drop(name)
+
+
+def _load(product: S.Product, points: bool = True) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tags, rows, outcomes = _routing(spark, sf_dir, upto=product.pos)
         keys = ST.loaded_keys(outcomes)
-        return L.load_product(rows[product.pos], ST.loadable_tags(keys, product.pos), product)
+        out = L.load_product(rows[product.pos], ST.loadable_tags(keys, product.pos), product)
+        return _point_parts(out, "geom") if product is S.LOCS and points else out
     run.__name__ = f"q_load_{product.name}"
     return run
 
@@ -112,7 +122,7 @@ def _qa_loaded(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
     """A loaded product table flagged with the production QA settings of
     that table (time column, ``User`` exemption, the real fault list)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        loaded = _load(product)(spark, sf_dir)
+        loaded = _load(product, points=False)(spark, sf_dir)
         return Q.qa_table(loaded, B.deployments(spark, sf_dir), product)
     run.__name__ = f"q_qa_loaded_{product.name}"
     return run
@@ -136,11 +146,8 @@ def q_locs_source_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags, rows, outcomes = _routing(spark, sf_dir)
-    keys = ST.loaded_keys(outcomes)
-    loaded = {p.name: L.load_rows(rows[p.pos], ST.loadable_tags(keys, p.pos))
-              for p in S.LOAD_ORDER}
-    return ST.import_status(tags, loaded, outcomes)
+    _tags, _rows, outcomes = _routing(spark, sf_dir)
+    return ST.status_of_outcomes(outcomes)
 
 
 def q_import_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,13 +165,8 @@ def q_import_short_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- histograms -------------------------------------------------------------
 
-# Only one histogram type is unpivoted by the 24-branch statement.
-UNPIVOT_TYPE = "click"
-
-
 def q_timeline_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = B.wide_histograms(spark, sf_dir).where(F.col("hist_type") == UNPIVOT_TYPE)
-    return H.timeline_unpivot(wide.drop("hist_type"))
+    return H.timeline_unpivot(B.wide_histograms(spark, sf_dir).drop("hist_type"))
 
 
 def q_tidy_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +188,7 @@ def q_nsb_histos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nsb_locs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.nsb_locs(PF.read_locs(spark, sf_dir), PF.read_deploy(spark, sf_dir), with_geom=False)
+    return _point_parts(C.nsb_locs(PF.read_locs(spark, sf_dir), PF.read_deploy(spark, sf_dir)), "loc_geom")
 
 
 def q_point_geom(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,17 +7,22 @@ every oracle is one self-contained statement.
 
 from __future__ import annotations
 
+from tagwave import schemas as _S
+from tagwave.plans import bindings as _B
 from tagwave.plans import partner_files as _PF
 
 # -- shared derivations (mirror tagwave.plans.bindings) ---------------------
 DEP = """dep as (
-  select c_custkey as id, cast(c_custkey as varchar) as deployid,
-    case when c_custkey % 13 = 0 then null
+  select c_custkey as id,
+    cast(case when c_custkey % 11 = 0 then c_custkey - 1 else c_custkey end as varchar) as deployid,
+    case when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
+         when c_custkey % 13 = 0 then null
          else timestamp '2024-01-03' + to_days(cast(c_custkey % 5 as int)) end as deploy_dt,
-    case when c_custkey % 7 = 0 then null
+    case when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
+         when c_custkey % 7 = 0 then null
          when c_custkey % 17 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 5 as int))
          else timestamp '2024-01-20' + to_days(cast(c_custkey % 9 as int)) end as end_dt
-  from customer where c_custkey % 11 <> 0)"""
+  from customer)"""
 
 REC = """rec as (
   select event_id as seq, cast(user_id as varchar) as deployid, ts as dt,
@@ -85,18 +90,39 @@ LAND = """land as (
          when (c_custkey + g.pos) % 9 = 0 then 'absent' else 'present' end as state
   from customer, (select cast(unnest(range(1, 7)) as bigint) as pos) g)"""
 
+
+
+def _landed(name: str, more: dict | None = None) -> str:
+    """A product's landed columns from ``rec`` (the rules of ``bindings``)."""
+    product, taken, cols = _S.PRODUCTS[name], {**_B.TAKEN[name], **(more or {})}, []
+    for out, src in _B.landed_columns(product):
+        kind, period = _B.filler(product, out)
+        if src in taken:
+            c = taken[src]
+        elif kind == "percent":
+            c = "'Percent'"
+        elif kind == "time":
+            c = f"dt + to_minutes(cast(seq % {period} as int))"
+        elif kind in ("lat", "long"):
+            n, off = (179, 89) if kind == "lat" else (359, 179)
+            c = f"case when seq % 29 <> 0 then cast(seq % {n} - {off} as double) end"
+        else:
+            c = f"'{out} ' || cast(seq % {period} as varchar)"
+        cols.append(f'{c} as "{src}"')
+    return ", ".join(["seq", "deployid", *cols])
+
+
 PRODUCT_CTES = [
-    "p1 as (select seq, deployid, dt as msg_date, type as msg from rec)",
-    "p2 as (select seq, deployid, dt as divedepth_dt, value as num_dives from rec where type = 'click')",
-    "p3 as (select seq, deployid, dt as diveduration_dt, value as num_dives from rec where type = 'view')",
-    "p4 as (select seq, deployid, dt as tad_start_dt, value as pct_tad from rec where type = 'purchase')",
-    "p5 as (select seq, deployid, 'Percent' as hist_type, dt as timeline_start_dt, value as percent_dry "
-    "from rec where type = 'signup')",
-    """lsrc as (
-  select seq, deployid, dt as date_time, type, 1 as pref from rec
-    where type = 'error' and cast(deployid as int) % 3 = 0
-  union all select seq, deployid, dt as date_time, type, 2 as pref from rec where type = 'view')""",
-    """p6 as (select l.seq, l.deployid, l.date_time, l.type, l.pref from lsrc l
+    f"p1 as (select {_landed('allmsg')} from rec)",
+    f"p2 as (select {_landed('histos_divedepth')} from rec where type = 'click')",
+    f"p3 as (select {_landed('histos_diveduration')} from rec where type = 'view')",
+    f"p4 as (select {_landed('histos_timeatdepth')} from rec where type = 'purchase')",
+    f"p5 as (select {_landed('histos_timeline')} from rec where type = 'signup')",
+    f"""lsrc as (
+  select {_landed('locs')}, 1 as pref from rec where type = 'error' and cast(deployid as int) % 3 = 0
+  union all select {_landed('locs')}, 2 as pref from rec
+    where type = 'view' or (type = 'error' and cast(deployid as int) % 3 <> 0))""",
+    """p6 as (select l.* from lsrc l
   join (select deployid, min(pref) as best from lsrc group by 1) b using (deployid)
   where l.pref = b.best)""",
 ]
@@ -124,28 +150,34 @@ LOAD_PRELUDE = _with(DEP, REC, TAGS, LAND, *PRODUCT_CTES, *ROUTING)
 _QA_DEFAULT_COLS = "'unreviewed' as qa_status, 'use' as data_status, 'unreviewed' as data_explain"
 
 
-def _load_select(pos: int, cols: str, qa: bool = True) -> str:
+def _columns(name: str) -> str:
+    """Landed columns under their output names."""
+    return ", ".join(f'x."{src}" as "{out}"' for out, src in _B.landed_columns(_S.PRODUCTS[name]))
+
+
+def _load_select(name: str, qa: bool = True) -> str:
+    pos = _S.PRODUCTS[name].pos
     extra = f", {_QA_DEFAULT_COLS}" if qa else ""
     return f"""select row_number() over (order by x.deployid, x.seq)
-        + dense_rank() over (order by x.deployid) as id, o.deploy_id, x.deployid, {cols}{extra}
+        + dense_rank() over (order by x.deployid) as id, o.deploy_id, x.deployid, {_columns(name)}{extra}
       from p{pos} x join outc o on o.deployid = x.deployid and o.pos = {pos} and o.outcome = 'loaded'"""
 
 
-def _load_sql(pos: int, cols: str, qa: bool = True) -> str:
-    return LOAD_PRELUDE + _load_select(pos, cols, qa)
+def _load_sql(name: str, qa: bool = True) -> str:
+    return LOAD_PRELUDE + _load_select(name, qa)
 
 
-def _qa_loaded_sql(pos: int, cols: str, dt: str, keep: str, known: str, exempt: bool) -> str:
-    """QA of a loaded table: the load as a CTE, then the rule chain."""
+def _flagged(load: str, dt: str, known: str, exempt: bool) -> str:
+    """QA of a loaded table ``ld``: the rule chain, row by row."""
     before = f"ld.{dt} < a.mxd" + (" and ld.type <> 'User'" if exempt else "")
-    return LOAD_PRELUDE + f""", {AGG},
-      ld as ({_load_select(pos, cols, qa=False)}),
-      j as (select {keep},
+    return f"""
+      ld as ({load}),
+      j as (select ld.*,
           case {known} when ld.{dt} > a.mne then 'records after end_dt'
                when {before} then 'records before deploy_dt' else 'unreviewed' end as data_explain,
           coalesce(a.opn, true) as opn
         from ld left join agg a using (deployid))
-      select {keep.replace('ld.', '')},
+      select * exclude (data_explain, opn),
         case when data_explain <> 'unreviewed' then 'reviewed'
              when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
         case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
@@ -153,7 +185,11 @@ def _qa_loaded_sql(pos: int, cols: str, dt: str, keep: str, known: str, exempt:
       from j"""
 
 
-# The production fault list, written as SQL (the later rule wins).
+def _qa_loaded_sql(name: str, dt: str, known: str, exempt: bool) -> str:
+    return LOAD_PRELUDE + f", {AGG}," + _flagged(_load_select(name, qa=False), dt, known, exempt)
+
+
+# The production fault list, written as SQL (the later rule wins).
 _LOCS_KNOWN = ("when ld.deployid = 'HF2010_1007_06L0129' "
                "and ld.locs_dt = timestamp '2010-05-11 12:49:01' then 'erroneous location'")
 _TIMELINE_FAULTS = [
@@ -167,6 +203,7 @@ _TIMELINE_KNOWN = " ".join(
     f"then 'wet-dry sensors suspected to be compromised'" for d, t in reversed(_TIMELINE_FAULTS))
 
 
+# Report texts and code rules, as in tagwave.schemas.
 MISSING_TEXT = {
     1: "no CSV file",
     2: "no dive depth data in histos CSV file",
@@ -193,19 +230,17 @@ _STATUS_PARTS = " union all ".join(
 ORACLES.update({
     "surrogate_id_load": _with(REC) + """select row_number() over (order by deployid, seq)
       + dense_rank() over (order by deployid) as id, deployid, seq from rec""",
-    "load_allmsg": _load_sql(1, "x.msg_date as msg_dt, x.msg", qa=False),
-    "load_divedepth": _load_sql(2, "x.divedepth_dt, x.num_dives"),
-    "load_diveduration": _load_sql(3, "x.diveduration_dt, x.num_dives"),
-    "load_timeatdepth": _load_sql(4, "x.tad_start_dt, x.pct_tad"),
-    "load_timeline": _load_sql(5, "x.hist_type, x.timeline_start_dt, x.percent_dry"),
-    "load_locs": _load_sql(6, "x.date_time as locs_dt, x.type"),
-    "qa_loaded_locs": _qa_loaded_sql(6, "x.date_time as locs_dt, x.type", "locs_dt",
-                                     "ld.id, ld.deploy_id, ld.deployid, ld.locs_dt, ld.type",
-                                     _LOCS_KNOWN, exempt=True),
-    "qa_loaded_timeline": _qa_loaded_sql(
-        5, "x.hist_type, x.timeline_start_dt, x.percent_dry", "timeline_start_dt",
-        "ld.id, ld.deploy_id, ld.deployid, ld.hist_type, ld.timeline_start_dt, ld.percent_dry",
-        _TIMELINE_KNOWN, exempt=False),
+    "load_allmsg": _load_sql("allmsg", qa=False),
+    "load_divedepth": _load_sql("histos_divedepth"),
+    "load_diveduration": _load_sql("histos_diveduration"),
+    "load_timeatdepth": _load_sql("histos_timeatdepth"),
+    "load_timeline": _load_sql("histos_timeline"),
+    "load_locs": LOAD_PRELUDE + f""", ld as ({_load_select("locs")})
+      select *, case when latitude is not null then longitude end as geom_x,
+        case when longitude is not null then latitude end as geom_y,
+        case when longitude is not null and latitude is not null then 4326 end as geom_srid from ld""",
+    "qa_loaded_locs": _qa_loaded_sql("locs", "locs_dt", _LOCS_KNOWN, exempt=True),
+    "qa_loaded_timeline": _qa_loaded_sql("histos_timeline", "timeline_start_dt", _TIMELINE_KNOWN, exempt=False),
     "locs_source_pref": _with(REC, PRODUCT_CTES[5], PRODUCT_CTES[6])
     + "select deployid, seq, pref from p6",
     "import_status": LOAD_PRELUDE + _STATUS_PARTS,
@@ -232,7 +267,7 @@ ORACLES.update({
       , u as (select distinct deploy_id, deployid, 'Percent' as hist_type,
           hist_dt + to_hours(b.h - 1) as timeline_start_dt,
           cast(list_extract({_BIN_LIST}, b.h) as double) as percent_dry
-        from wide, {HOURS} where hist_type = 'click')
+        from wide, {HOURS})
       select row_number() over (order by deploy_id, timeline_start_dt, deployid,
           percent_dry asc nulls last, hist_type) as id,
         deploy_id, deployid, hist_type, timeline_start_dt, percent_dry from u""",
@@ -298,6 +333,7 @@ HISTOS_FILE = _file_cte("hfile", _PF.histos_columns("duck"), "wide", "deploy_id,
 LOCS_FILE = _file_cte("lfile", _PF.locs_columns("duck"), "events", "event_id")
 DEPLOY_KEYS = f"dkeys as (select id as deploy_id, {_int(_q('PTT'))} as ptt from dfile)"
 
+# Code rules, as in tagwave.schemas.
 _TAG_FAMILY = [("Mk10", "MK10"), ("Splash", "SPLA")]
 _SPECIES = [("BeardedSeal", "Eb"), ("RingedSeal", "Ph"), ("SpottedSeal", "Pl")]
 _AGE = [("Juv", "SUB"), ("Adult", "ADT"), ("Pup", "PUP"), ("Pup/Juv", "PSA")]
@@ -341,7 +377,11 @@ ORACLES.update({
         {_int(_q('NumBins'))} as num_bins, {_dbl(_q('Sum'))} as hist_sum,
         {", ".join(f"{_dbl(_q(f'Bin{i}'))} as bin{i:02d}" for i in range(1, 25))}
       from hfile h left join dkeys k on {_int('h.' + _q('Ptt'))} is not distinct from k.ptt""",
-    "nsb_locs": _with(LOCS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select l.id, k.deploy_id,
+    "nsb_locs": _with(LOCS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select *,
+        case when loc_lat is not null then loc_long end as loc_geom_x,
+        case when loc_long is not null then loc_lat end as loc_geom_y,
+        case when loc_lat is not null and loc_long is not null then 4326 end as loc_geom_srid
+      from (select l.id, k.deploy_id,
         {_int(_q('tag-local-identifier'))} as deployid, {_time(_txt(_q('timestamp')), False)} as loc_dt,
         {_dbl(_q('location-lat'))} as loc_lat, {_dbl(_q('location-long'))} as loc_long,
         {_blank(_txt(_q('algorithm-marked-outlier')))} as alg_marked_outlier,
@@ -356,7 +396,7 @@ ORACLES.update({
         {_int(_q('argos-sensor-3'))} as argos_sensor3, {_int(_q('argos-sensor-4'))} as argos_sensor4,
         {_int(_q('argos-valid-location-algorithm'))} as argos_valid_loc_alg,
         {_blank(_txt(_q('manually-marked-valid')))} as manual_valid, {_txt(_q('sensor-type'))} as sensor_type
-      from lfile l left join dkeys k on {_int('l.' + _q('tag-local-identifier'))} is not distinct from k.ptt""",
+      from lfile l left join dkeys k on {_int('l.' + _q('tag-local-identifier'))} is not distinct from k.ptt)""",
     "tag_family_norm": f"""select c_custkey,
         {_first(dict(_PF.deploy_columns('duck'))['tag_model'], _TAG_FAMILY)} as tag_family_lku
       from customer""",
@@ -395,21 +435,9 @@ ORACLES["atn_export"] = """
 
 
 # -- behaviour records (loaded for every eligible tag, flagged on end_dt) --------
-ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS, AGG) + """
-  , b as (select seq, deployid, cast(floor(value) as bigint) as cnt, dt as start_dt,
-          dt + to_minutes(cast(floor(value) as int)) as end_dt from rec where type = 'purchase')
-  , ld as (select row_number() over (order by b.deployid, b.seq)
-               + dense_rank() over (order by b.deployid) as id,
-             t.deploy_id, b.deployid, b.cnt as message_count, b.start_dt, b.end_dt
-           from b join tags t on t.deployid = b.deployid)
-  , j as (select ld.*, case when ld.end_dt > a.mne then 'records after end_dt'
-                            when ld.end_dt < a.mxd then 'records before deploy_dt'
-                            else 'unreviewed' end as data_explain,
-                 coalesce(a.opn, true) as opn
-          from ld left join agg a using (deployid))
-  select id, deploy_id, deployid, message_count, start_dt, end_dt,
-    case when data_explain <> 'unreviewed' then 'reviewed'
-         when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
-    case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
-    data_explain
-  from j"""
+_BEHAV_TAKEN = {"count": "cast(floor(value) as bigint)", "end": "dt + to_minutes(cast(floor(value) as int))"}
+ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS, AGG) + f"""
+  , b as (select {_landed("behav", _BEHAV_TAKEN)} from rec where type = 'purchase'),""" + _flagged(
+    f"""select row_number() over (order by x.deployid, x.seq) + dense_rank() over (order by x.deployid) as id,
+          t.deploy_id, x.deployid, {_columns("behav")}
+        from b x join tags t on t.deployid = x.deployid""", "end_dt", "", exempt=False)

@@ -38,12 +38,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def job_session(app: str = "tagwave") -> SparkSession:
+    """Session for a job: whatever master, partition count and checkpoint
+    folder it was submitted with; only the session zone is fixed."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    shared_dir(spark)  # fails at once when the cluster names none
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can see: ``spark.checkpoint.dir`` as the
     cluster names it.
 
-    Only when it is unset (local tests) is one chosen: the context's
-    checkpoint folder if code set one, else a fresh local folder, which is
+    Only when it is unset is one chosen: the context's checkpoint folder if
+    code set one, else, with a local master only, a fresh local folder, which is
     registered as the checkpoint folder and remembered in the session under
     ``spark.tagwave.sharedDir`` (``spark.checkpoint.dir`` itself cannot change at
     run time).
@@ -54,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = _context(spark)
     d = sc.getCheckpointDir() if sc is not None else None
     if not d:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tagwave-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tagwave.operators.stage import track
+from tagwave.session import scratch_path
+
 
 def r_make_name(name: str) -> str:
     """R's ``make.names`` for one header: invalid characters become ``.``,
@@ -60,6 +63,62 @@ def write_text_csv(df: DataFrame, path: str) -> None:
        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
+def _r_field(df: DataFrame, name: str) -> F.Column:
+    """A field as ``write.csv`` prints it."""
+    c, kind = col(name), dict(df.dtypes)[name]
+    if kind == "string":
+        c = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    elif kind.startswith("timestamp"):
+        c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    elif kind == "boolean":
+        c = F.upper(c.cast("string"))
+    elif kind in ("double", "float"):  # whole numbers without a decimal point
+        whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
+        c = F.when(whole, F.floor(c).cast("string")).otherwise(c.cast("string"))
+    return F.coalesce(c.cast("string"), F.lit("NA"))
+
+
+def _r_lines(df: DataFrame) -> DataFrame:
+    return df.select(F.concat_ws(",", *[_r_field(df, c) for c in df.columns]).alias("value"))
+
+
+def _r_header(df: DataFrame) -> str:
+    return ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+
+
+def write_r_csv(df: DataFrame, path: str) -> None:
+    """Part files, each with the header, as ``write.csv(row.names = FALSE)``
+    prints them (the header is the first line of every partition)."""
+    lines = _r_lines(df).select(F.col("value").alias(_r_header(df)))
+    (lines.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+     .option("escape", "\u0000").option("quoteAll", False).option("emptyValue", "").csv(path))
+
+
+def write_r_csv_file(df: DataFrame, path: str, name: str) -> None:
+    """One CSV file ``name`` in the folder ``path``: the rows are written as
+    parts in parallel beside it and joined, in order, by the cluster's file
+    system in the driver's JVM with a fixed buffer.  Needs a JVM gateway."""
+    spark = df.sparkSession
+    parts = track(scratch_path(spark, "export-parts"))
+    _r_lines(df).write.text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    source, target = hadoop(parts), hadoop(path)
+    fs_in, fs_out = source.getFileSystem(conf), target.getFileSystem(conf)
+    fs_out.delete(target, True)
+    out = fs_out.create(hadoop(target, name))
+    try:
+        out.write(bytearray((_r_header(df) + "\n").encode()))
+        for f in sorted(str(s.getPath()) for s in fs_in.listStatus(source) if s.getPath().getName().startswith("part-")):
+            part = fs_in.open(hadoop(f))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 65536, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+
+
 def col(name: str) -> F.Column:
     """A column whose R name may contain dots."""
     return F.col(f"`{name}`")

@@ -20,18 +20,23 @@ def read_product(spark: SparkSession, root: str, product: str,
                  schema: StructType | None = None, fmt: str = "parquet") -> DataFrame | None:
     """All tags' rows of one product: ``<root>/<product>/deployid=*/``, with
     ``deployid`` kept as text (``007`` stays ``007``).  ``None`` when no tag
-    landed the product at all."""
+    landed the product at all; files that cannot be read together are an
+    error.  Without ``schema`` the columns of all tags' files are merged."""
     base = f"{root.rstrip('/')}/{product}"
     reader = spark.read.format(fmt).option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
+    elif fmt == "parquet":
+        reader = reader.option("mergeSchema", True)
     if fmt == "csv":
         reader = reader.option("header", True)
     before = spark.conf.get(_INFER, "true")
     spark.conf.set(_INFER, "false")  # partition values resolve when the DataFrame is created
     try:
         return reader.load(f"{base}/deployid=*")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     finally:
         spark.conf.set(_INFER, before)

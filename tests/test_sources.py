@@ -51,9 +51,11 @@ def test_export_filter_zone_and_csv(spark):
     path = os.path.join(local_scratch(), "export")
     write_export(out, path, single_file=True)
     text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".csv"))
-    assert text.splitlines()[0].startswith("piemail,datamanageremail")
-    assert ",NA," in text
-    assert ",2021-07-01 07:00:00," in text  # times printed as R prints them
+    assert text.splitlines()[0].startswith('"piemail","datamanageremail"')
+    assert text.splitlines()[1] == '"p","d","m","t","s","x",1,2,"D1",2021-07-01 07:00:00,NA,1,2,"Eb","A"'
+    write_export(out, path + "-parts")
+    parts = [open(os.path.join(path + "-parts", f)).read() for f in os.listdir(path + "-parts") if f.endswith(".csv")]
+    assert [p for p in parts if p] == [text]
 
 
 def test_file_order_ids_across_blocks_and_files(spark):
