@@ -287,8 +287,9 @@ def _across(buckets: DataFrame, sets: DataFrame, labels: Dimension, percent: int
         "key", "rep", "root", F.lit(True).alias("outer"),
         F.pmod(here, blocks("rest")).cast("int").alias("i"), every("size").alias("j"))
     small = F.when(F.col("n") <= BLOCK_SET, F.col("members"))
-    held = join_dimension(stage(members.unionByName(outer), "near-blocks"),
-                          _low_halves(sets.select("rep", "n", "sketch", small.alias("members"))), ["rep"], "inner")
+    # a document stands in at most one row per band and block: no hot key
+    held = stage(members.unionByName(outer), "near-blocks").join(
+        _low_halves(sets.select("rep", "n", "sketch", small.alias("members"))), "rep")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         found = compare_blocks(table, percent)
