@@ -159,14 +159,15 @@ def _with_metadata(docs: DataFrame, *more) -> DataFrame:
     return docs.select("doc_id", "text", n_chars.alias("n_chars"), *more)
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE) -> list:
+def labelled_features(docs: DataFrame, labels: DataFrame, train: Column,
+                      sample: int = SAMPLE) -> pa.Table | None:
     """Rows (buckets, values, statistics, label) of about ``sample`` labelled
     documents, chosen by a hash of the id; featurised in the tasks."""
     usable = labels.where(train & F.col("quality").isNotNull()).select(
         "doc_id", F.col("quality").cast("int").alias("quality"))
     total = usable.count()
     if not total:
-        return []
+        return None
     share = min(1.0, sample / total)
     mark = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
     picked = usable.where(mark <= int(share * (1 << 30))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -185,16 +186,20 @@ def labelled_features(docs: DataFrame, labels: DataFrame, train: Column, sample:
     rows, _, _ = stage_measured(joined.select("text", "n_chars", "quality").mapInArrow(
         run, "buckets array<long>, vals array<double>, stats array<double>, quality int"), "labelled")
     # in an order that does not depend on which task came first
-    return rows.orderBy(F.xxhash64("buckets", "vals", "stats"), "quality").toArrow().to_pydict()
+    return rows.orderBy(F.xxhash64("buckets", "vals", "stats"), "quality").toArrow()
 
 
 def _trained(docs: DataFrame, labels: DataFrame, train: Column, sample: int) -> FactorisationMachine | None:
     got = labelled_features(docs, labels, train, sample)
-    if not got or not got["quality"]:
+    if got is None or not got.num_rows:
         return None
-    parts = [(None, np.array(b, np.int64), np.array(v), np.array([s]))
-             for b, v, s in zip(got["buckets"], got["vals"], got["stats"])]
-    return fit(parts, np.array(got["quality"], float))
+
+    def rows(name):  # views of one flat array
+        column = got.column(name).combine_chunks()
+        return np.split(column.values.to_numpy(), column.offsets.to_numpy()[1:-1])
+
+    parts = [(None, b, v, s[None, :]) for b, v, s in zip(rows("buckets"), rows("vals"), rows("stats"))]
+    return fit(parts, got.column("quality").to_numpy().astype(float))
 
 
 def _score(model: FactorisationMachine | None, features: Features, texts: list[str], n_chars: list) -> np.ndarray:

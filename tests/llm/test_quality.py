@@ -62,7 +62,7 @@ def test_held_out_labels_do_not_matter(spark):
 
 def test_sample_is_bounded(spark):
     docs, labels = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
-    assert 20 < len(Q.labelled_features(docs, labels, F.lit(True), sample=60)["quality"]) < 110
+    assert 20 < Q.labelled_features(docs, labels, F.lit(True), sample=60).num_rows < 110
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
