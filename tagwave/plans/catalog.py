@@ -170,7 +170,8 @@ def q_timeline_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tidy_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.tidy_timeline(B.wide_histograms(spark, sf_dir), id_col="deployid")
+    """From a landed CSV file, with ids that are not whole numbers."""
+    return H.tidy_timeline(C.histogram_wide(PF.read_histos(spark, sf_dir)))
 
 
 # -- partner CSV cleanup ----------------------------------------------------

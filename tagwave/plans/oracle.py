@@ -271,14 +271,6 @@ ORACLES.update({
       select row_number() over (order by deploy_id, timeline_start_dt, deployid,
           percent_dry asc nulls last, hist_type) as id,
         deploy_id, deployid, hist_type, timeline_start_dt, percent_dry from u""",
-    "tidy_timeline": _with(WIDE) + f"""
-      , u as (select try_cast(deploy_id as int) as deployid, hist_type,
-          hist_dt + to_hours(b.h - 1) as timeline_start_dt,
-          cast(list_extract({_BIN_LIST}, b.h) as double) as percent_dry
-        from wide, {HOURS})
-      select row_number() over (order by deployid asc nulls last, hist_type, timeline_start_dt,
-          percent_dry asc nulls last) as id, deployid, hist_type, timeline_start_dt, percent_dry
-      from u""",
 })
 
 
@@ -331,7 +323,8 @@ def _file_cte(name: str, cols, src: str, order: str) -> str:
 DEPLOY_FILE = _file_cte("dfile", _PF.deploy_columns("duck"), "customer", "c_custkey")
 HISTOS_FILE = _file_cte("hfile", _PF.histos_columns("duck"), "wide", "deploy_id, hist_dt, hist_type")
 LOCS_FILE = _file_cte("lfile", _PF.locs_columns("duck"), "events", "event_id")
-DEPLOY_KEYS = f"dkeys as (select id as deploy_id, {_int(_q('PTT'))} as ptt from dfile)"
+# The tag numbers hold letters, so R reads them as text and compares text.
+DEPLOY_KEYS = f"dkeys as (select id as deploy_id, {_txt(_q('PTT'))} as ptt from dfile)"
 
 # Code rules, as in tagwave.schemas.
 _TAG_FAMILY = [("Mk10", "MK10"), ("Splash", "SPLA")]
@@ -376,7 +369,15 @@ ORACLES.update({
         {_dbl(_q('Time Offset'))} as time_offset, {_int(_q('Count'))} as hist_count,
         {_int(_q('NumBins'))} as num_bins, {_dbl(_q('Sum'))} as hist_sum,
         {", ".join(f"{_dbl(_q(f'Bin{i}'))} as bin{i:02d}" for i in range(1, 25))}
-      from hfile h left join dkeys k on {_int('h.' + _q('Ptt'))} is not distinct from k.ptt""",
+      from hfile h left join dkeys k on {_txt('h.' + _q('Ptt'))} is not distinct from k.ptt""",
+    "tidy_timeline": _with(WIDE, HISTOS_FILE) + f"""
+      , u as (select {_int(_q('DeployID'))} as deployid, {_txt(_q('HistType'))} as hist_type,
+          {_time(_txt(_q('Date')), False)} + to_hours(b.h - 1) as timeline_start_dt,
+          list_extract([{", ".join(_dbl(_q(f"Bin{i}")) for i in range(1, 25))}], b.h) as percent_dry
+        from hfile, {HOURS})
+      select row_number() over (order by deployid asc nulls last, hist_type, timeline_start_dt,
+          percent_dry asc nulls last) as id, deployid, hist_type, timeline_start_dt, percent_dry
+      from u""",
     "nsb_locs": _with(LOCS_FILE, DEPLOY_FILE, DEPLOY_KEYS) + f"""select *,
         case when loc_lat is not null then loc_long end as loc_geom_x,
         case when loc_long is not null then loc_lat end as loc_geom_y,
@@ -396,7 +397,7 @@ ORACLES.update({
         {_int(_q('argos-sensor-3'))} as argos_sensor3, {_int(_q('argos-sensor-4'))} as argos_sensor4,
         {_int(_q('argos-valid-location-algorithm'))} as argos_valid_loc_alg,
         {_blank(_txt(_q('manually-marked-valid')))} as manual_valid, {_txt(_q('sensor-type'))} as sensor_type
-      from lfile l left join dkeys k on {_int('l.' + _q('tag-local-identifier'))} is not distinct from k.ptt)""",
+      from lfile l left join dkeys k on {_txt('l.' + _q('tag-local-identifier'))} is not distinct from k.ptt)""",
     "tag_family_norm": f"""select c_custkey,
         {_first(dict(_PF.deploy_columns('duck'))['tag_model'], _TAG_FAMILY)} as tag_family_lku
       from customer""",

@@ -95,12 +95,19 @@ def deploy_columns(engine: str) -> list[tuple[str, str]]:
     ]
 
 
+def _tag_number(key: str) -> str:
+    """Tag numbers as partners write them: some with a letter or a fraction."""
+    return (f"case {key} % 25 when 9 then 'P' || cast({key} as string)"
+            f" when 14 then cast({key} as string) || '.5' else cast({key} as string) end")
+
+
 def histos_columns(engine: str) -> list[tuple[str, str]]:
     """(header, expression over the wide histograms) of the histogram file."""
     bins = [(f"Bin{i}", f"cast(bin{i:02d} as string)") for i in range(1, 25)]
     return [
-        ("DeployID", "cast(deploy_id as string)"),
-        ("Ptt", "cast(deploy_id as string)"),
+        ("DeployID", "case deploy_id % 10 when 3 then 'T' || cast(deploy_id as string)"
+                     " when 7 then cast(deploy_id as string) || '.5' else cast(deploy_id as string) end"),
+        ("Ptt", _tag_number("deploy_id")),
         ("Source", "case when deploy_id % 2 = 0 then 'transmission' else '' end"),
         ("HistType", "hist_type"),
         ("Date", _iso(engine, "hist_dt")),
@@ -119,7 +126,7 @@ def locs_columns(engine: str) -> list[tuple[str, str]]:
     if engine == "duck":
         lc = "list_extract(['3', '2', '1', '0', 'A', 'B', 'Z'], cast(event_id % 7 as int) + 1)"
     return [
-        ("tag-local-identifier", "cast(user_id as string)"),
+        ("tag-local-identifier", _tag_number("user_id")),
         ("timestamp", f"{_iso(engine, 'ts')} || case when {e} % 5 = 0 then '.000' else '' end"),
         ("location-lat", f"case when {e} % 11 = 0 then 'NA' else cast(60 + user_id % 20 as string)"
                          f" || '.' || lpad(cast({e} % 1000 as string), 3, '0') end"),
