@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwave.llm.common import crc_mod, text_chunks
+from tagwave.operators.joins import join_dimension
 
 #: Bounds of the sample: texts and landmarks per language.
 PER_LANGUAGE, LANDMARKS = 400, 50
@@ -161,12 +162,16 @@ def fit(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
 
 def labelled_sample(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` (lang, text) rows of each language, those of
-    smallest hash; each task passes on that many rows of a language at most."""
-    mark = F.xxhash64("doc_id", F.lit(3))
+    smallest hash.  Rows are counted by language first, so that only about
+    twice as many as wanted are ever ranked, however large a language is."""
+    mark = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40))
+    marked = docs.where(train & F.col("lang").isNotNull()).select("doc_id", "lang", mark.alias("mark"))
+    sizes = marked.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    share = F.lit((2.0 * per_language + 50) * (1 << 40)) / F.col("size")
+    few = join_dimension(marked, sizes, ["lang"], "inner").where(F.col("mark") <= share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
-    picked = (docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-              .select("doc_id", "lang", mark.alias("mark")).withColumn("rank", rank)
-              .where(F.col("rank") <= per_language).select("doc_id", "lang", "mark").distinct())
+    picked = (few.withColumn("rank", rank).where(F.col("rank") <= per_language)
+              .select("doc_id", "lang", "mark").distinct())
     rows = (docs.select("doc_id", "lang", "text")
             .join(F.broadcast(picked), ["doc_id", "lang"])  # the sample: bounded
             .orderBy("lang", "mark", "doc_id").select("lang", "text").collect())
