@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tagwave import schemas as S
 from tagwave.functions.timefmt import utc_time
 from tagwave.operators.deploy import deployment_summary
-from tagwave.operators.joins import join_dimension
+from tagwave.operators.joins import Dimension, dimension, join_dimension
 
 _AT = "__at"  # a record's time as a zone-less UTC time
 QA_COLUMNS = ["qa_status", "data_status", "data_explain"]
@@ -60,10 +60,16 @@ def known_issue_explain(rules: Sequence[tuple], dt_col: str,
     return expr
 
 
-def with_deployment_summary(records: DataFrame, deployments: DataFrame) -> DataFrame:
+def summary_dimension(deployments: DataFrame | Dimension) -> Dimension:
+    """The per-deployid summary, staged and size-checked; build it once to flag
+    several tables."""
+    return deployments if isinstance(deployments, Dimension) else dimension(deployment_summary(deployments))
+
+
+def with_deployment_summary(records: DataFrame, deployments: DataFrame | Dimension) -> DataFrame:
     """Attach ``max_deploy_dt, min_end_dt, any_open`` per deployid (left join:
     records without a deployment row keep nulls)."""
-    return join_dimension(records, deployment_summary(deployments), ["deployid"], "left")
+    return join_dimension(records, summary_dimension(deployments), ["deployid"], "left")
 
 
 def active_flag() -> Column:
@@ -100,7 +106,7 @@ def explain_column(dt_col: str, type_exempt: str | None, rules: Sequence[tuple],
     return chain.when(before, F.lit(S.EXPLAIN_BEFORE)).otherwise(F.lit(S.EXPLAIN_UNREVIEWED))
 
 
-def apply_qa(records: DataFrame, deployments: DataFrame, dt_col: str,
+def apply_qa(records: DataFrame, deployments: DataFrame | Dimension, dt_col: str,
              type_exempt: str | None = None, rules: Sequence[tuple] = (),
              type_col: str = "type", keep: Iterable[str] | None = None) -> DataFrame:
     """All QA steps (reset, active, before, after, known issues) in one pass.
@@ -126,7 +132,7 @@ def apply_qa(records: DataFrame, deployments: DataFrame, dt_col: str,
     return out.select(*cols, *QA_COLUMNS)
 
 
-def qa_table(records: DataFrame, deployments: DataFrame, product: S.Product,
+def qa_table(records: DataFrame, deployments: DataFrame | Dimension, product: S.Product,
              rules: Sequence[tuple] = S.KNOWN_ISSUES) -> DataFrame:
     """QA for one registered product table with its own time column, type
     exemption and the known-issue rules addressed to it."""

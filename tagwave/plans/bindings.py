@@ -12,7 +12,9 @@ The same derivations are written in SQL in ``tagwave.plans.oracle``.
   a second, zero-length deployment of the tag before it, so some deployids
   have two rows and some records have none.
 * tag records <- events: ``seq = event_id`` (arrival order), ``deployid =
-  user_id`` as text, ``dt = ts``, ``type = event_type``.
+  user_id`` as text (a few numbers stand for the tags of the fault list),
+  ``dt = ts``, ``type = event_type``; of locations every fifth is a ``User``
+  one and some have no type.
 * products <- events by type: messages = every event, dive depths = click,
   dive durations = view, time at depth = purchase, timelines = signup,
   all_locations = error events of every third tag, locations = view events
@@ -39,6 +41,19 @@ def _days(base: str, n) -> F.Column:
     return F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(days=n.cast("int"))
 
 
+# Key numbers that stand for the tags with known timeline faults.
+FAULT_TAGS = {21 + k: rule[1] for k, rule in
+              enumerate(r for r in S.KNOWN_ISSUES if r[0] == "timeline")}
+
+
+def tag_id(number: Column) -> Column:
+    """The deployid of a key number."""
+    out = number.cast("string")
+    for n, name in FAULT_TAGS.items():
+        out = F.when(number == n, F.lit(name)).otherwise(out)
+    return out
+
+
 def deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, deployid, deploy_dt, end_dt, capture_event_id`` (one row per
     customer; every 11th is a second deployment of the tag before it)."""
@@ -50,18 +65,18 @@ def deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
     end_dt = (F.when(second, again).when(k % 7 == 0, F.lit(None).cast("timestamp_ntz"))
                .when(k % 17 == 0, _days(BASE_DAY, k % 5))
                .otherwise(_days(END_DAY, k % 9)))
-    return c.select(k.alias("id"), F.when(second, k - 1).otherwise(k).cast("string").alias("deployid"),
+    return c.select(k.alias("id"), tag_id(F.when(second, k - 1).otherwise(k)).alias("deployid"),
                     deploy_dt.alias("deploy_dt"), end_dt.alias("end_dt"),
                     F.col("c_nationkey").cast("long").alias("capture_event_id"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``seq, deployid, dt, type, value``: one row per tag record."""
+    """``seq, deployid, dt, type, value, tag``: one row per tag record."""
     e = read_table(spark, sf_dir, "events")
     return e.select(F.col("event_id").alias("seq"),
-                    F.col("user_id").cast("string").alias("deployid"),
+                    tag_id(F.col("user_id")).alias("deployid"),
                     F.col("ts").alias("dt"), F.col("event_type").alias("type"),
-                    F.col("value"))
+                    F.col("value"), F.col("user_id").alias("tag"))
 
 
 # product -> event types standing in for it
@@ -83,7 +98,7 @@ TAKEN = {
     "histos_diveduration": {"diveduration_dt": "dt", "num_dives": "value"},
     "histos_timeatdepth": {"tad_start_dt": "dt", "pct_tad": "value"},
     "histos_timeline": {"timeline_start_dt": "dt", "percent_dry": "value"},
-    "locs": {"date_time": "dt", "type": "type"},
+    "locs": {"date_time": "dt", "type": "loc_type"},
     "behav": {"start": "dt"},
 }
 MADE = ("id", "deploy_id", "deployid", "qa_status", "data_status", "data_explain")
@@ -139,13 +154,15 @@ def _preference() -> Column:
     (error events of every third tag), 2 ``locations`` (view events and the
     other error events), null neither."""
     error = F.col("type") == ALL_LOCATIONS_TYPE
-    return (F.when(error & (F.col("deployid").cast("int") % 3 == 0), F.lit(1))
+    return (F.when(error & (F.col("tag") % 3 == 0), F.lit(1))
             .when(error | (F.col("type") == LOCATIONS_TYPE), F.lit(2)))
 
 
 def location_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both location products with their preference ``pref``, from one scan."""
     r = records(spark, sf_dir).withColumn("pref", _preference()).where("pref is not null")
+    seq = F.col("seq")
+    r = r.withColumn("loc_type", F.when(seq % 5 == 0, F.lit("User")).when(seq % 7 != 0, F.col("type")))
     return _landed(r, S.LOCS, "pref")
 
 
@@ -194,7 +211,7 @@ def landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (F.when((k * 7 + p) % 23 == 0, F.lit("error"))
               .when((k + p) % 9 == 0, F.lit("absent"))
               .otherwise(F.lit("present")))
-    return g.select(k.cast("string").alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))
+    return g.select(tag_id(k).alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))
 
 
 def tag_details(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,9 +12,14 @@ from tagwave.plans import bindings as _B
 from tagwave.plans import partner_files as _PF
 
 # -- shared derivations (mirror tagwave.plans.bindings) ---------------------
-DEP = """dep as (
+def _tag_id(number: str) -> str:
+    return (f"case {number} " + " ".join(f"when {n} then '{d}'" for n, d in _B.FAULT_TAGS.items())
+            + f" else cast({number} as varchar) end")
+
+
+DEP = f"""dep as (
   select c_custkey as id,
-    cast(case when c_custkey % 11 = 0 then c_custkey - 1 else c_custkey end as varchar) as deployid,
+    {_tag_id("(case when c_custkey % 11 = 0 then c_custkey - 1 else c_custkey end)")} as deployid,
     case when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
          when c_custkey % 13 = 0 then null
          else timestamp '2024-01-03' + to_days(cast(c_custkey % 5 as int)) end as deploy_dt,
@@ -24,9 +29,9 @@ DEP = """dep as (
          else timestamp '2024-01-20' + to_days(cast(c_custkey % 9 as int)) end as end_dt
   from customer)"""
 
-REC = """rec as (
-  select event_id as seq, cast(user_id as varchar) as deployid, ts as dt,
-         event_type as type, value from events)"""
+REC = f"""rec as (
+  select event_id as seq, {_tag_id("user_id")} as deployid, ts as dt,
+         event_type as type, value, user_id as tag from events)"""
 
 AGG = """agg as (
   select deployid, max(deploy_dt) as mxd, min(end_dt) as mne,
@@ -84,8 +89,8 @@ ORACLES: dict[str, str] = {
 TAGS = """tags as (select id as deploy_id, deployid from dep
   where (deploy_dt <> end_dt) or (deploy_dt is not null and end_dt is null))"""
 
-LAND = """land as (
-  select cast(c_custkey as varchar) as deployid, g.pos,
+LAND = f"""land as (
+  select {_tag_id("c_custkey")} as deployid, g.pos,
     case when (c_custkey * 7 + g.pos) % 23 = 0 then 'error'
          when (c_custkey + g.pos) % 9 = 0 then 'absent' else 'present' end as state
   from customer, (select cast(unnest(range(1, 7)) as bigint) as pos) g)"""
@@ -112,6 +117,8 @@ def _landed(name: str, more: dict | None = None) -> str:
     return ", ".join(["seq", "deployid", *cols])
 
 
+_LOC_TYPE = {"type": "case when seq % 5 = 0 then 'User' when seq % 7 <> 0 then type end"}
+
 PRODUCT_CTES = [
     f"p1 as (select {_landed('allmsg')} from rec)",
     f"p2 as (select {_landed('histos_divedepth')} from rec where type = 'click')",
@@ -119,9 +126,9 @@ PRODUCT_CTES = [
     f"p4 as (select {_landed('histos_timeatdepth')} from rec where type = 'purchase')",
     f"p5 as (select {_landed('histos_timeline')} from rec where type = 'signup')",
     f"""lsrc as (
-  select {_landed('locs')}, 1 as pref from rec where type = 'error' and cast(deployid as int) % 3 = 0
-  union all select {_landed('locs')}, 2 as pref from rec
-    where type = 'view' or (type = 'error' and cast(deployid as int) % 3 <> 0))""",
+  select {_landed('locs', _LOC_TYPE)}, 1 as pref from rec where type = 'error' and tag % 3 = 0
+  union all select {_landed('locs', _LOC_TYPE)}, 2 as pref from rec
+    where type = 'view' or (type = 'error' and tag % 3 <> 0))""",
     """p6 as (select l.* from lsrc l
   join (select deployid, min(pref) as best from lsrc group by 1) b using (deployid)
   where l.pref = b.best)""",

@@ -39,3 +39,15 @@ def test_location_and_histogram_cases_present(spark):
     assert {r.pref for r in kept.select("pref").distinct().collect()} == {1, 2}
     wide = B.wide_histograms(spark, SF)
     assert wide.where("bin01 is null").count() > 0 and wide.where("bin01 is not null").count() > 0
+
+
+def test_qa_rules_have_rows(spark):
+    """The flagged tables hold rows of every rule the stand-ins can reach."""
+    locs = CAT.QUERIES["qa_loaded_locs"](spark, SF)
+    assert {(r.data_explain) for r in locs.select("data_explain").distinct().collect()} >= {
+        "records before deploy_dt", "records after end_dt", "unreviewed"}
+    assert locs.where("type = 'User'").count() > 0 and locs.where("type is null").count() > 0
+    faults = CAT.QUERIES["qa_loaded_timeline"](spark, SF).where("data_explain like 'wet-dry%'")
+    assert faults.count() > 0
+    d = B.deployments(spark, SF)
+    assert d.groupBy("deployid").count().where("count > 1").count() > 0
