@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,21 @@ def text_chunks(ids: pa.Array, texts: pa.Array, limit: int = 2_000_000) -> Itera
         yield out_ids, out
 
 
+def tidied(run: Callable[[Iterator], Iterator], last: Callable[[], None] | None = None) -> Callable:
+    """A ``mapInArrow`` function that gives unused memory back when its
+    partition ends (after ``last``, if given): workers live on between tasks."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if last is not None:
+                last()
+            pa.default_memory_pool().release_unused()
+
+    return inner
+
+
 def running_sum(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
     """``df`` with ``out`` = sum of ``value`` over the rows before each row in
     ``order`` (a unique key), without moving all rows to one task.

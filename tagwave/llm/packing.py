@@ -33,15 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagwave.llm.common import running_sum, text_chunks, text_key
+from tagwave.llm.common import running_sum, text_chunks, text_key, tidied
 from tagwave.llm.token_counts import byte_symbols
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.sequence import global_row_number
 from tagwave.operators.stage import stage
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct chunks whose ids a worker remembers before it starts afresh.
-CACHE_SIZE = 300_000
+#: Distinct chunks whose ids a task remembers before it starts afresh.
+CACHE_SIZE = 200_000
 #: Characters that Python splits at although the tokenizer keeps them.
 _KEPT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"
 #: The last character that Python folds and classes as the tokenizer does, whatever the version.
@@ -50,6 +50,19 @@ _FOLDED_HERE = "\u024f"
 _BLOCK = 16_384
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class WordIds:
     """Token ids of texts.  The tokenizer drops white space and never joins
     across it, so ids are looked up per white-space-delimited chunk.  A chunk
@@ -65,18 +78,20 @@ class WordIds:
         spec = json.loads(self.tokenizer.to_str())
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
+        if any(t["content"].isalnum() for t in spec["added_tokens"]):
+            raise ValueError("special strings without a sign are not supported")
         self.symbols = byte_symbols()
         self.end_id = end_id
+        self.words: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.words: dict[str, list[int]] = {}
-        self.index: dict[str, int] = {}
-        self.start = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.index = _Numbers({"": 0})  # no chunk is empty: number 0 is the end id
+        self.start = np.array([0, 1], np.int64)
+        self.ids = np.array([self.end_id], np.uint32)
 
     def _ids_of(self, chunk: str) -> list[int]:
-        if self.special.search(chunk) or not chunk.isprintable() or not chunk.isascii() and max(chunk) > _FOLDED_HERE:
+        if not chunk.isalnum() and self.special.search(chunk) or not chunk.isprintable() or not chunk.isascii() and max(chunk) > _FOLDED_HERE:
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
         if not chunk.isascii():
             chunk = unicodedata.normalize("NFC", chunk)
@@ -90,37 +105,42 @@ class WordIds:
             out += ids
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
-        n, flat, sizes = len(self.index), [], []
-        for c in chunks:
+    def _learn(self) -> None:
+        """Ids of the chunks numbered since the last call."""
+        flat, sizes = [], []
+        for c in self.index.new:
             ids = self._ids_of(c)
             flat += ids
             sizes.append(len(ids))
-        self.index.update(zip(chunks, range(n, n + len(chunks))))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.index.new.clear()
+        if len(self.words) > CACHE_SIZE:
+            self.words.clear()
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes, dtype=np.int64)])
         self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        split = [None if any(c in t for c in _KEPT_BY_TOKENIZER) else t.split() for t in texts]
-        seen = {w for ws in split if ws for w in ws}
-        new = list(seen - self.index.keys())
-        if len(self.index) + len(new) > CACHE_SIZE:
+        if len(self.index) > CACHE_SIZE:
             self._reset()
-            new = list(seen)
-        if new:
-            self._learn(new)
-        end = np.array([self.end_id], np.uint32)
-        for text, words in zip(texts, split):
-            if words is None:
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-                first, size = self.start[at], self.start[at + 1] - self.start[at]
-                stop = np.cumsum(size)
-                total = int(stop[-1]) if len(stop) else 0
-                ids = self.ids[np.repeat(first - (stop - size), size) + np.arange(total)]
-            yield np.concatenate([ids, end])
+        whole = {k for k, t in enumerate(texts) if any(c in t for c in _KEPT_BY_TOKENIZER)}
+        counts, at = [], []
+        for k, t in enumerate(texts):
+            words = [] if k in whole else t.split()
+            words.append("")
+            counts.append(len(words))
+            at.append(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)))
+        if self.index.new:
+            self._learn()
+        at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        first = self.start[at]
+        size = self.start[at + 1] - first
+        stop = np.cumsum(size)
+        flat = self.ids[np.repeat(first - (stop - size), size) + np.arange(int(size.sum()))]
+        out = np.split(flat, stop[np.cumsum(counts)[:-1] - 1]) if counts else []
+        for k in whole:
+            ids = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
+            out[k] = np.array([*ids, self.end_id], np.uint32)
+        return out
 
 
 _ENCODERS: dict[tuple[str, int], WordIds] = {}
@@ -133,8 +153,15 @@ def _encoder(path: str | None, end_id: int) -> WordIds:
     return _ENCODERS[where, end_id]
 
 
+def _forget() -> None:
+    """What a task has looked up; the tokenizers stay."""
+    for encoder in _ENCODERS.values():
+        encoder.words.clear()
+        encoder._reset()
+
+
 def _crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4", copy=False).tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
 
 
 def measure(docs: DataFrame, length: int, path: str | None, end_id: int) -> DataFrame:
@@ -163,7 +190,7 @@ def measure(docs: DataFrame, length: int, path: str | None, end_id: int) -> Data
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", F.monotonically_increasing_id().alias("rid"),
                         text_key().alias("text_key"), "text")
-            .mapInArrow(run, f"doc_id {id_type}, rid long, text_key long, n long, "
+            .mapInArrow(tidied(run, _forget), f"doc_id {id_type}, rid long, text_key long, n long, "
                              "full_crcs array<long>, rest_crc long"))
 
 
@@ -295,7 +322,7 @@ def _piece_crcs(docs: DataFrame, pieces: DataFrame, path: str | None, end_id: in
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     crcs = (texts.select("doc_id", "text_key", "text", "cuts")
-            .mapInArrow(run, f"doc_id {id_type}, text_key long, start long, length long, ids_crc32 long")
+            .mapInArrow(tidied(run, _forget), f"doc_id {id_type}, text_key long, start long, length long, ids_crc32 long")
             .dropDuplicates(["doc_id", "text_key", "start", "length"]))
     return join_dimension(pieces, crcs, ["doc_id", "text_key", "start", "length"], "inner", null_safe=True)
 
