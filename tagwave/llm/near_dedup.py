@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.llm.common import keep_rows, splitmix, text_chunks, text_key
+from tagwave.llm.common import keep_rows, splitmix, text_chunks, text_key, tidied
 from tagwave.llm.components import components
 from tagwave.operators.joins import Dimension, dimension, join_dimension
 from tagwave.operators.stage import stage
@@ -140,7 +140,7 @@ def _sketched(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.monotonically_increasing_id().alias("rid"),
                        text_key().alias("text_key"), "text").mapInArrow(
-        run, f"doc_id {id_type}, rid long, text_key long, n_shingles long, k1 long, k2 long, "
+        tidied(run), f"doc_id {id_type}, rid long, text_key long, n_shingles long, k1 long, k2 long, "
              "bands array<long>, sketch binary")
 
 
@@ -180,7 +180,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     ["rep", "n", "sketch", "members"])
                 at += len(chunk)
 
-    return (texts.select("rep", "n", "sketch", "text").mapInArrow(run, "rep long, n long, sketch binary, members binary")
+    return (texts.select("rep", "n", "sketch", "text").mapInArrow(tidied(run), "rep long, n long, sketch binary, members binary")
             .dropDuplicates(["rep"]))  # a row may repeat
 
 
@@ -198,7 +198,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(tidied(run), "a long, b long")
 
 
 def _first() -> Column:
@@ -307,7 +307,7 @@ def _low_halves(sets: DataFrame) -> DataFrame:
                    for m in batch.column(3).to_pylist()]
             yield batch.set_column(3, "members", pa.array(low, pa.binary()))
 
-    return sets.mapInArrow(run, sets.schema)
+    return sets.mapInArrow(tidied(run), sets.schema)
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -8,7 +8,6 @@ from inside a run), so one very long text costs no more than many short ones.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass

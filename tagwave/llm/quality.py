@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwave.llm.common import crc_mod, text_chunks
+from tagwave.llm.common import crc_mod, text_chunks, tidied
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage_measured
 
@@ -184,7 +184,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, train: Column,
                     ["buckets", "vals", "stats", "quality"])
 
     rows, _, _ = stage_measured(joined.select("text", "n_chars", "quality").mapInArrow(
-        run, "buckets array<long>, vals array<double>, stats array<double>, quality int"), "labelled")
+        tidied(run), "buckets array<long>, vals array<double>, stats array<double>, quality int"), "labelled")
     # in an order that does not depend on which task came first
     return rows.orderBy(F.xxhash64("buckets", "vals", "stats"), "quality").toArrow()
 
@@ -238,7 +238,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
                     ["doc_id", "held_out", "score", "predicted"])
 
     return _with_metadata(docs, held_out.alias("held_out")).mapInArrow(
-        run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+        tidied(run), f"doc_id {id_type}, held_out boolean, score double, predicted int")
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
@@ -258,4 +258,4 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
                 at += len(texts)
                 yield part.filter(pa.array(_score(model, features, texts, counts) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
