@@ -54,16 +54,27 @@ def text_chunks(ids: pa.Array, texts: pa.Array, limit: int = 2_000_000) -> Itera
         yield out_ids, out
 
 
-def tidied(run: Callable[[Iterator], Iterator], last: Callable[[], None] | None = None) -> Callable:
-    """A ``mapInArrow`` function that gives unused memory back when its
-    partition ends (after ``last``, if given): workers live on between tasks."""
+#: How to drop what each operator keeps in a worker between its tasks.
+FORGET: dict[str, Callable[[], None]] = {}
+
+
+def forget_others(owner: str | None) -> None:
+    """Drop what other operators keep in this worker."""
+    for name, forget in FORGET.items():
+        if name != owner:
+            forget()
+
+
+def tidied(run: Callable[[Iterator], Iterator], owner: str | None = None) -> Callable:
+    """A ``mapInArrow`` function that drops what operators other than ``owner``
+    keep in the worker and gives unused memory back when its partition ends:
+    workers live on between tasks and stages."""
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(owner)
         try:
             yield from run(batches)
         finally:
-            if last is not None:
-                last()
             pa.default_memory_pool().release_unused()
 
     return inner

@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagwave.llm.common import running_sum, text_chunks, text_key, tidied
+from tagwave.llm.common import FORGET, running_sum, text_chunks, text_key, tidied
 from tagwave.llm.token_counts import byte_symbols
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.sequence import global_row_number
 from tagwave.operators.stage import stage
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct chunks whose ids a task remembers before it starts afresh.
+#: Distinct chunks whose ids a worker remembers before it starts afresh.
 CACHE_SIZE = 200_000
 #: Characters that Python splits at although the tokenizer keeps them.
 _KEPT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"
@@ -160,6 +160,9 @@ def _forget() -> None:
         encoder._reset()
 
 
+FORGET["packing"] = _forget
+
+
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
 
@@ -190,7 +193,7 @@ def measure(docs: DataFrame, length: int, path: str | None, end_id: int) -> Data
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", F.monotonically_increasing_id().alias("rid"),
                         text_key().alias("text_key"), "text")
-            .mapInArrow(tidied(run, _forget), f"doc_id {id_type}, rid long, text_key long, n long, "
+            .mapInArrow(tidied(run, "packing"), f"doc_id {id_type}, rid long, text_key long, n long, "
                              "full_crcs array<long>, rest_crc long"))
 
 
@@ -322,7 +325,7 @@ def _piece_crcs(docs: DataFrame, pieces: DataFrame, path: str | None, end_id: in
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     crcs = (texts.select("doc_id", "text_key", "text", "cuts")
-            .mapInArrow(tidied(run, _forget), f"doc_id {id_type}, text_key long, start long, length long, ids_crc32 long")
+            .mapInArrow(tidied(run, "packing"), f"doc_id {id_type}, text_key long, start long, length long, ids_crc32 long")
             .dropDuplicates(["doc_id", "text_key", "start", "length"]))
     return join_dimension(pieces, crcs, ["doc_id", "text_key", "start", "length"], "inner", null_safe=True)
 

@@ -36,7 +36,7 @@ BUCKETS, FACTORS = 4_096, 8
 EPOCHS, BATCH, RATE, SHRINK = 8, 128, 0.1, 2e-5
 THRESHOLD = 0.3
 #: Words whose bucket a worker remembers before it starts afresh.
-CACHE_SIZE = 300_000
+CACHE_SIZE = 150_000
 
 # The classes of bytes that structure statistics count.
 _BYTE_CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz",
