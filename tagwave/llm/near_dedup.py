@@ -366,12 +366,14 @@ def compare_blocks(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarra
     fits = (root[o][:, None] != root[m][None, :]) & (like >= least)
     fits &= np.minimum.outer(n[o], n[m]) * 100 >= np.maximum.outer(n[o], n[m]) * percent
     row, col = np.nonzero(fits)
-    # the best of each (outer document, component); all where only sketches speak
-    order = np.lexsort((-like[row, col], root[m][col], row))
-    row, col = row[order], col[order]
+    # the best of each (outer document, component) among the counted pairs, and
+    # beside it all where only sketches speak: an estimate outranks no count
+    guess = sketched[row, col]
+    order = np.lexsort((-like[row, col], root[m][col], row, guess))
+    row, col, guess = row[order], col[order], guess[order]
     first = np.ones(len(row), bool)
     first[1:] = (row[1:] != row[:-1]) | (root[m][col[1:]] != root[m][col[:-1]])
-    first |= sketched[row, col]
+    first |= guess
     a, b = rep[o[row[first]]], rep[m[col[first]]]
     return np.minimum(a, b), np.maximum(a, b)
 

@@ -70,6 +70,36 @@ def test_chain_in_one_bucket_is_followed(make_docs):
     assert {r.component_id for r in got} == {0}
 
 
+def test_estimates_do_not_hide_counted_links(spark):
+    """A pair too long to be counted whole, with a high estimate and a low true
+    similarity, stands beside a true link to the same component."""
+    rng = np.random.default_rng(4)
+    pool = np.unique(rng.integers(0, 2**64, 9000, dtype=np.uint64))
+    rng.shuffle(pool)
+    text, fresh = pool[:2400], pool[2400:]
+    sets = {1: text,
+            2: np.concatenate([text[:2191], fresh[:409]]),       # 2,600; 2191 / 2809 = 0.78
+            3: np.concatenate([text[:2148], fresh[500:752]])}    # 2,400; 2148 / 2652 = 0.81
+    marks = {1: bytes(200), 2: bytes(166) + b"\1" * 34, 3: bytes(162) + b"\1" * 38}
+    rows = [(r, len(x), marks[r], np.sort(x).tobytes()) for r, x in sets.items()]
+    held = spark.createDataFrame(rows, "rep long, n long, sketch binary, members binary")
+    buckets = spark.createDataFrame([(7, r, 2, 3) for r in sets], "key long, rep long, centre long, size long")
+    labels = ND.dimension(spark.createDataFrame([(2, 2), (3, 2)], "node long, root long"))
+    got = ND._confirmed(ND._across(buckets, held, labels, 80), held, 80).collect()
+    assert [(r.a, r.b) for r in got] == [(1, 3)]
+
+
+def test_family_on_both_sides_of_the_block_set(make_docs, monkeypatch):
+    monkeypatch.setattr(ND, "BLOCK_SET", 60)
+    rng = random.Random(8)
+    rows = []
+    for k, words in enumerate((60, 64, 68, 140)):
+        rows += family(rng, 1000 * (k + 1), 30, words, 8)
+        rows += [(r[0] + 500, r[1] + "".join(f" t{j}" for j in range(r[0] % 9))) for r in rows[-30:]]
+    got = ND.near_groups(make_docs(rows), shingle=4).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 4)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(2)
     orders = ND.probe_orders(200)
