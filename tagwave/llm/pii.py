@@ -2,8 +2,9 @@
 words adjust their score.
 
 Work is row-wise: texts stay where they are, only spans come back.  Each
-pattern is linear in the text (runs are taken whole, nothing is tried again
-from inside a run), so one very long text costs no more than many short ones.
+pattern is linear in the text (runs are taken whole and not tried again from
+inside; only account numbers are, over a bounded number of characters), so one
+very long text costs no more than many short ones.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for country in countries.split()}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{32,64}(?![A-Za-z0-9_])")
 _DIGIT = re.compile(r"[0-9]")
@@ -115,9 +122,21 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-            yield m.span()
+    """The match may hold words after the number: its part of the country's own
+    length is tried first, then the whole; of an unknown country all parts that
+    end at a blank, longest first.  The search goes on after an accepted part,
+    or from the next word of a match without one."""
+    m = _IBAN.search(text)
+    while m:
+        start, own = m.start(), _IBAN_LENGTHS.get(m[0][:2])
+        ends = [m.end(), *(start + k for k in range(len(m[0]) - 1, 0, -1) if text[start + k] == " ")]
+        sizes = {end: end - start - text.count(" ", start, end) for end in ends}
+        if own:
+            ends = [*(end for end in ends if sizes[end] == own), m.end()]
+        end = next((end for end in ends if 15 <= sizes[end] <= 34 and mod97(text[start:end])), None)
+        if end:
+            yield start, end
+        m = _IBAN.search(text, end or start + 1)
 
 
 def _secrets(text: str) -> Iterator[tuple[int, int]]:

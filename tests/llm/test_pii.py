@@ -56,6 +56,34 @@ def test_kinds(text, want):
     assert [str(s) for s in P.find_spans(text)] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("ES9121000418450200051332 BIC CAIXESBB", ["iban:0:24"]),
+    ("AT611904300234573201 EUR 50", ["iban:0:20"]),
+    ("AT61 1904 3002 3457 3201 2024", ["iban:0:24"]),
+    ("ES9121000418450200051332 PAYMENT 7", ["iban:0:24"]),
+    ("AT611904300234573201 BE68539007547034 EUR", ["iban:0:20", "iban:21:37"]),
+    ("REF AB12 3456 7890 AT611904300234573201 EUR", ["iban:19:39"]),  # inside a match that is no account
+    ("ES9121000418450200051333 BIC CAIXESBB", []),
+])
+def test_accounts_before_other_words(text, want):
+    assert [str(s) for s in P.find_spans(text) if s.kind == "iban"] == want
+
+
+def test_accounts_of_all_lengths_before_any_word():
+    rng = random.Random(9)
+    for country, size in [*P._IBAN_LENGTHS.items(), ("ZZ", 17), ("ZZ", 24), ("ZZ", 34)]:
+        for tail in ("", " EUR", " 2024 X", " BIC CAIXESBB", " PAYMENT", ", IBAN", " A1 B2 C3 D4", " to 5"):
+            body = "".join(rng.choice("0123456789ABCXYZ") for _ in range(size - 4))
+            check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+            account = f"{country}{check:02}{body}"
+            for form in (account, " ".join(account[k:k + 4] for k in range(0, size, 4))):
+                spans = [(s.start, s.end) for s in P.find_spans("to " + form + tail) if s.kind == "iban"]
+                if country != "ZZ":
+                    assert spans == [(3, 3 + len(form))], form + tail
+                else:  # without a known length a longer part may pass as well
+                    assert [a for a, _ in spans] == [3], form + tail
+
+
 def test_context_raises_the_score():
     assert P.find_spans("phone +1 (504) 555-2652")[0].score > P.find_spans("+1 (504) 555-2652")[0].score
 
@@ -68,6 +96,13 @@ def test_long_runs_take_linear_time():
     assert time.time() - start < 20
 
 
+def test_many_account_starts_take_linear_time():
+    start = time.time()
+    for text in ("AB12 " * 100_000, "ES12 3456 7890 " * 50_000, "AB12CD34" * 50_000):
+        P.find_spans(text)
+    assert time.time() - start < 20
+
+
 def test_query_redaction_and_odd_rows(make_docs, odd_rows):
     rows = [*odd_rows, (50, "é +1 (504) 555-2652, x@y.zz, token b64b244acde2e3b0aa8f051af1ec018ebaba3add")]
     docs = make_docs(rows).withColumn("spans", F.lit("clash"))
