@@ -1,7 +1,8 @@
 """License scans by template markup.
 
 A template is a license wording with markup: ``<<opt>> ... <<end>>`` may be
-missing and ``<<var;N>>`` stands for up to N words of any kind.  Each template
+missing (``<<opt;a b|c>> ... <<end>>`` only where neither "a b" nor "c" follows)
+and ``<<var;N>>`` stands for up to N words of any kind.  Each template
 is compiled into an automaton over words: mandatory words are its edges,
 optional regions can be skipped, replaceable ones consume anything for a
 bounded while.  A place in a text is accepted when the automaton reaches its
@@ -27,6 +28,19 @@ from tagwave.llm.common import text_chunks
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 # License wordings with markup, by label.
+_BSD_GRANT = """redistribution and use in source and binary forms with or without modification are permitted
+        provided that the following conditions are met <<opt>> 1 <<end>> redistributions of source code must
+        retain the above copyright notice this list of conditions and the following disclaimer
+        <<opt>> 2 <<end>> redistributions in binary form must reproduce the above copyright notice this list
+        of conditions and the following disclaimer in the documentation and or other materials provided
+        with the distribution"""
+_BSD_DISCLAIMER = """this software is provided by <<var;16>> as is and any express or implied warranties
+        including but not limited to the implied warranties of merchantability and fitness for a particular
+        purpose are disclaimed in no event shall <<var;16>> be liable for any direct indirect incidental special
+        exemplary or consequential damages including but not limited to procurement of substitute goods or
+        services loss of use data or profits or business interruption however caused and on any theory of
+        liability whether in contract strict liability or tort including negligence or otherwise arising in
+        any way out of the use of this software even if advised of the possibility of such damage"""
 TEMPLATES = {
     "mit-notice": "<<opt>> released <<end>> <<opt>> licensed <<end>> <<opt>> distributed <<end>> under the mit license",
     "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software
@@ -35,22 +49,31 @@ TEMPLATES = {
         and or sell copies of the software and to permit persons to whom the software is furnished to
         do so subject to the following conditions the above copyright notice and this permission notice
         <<opt>> including the next paragraph <<end>> shall be included in all copies or substantial
-        portions of the software""",
-    "apache-2.0": """licensed under the apache license <<opt>> version 2 0 <<end>>
+        portions of the software the software is provided as is without warranty of any kind express or
+        implied including but not limited to the warranties of merchantability fitness for a particular
+        purpose and <<opt>> non infringement <<end>> <<opt>> noninfringement <<end>> in no event shall
+        <<var;16>> be liable for any claim damages or other liability whether in an action of contract tort
+        or otherwise arising from out of or in connection with the software or the use or other dealings in
+        the software""",
+    "apache-2.0": """licensed under the apache license <<opt;version 1|version 3|v1|v 1|1 0|1 1>>
+        <<opt>> version <<end>> 2 0 <<end>>
         <<opt>> the license you may not use this file except in compliance with the license <<end>>""",
     "gpl-3.0": "gnu general public license <<opt>> as published by the free software foundation either <<end>> version 3",
     "gpl-2.0": "gnu general public license <<opt>> as published by the free software foundation either <<end>> version 2",
     "cc-by-nc": "cc by nc <<opt>> 4 0 <<end>>",
     "cc-by-sa": "cc by sa <<opt>> 4 0 <<end>>",
-    "bsd-2-clause": """redistribution and use in source and binary forms with or without modification are permitted
-        provided that the following conditions are met <<opt>> 1 <<end>> redistributions of source code must
-        retain the above copyright notice this list of conditions and the following disclaimer
-        <<opt>> 2 <<end>> redistributions in binary form must reproduce the above copyright notice this list
-        of conditions and the following disclaimer in the documentation and or other materials provided
-        with the distribution""",
-    "isc": """permission to use copy modify and or distribute this software for any purpose with or without fee
-        is hereby granted provided that the above copyright notice and this permission notice appear in
-        all copies""",
+    "bsd-2-clause": f"{_BSD_GRANT} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"""{_BSD_GRANT} <<opt>> 3 <<end>> <<opt>> neither <<end>> the <<opt>> name <<end>>
+        <<opt>> names <<end>> of <<var;24>> be used to endorse or promote products derived from this software
+        without specific prior written permission {_BSD_DISCLAIMER}""",
+    "isc": """permission to use copy modify and <<opt>> or <<end>> distribute this software for any purpose with
+        or without fee is hereby granted provided that the above copyright notice and this permission notice
+        appear in all copies the software is provided as is and <<var;16>> <<opt>> disclaim <<end>>
+        <<opt>> disclaims <<end>> all warranties with regard to this software including all implied warranties
+        of merchantability and fitness in no event shall <<var;16>> be liable for any special direct indirect
+        or consequential damages or any damages whatsoever resulting from loss of use data or profits whether
+        in an action of contract negligence or other tortious action arising out of or in connection with the
+        use or performance of this software""",
     "copyright-notice": "copyright <<opt>> c <<end>> <<var;8>> all rights reserved",
 }
 
@@ -67,25 +90,29 @@ def words_of(text: str) -> list[bytes]:
 @dataclass
 class Automaton:
     """A template as states: ``words[s]`` leads to s + 1 by that word,
-    ``skips[s]`` are the states reached from s without a word, and from a
-    state in ``wild`` any word may be taken, so many times at most."""
+    ``skips[s]`` are the states reached from s without a word (not where a
+    phrase of ``barred[s, t]`` follows), and from a state in ``wild`` any word
+    may be taken, so many times at most."""
 
     label: str
     words: list[bytes | None] = field(default_factory=list)
     skips: dict[int, list[int]] = field(default_factory=dict)
     wild: dict[int, int] = field(default_factory=dict)
+    barred: dict[tuple[int, int], list[list[bytes]]] = field(default_factory=dict)
     mandatory: set[bytes] = field(default_factory=set)
 
     @property
     def end(self) -> int:
         return len(self.words)
 
-    def closure(self, states: dict[int, int]) -> dict[int, int]:
-        """``states`` (state: wild words taken in it) with all skips followed."""
+    def closure(self, states: dict[int, int], words: list[bytes] = (), at: int = 0) -> dict[int, int]:
+        """``states`` (state: wild words taken in it) with all skips followed
+        that ``words`` from ``at`` on allow."""
         todo = list(states)
         while todo:
-            for t in self.skips.get(todo.pop(), ()):
-                if t not in states:
+            s = todo.pop()
+            for t in self.skips.get(s, ()):
+                if t not in states and not any(words[at:at + len(p)] == p for p in self.barred.get((s, t), ())):
                     states[t] = 0
                     todo.append(t)
         return states
@@ -95,7 +122,7 @@ class Automaton:
 
     def match(self, words: list[bytes], start: int) -> int:
         """End of the longest accepted run of words from ``start``, or -1."""
-        states, at, accepted = self.closure({0: 0}), start, -1
+        states, at, accepted = self.closure({0: 0}, words, start), start, -1
         while states:
             if self.end in states:
                 accepted = at
@@ -107,7 +134,8 @@ class Automaton:
                     nxt[s + 1] = 0
                 if taken < self.wild.get(s, 0):
                     nxt[s] = min(nxt.get(s, taken + 1), taken + 1)
-            states, at = self.closure(nxt), at + 1
+            at += 1
+            states = self.closure(nxt, words, at)
         return accepted
 
 
@@ -115,12 +143,15 @@ def compile_template(label: str, markup: str) -> Automaton:
     """Markup to automaton; an unbalanced or unknown mark is an error."""
     a, opened = Automaton(label), []
     for part in re.findall(r"<<[^>]*>>|[^<]+", markup):
-        if part == "<<opt>>":
-            opened.append(a.end)
+        if m := re.fullmatch(r"<<opt(?:;([^>]+))?>>", part):
+            opened.append((a.end, [words_of(p) for p in (m[1] or "").split("|") if words_of(p)]))
         elif part == "<<end>>":
             if not opened:
                 raise ValueError(f"{label}: <<end>> without <<opt>>")
-            a.skips.setdefault(opened.pop(), []).append(a.end)
+            start, barred = opened.pop()
+            a.skips.setdefault(start, []).append(a.end)
+            if barred:
+                a.barred[start, a.end] = barred
         elif m := re.fullmatch(r"<<var;([0-9]+)>>", part):
             a.wild[a.end] = int(m[1])
             a.skips.setdefault(a.end, []).append(a.end + 1)

@@ -53,6 +53,57 @@ def test_full_texts(label):
     assert label not in {p[0] for p in SCANNER.scan(" ".join(words))[1]}
 
 
+GRANT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. """
+NAMES = """3. Neither the name of the Example Society nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission. """
+AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+this permission notice shall be included in all copies or substantial portions of the Software. """
+MIT_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT
+OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+
+@pytest.mark.parametrize("text,labels", [
+    (GRANT + AS_IS, {"bsd-2-clause"}), (GRANT + NAMES + AS_IS, {"bsd-3-clause"}), (GRANT, set()),
+    (GRANT + "The name of the author may not be used to endorse or promote products derived from this software without "
+     "specific prior written permission. " + AS_IS, {"bsd-3-clause"}),
+    (MIT + MIT_AS_IS, {"mit"}), (MIT + MIT_AS_IS.replace("NONINF", "NON-INF"), {"mit"}),
+    (MIT + "The Software shall be used for Good, not Evil. " + MIT_AS_IS, set()),
+    (ISC, {"isc"}), (ISC.replace("THE AUTHOR", "EXAMPLE SYSTEMS, INC."), {"isc"}),
+    ("licensed under the apache license version 1.1", set()), ("Licensed under the Apache License, v1.0", set()),
+    ("Licensed under the Apache License 1.1", set()), ("Licensed under the Apache License. 1. Definitions", {"apache-2.0"}),
+])
+def test_licenses_are_told_apart(text, labels):
+    assert {p[0] for p in SCANNER.scan("Copyright 2020 A. B. " + text + " More.")[1]} == labels
+
+
+def test_barred_words():
+    a = LS.compile_template("t", "a <<opt;c d|e>> b <<end>>")
+    for text, end in (("a", 1), ("a b", 2), ("a c", 1), ("a c d", -1), ("a e", -1), ("a b e", 2)):
+        assert a.match(LS.words_of(text), 0) == end, text
+
+
 def test_markup():
     a = LS.compile_template("t", "a <<opt>> b <<opt>> c <<end>> <<end>> <<var;2>> d")
     for text, end in (("a d", 2), ("a b d", 3), ("a b c d", 4), ("a x d", 3), ("a b c x y d", 6), ("a x y z d", -1),
