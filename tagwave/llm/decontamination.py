@@ -50,6 +50,14 @@ def _shingles(df: DataFrame, text: str, size: int, out: str) -> DataFrame:
             .drop("__w"))
 
 
+def unsearched_items(items: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``item_id, n_words`` of the benchmark items that no search covers: those
+    of fewer words than a shingle, null texts included.  Repeated rows give a
+    row each."""
+    return (items.select("item_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+            .where(F.col("n_words") < shingle))
+
+
 def item_sketches(items: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``item, item_id, shingles, n, size_class, sketch`` of every benchmark
     item with at least one shingle."""
@@ -92,7 +100,8 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, perc
     ``shingle``-word shingles or more.
 
     Words are lower-cased runs of letters and digits.  An item or document of
-    fewer words than a shingle, or null, matches nothing.  Rows that repeat
+    fewer words than a shingle, or null, matches nothing; ``unsearched_items``
+    lists such items.  Rows that repeat
     give one row; under a repeated id the largest overlap counts; null ids are
     kept as such.  Empty tables give no rows; other columns are ignored.
     """

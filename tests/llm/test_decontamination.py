@@ -63,6 +63,15 @@ def test_sketches_cannot_all_be_missed(cases):
         assert len(r.sketch) == min(r.n, int((2 ** (r.size_class + 1) - 1) * 0.2) + 1) > r.n * 0.2 - 1e-9 or len(r.sketch) == r.n
 
 
+def test_items_without_a_shingle_are_reported(cases):
+    _, items, _, b = cases
+    got = DC.unsearched_items(b).collect()
+    want = [(i, len((t or "").split())) for i, t in items if len((t or "").split()) < 5]
+    assert sorted((r.item_id, r.n_words) for r in got) == sorted(want)
+    assert {90, 91} < {i for i, _ in want} and any(n == 3 for _, n in want)
+    assert not {r.item_id for r in got} & {r.item_id for r in DC.item_sketches(b, 5, 80).collect() if r.n > 0}
+
+
 def test_dropping(cases):
     docs, items, d, b = cases
     out = DC.drop_contaminated(d.withColumn("item_id", F.lit("clash")), b)
