@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
+from tagwave.llm import fill_middle as FM
 from tagwave.llm.common import read_table
 from tagwave.llm.language_id import languages
 from tagwave.llm.license_scan import license_digest
@@ -64,6 +65,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FM.fill_in_middle_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op13_fill_middle": op13_fill_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -82,4 +88,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_decontamination": DC.ORACLE_SQL,
     "op7_exact_dedup": ED.ORACLE_SQL,
+    "op13_fill_middle": FM.ORACLE_SQL,
 }
