@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from tagwave.llm import centroids as CC
 from tagwave.llm import decontamination as DC
 from tagwave.llm import exact_dedup as ED
 from tagwave.llm import fill_middle as FM
@@ -65,6 +66,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CC.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FM.fill_in_middle_digest(read_table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op12_centroid_clustering": op12_centroid_clustering,
     "op13_fill_middle": op13_fill_middle,
     "pipeline": corpus_pipeline.run,
 }
@@ -88,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_decontamination": DC.ORACLE_SQL,
     "op7_exact_dedup": ED.ORACLE_SQL,
+    "op12_centroid_clustering": CC.ORACLE_SQL,
     "op13_fill_middle": FM.ORACLE_SQL,
 }
