@@ -19,6 +19,7 @@ from tagwave.llm.common import read_table
 from tagwave.llm.language_id import languages
 from tagwave.llm.license_scan import license_digest
 from tagwave.llm.lm_scoring import lm_scores
+from tagwave.llm.mixing import mix_counts
 from tagwave.llm.near_dedup import near_groups
 from tagwave.llm.packing import pack
 from tagwave.llm.pii import personal_data_digest
@@ -66,6 +67,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CC.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_fill_middle": op13_fill_middle,
     "pipeline": corpus_pipeline.run,
