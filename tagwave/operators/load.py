@@ -34,18 +34,27 @@ def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref"
             .where(F.col(pref) == F.col("__best")).drop("__best"))
 
 
+def fetch_plan(tags: DataFrame) -> DataFrame:
+    """``deployid, deploy_ids``: the deployments of every listed deployid.  The
+    load loop runs once per listed row and joins the list each time, so a
+    deployid listed twice is fetched twice and each fetch's rows appear twice."""
+    return (tags.groupBy("deployid").agg(F.sort_array(F.collect_list(F.struct("deploy_id"))).alias("deploy_ids")))
+
+
 def attach_tags(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:
-    """Rows of the tags being loaded, with their ``deploy_id`` (JOIN-1).
+    """Rows of the tags being loaded, with their tag's ``deploy_ids`` (JOIN-1,
+    the part before numbering) and a copy per fetch of the tag (``__fetch``).
 
     Every tag's download only holds that tag, so the upstream left join on
-    ``deployid`` becomes an inner join with the loadable tags.  Deployids are
-    expected to be unique among eligible deployments: a deployid listed twice
-    joins both rows here (and gets distinct ids), whereas upstream the loop
-    would also fetch that tag twice.  The tag table is broadcast after a size
-    check, so the rows are never shuffled for it (a ``Dimension``, e.g. from
-    ``status.loaded_keys``, was checked already).
+    ``deployid`` becomes an inner join with the loadable tags.  ``tags`` is
+    ``fetch_plan`` (e.g. from ``status.loaded_keys``) or the plain tag list; it
+    has a row per deployid and is broadcast after a size check, so the rows are
+    never shuffled for it.
     """
-    return join_dimension(rows, tags.select("deploy_id", "deployid"), ["deployid"], "inner")
+    if "deploy_ids" not in tags.columns:
+        tags = fetch_plan(tags)
+    joined = join_dimension(rows, tags.select("deployid", "deploy_ids"), ["deployid"], "inner")
+    return joined.withColumn("__fetch", F.explode(F.sequence(F.lit(1), F.size("deploy_ids"))))
 
 
 def shape(df: DataFrame, product: S.Product) -> DataFrame:
@@ -54,37 +63,26 @@ def shape(df: DataFrame, product: S.Product) -> DataFrame:
     out = df.withColumnsRenamed({k: v for k, v in product.renames.items() if k in df.columns})
     if product.has_qa:
         out = out.withColumns({k: F.lit(v) for k, v in S.QA_DEFAULTS.items()})
-    return out.select(*[c if c in out.columns else F.lit(None).cast(column_type(c)).alias(c)
+    return out.select(*[c if c in out.columns else F.lit(None).cast(S.column_type(c)).alias(c)
                         for c in product.columns])
 
 
-def column_type(name: str) -> str:
-    """Type of an output column that no file tells: ids are numbers, times
-    (``*_dt``) zone-less times, positions doubles, everything else text."""
-    if name in ("id", "deploy_id"):
-        return "long"
-    if name in ("latitude", "longitude"):
-        return "double"
-    return "timestamp_ntz" if name.endswith("_dt") else "string"
-
-
-def load_rows(rows: DataFrame, tags: DataFrame | Dimension) -> DataFrame:
-    """The rows that end up in the product table, before numbering."""
-    return attach_tags(rows, tags)
-
-
 def load_product(rows: DataFrame, tags: DataFrame | Dimension, product: S.Product,
                  order: Sequence[str] = ("seq",)) -> DataFrame:
     """Loaded product table: ids, ``deploy_id``, renames, QA defaults.
 
     ``order`` is the within-tag row order of the download (arrival order);
-    it must make ``(deployid, *order)`` unique for reproducible ids.
+    it must make ``(deployid, *order)`` unique for reproducible ids.  Ids are
+    given per fetch, before the join fans out: the copies of a row of a tag
+    listed twice share their id, as upstream.
     """
-    loaded = load_rows(rows, tags)
+    loaded = attach_tags(rows, tags)
     renamed = loaded.withColumnsRenamed({k: v for k, v in product.renames.items()
                                          if k in loaded.columns})
-    # Only the output columns and the order keys are numbered (and staged).
-    keep = [c for c in product.columns if c in renamed.columns and c != "id"]
+    # Only the output columns and the order keys cross the network.
+    keep = [c for c in product.columns if c in renamed.columns and c not in ("id", "deploy_id")]
     keep += [o for o in order if o not in keep]
-    numbered = surrogate_ids(renamed.select(*keep), "deployid", list(order), out="id")
-    return shape(numbered, product)
+    keep += [c for c in ("deploy_ids", "__fetch") if c not in keep]
+    numbered = surrogate_ids(renamed.select(*keep), ["deployid", "__fetch"], list(order), out="id")
+    fanned = numbered.withColumn("__of", F.explode("deploy_ids")).withColumn("deploy_id", F.col("__of.deploy_id"))
+    return shape(fanned, product)

@@ -1,35 +1,38 @@
 """Global row numbering and surrogate ids without a single-task sort.
 
 `row_number() over (order by k)` with no PARTITION BY makes Spark move every
-row into one task.  Here the rows are range-partitioned on the full order key
-(so even one deployment holding a third of all rows is split across many
-tasks by its second key), sorted inside each partition, and each row's global
-position is its index inside the partition plus the number of rows in all
-earlier partitions.  The per-partition counts table has one row per
-partition, a proven bound, so it is the only thing broadcast.
-
-The range bounds come from a sample of the input, and the counts and the
-numbering are two reads of the partitioned rows.  To make both reads see the
-same partitions -- also when an executor is lost and work is recomputed --
-the partitioned rows, with their partition index and position inside it as
-columns, are staged once as parquet in the folder the cluster names in
-``spark.checkpoint.dir`` (``operators.stage``).  The counting passes then
-read two narrow columns, not the rows.
-
-Two numberings are built on it:
+row into one task.  Here the keys are cut into ranges first (``key_ranges``):
+a random sample of the key columns, bounded by the number of ranges, gives
+bounds that become literals, so every later pass -- also one recomputed after
+an executor is lost -- sees the same ranges.  Even one deployment holding a
+third of all rows is split over many ranges by its second key.
+
+* A narrow pass counts the rows per range; it reads the key columns only and
+  aggregates in the map tasks.  One row per range, a proven bound, comes back
+  and becomes a literal array of offsets.
+* The full rows then cross the network once, straight to their range
+  (``repartitionById``), are sorted there and numbered by a window over the
+  range, which that partitioning satisfies: no second exchange, no staged copy
+  of the rows, and the output files follow the order of the ids.
+
+Three numberings are built on it:
 
 * ``global_row_number`` -- WIN-1: 1-based position in a total order.
-* ``file_row_number`` -- WIN-3: position in file order, without any shuffle.
 * ``surrogate_ids`` -- WIN-2: the ids the per-tag load loop produces.  The loop
   reads ``max(id)`` before each tag (1 when the table is empty, else max+1)
   and assigns ``1..n + base``; its closed form is
   ``id = global position + rank of the tag among tags that have rows``, so
   the first id is 2 and one value is skipped between consecutive tags.
+* ``file_row_number`` -- WIN-3: position in file order, without any shuffle.
+
+The passes read the input anew, so it must give the same rows each time (a
+table scan does; stage anything that depends on task layout).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,89 +40,109 @@ from pyspark.sql import functions as F
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage
 
-_PID = "__seq_pid"
-_RIP = "__seq_rip"
-_OFF = "__seq_off"
-_CNT = "__seq_cnt"
+RANGE = "__range"
+_SAMPLE_PER_RANGE = 40
+_MAX_SAMPLE = 1_000_000
 
 
-def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
-    # Ascending with nulls last: the database order the numbering follows.
-    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+def _ordered(names: Sequence[str]) -> list[Column]:
+    """Ascending with nulls last: the database order the numbering follows."""
+    return [F.col(c).asc_nulls_last() for c in names]
 
 
-def _float_free_prefix(df: DataFrame, order: Sequence[str | Column]) -> list[str]:
-    """Leading names in ``order`` up to the first floating-point column (or
-    expression)."""
-    types = dict(df.dtypes)
-    out = []
-    for c in order:
-        if not isinstance(c, str) or types.get(c) in ("double", "float"):
-            break
-        out.append(c)
-    return out
+def _comparable(values: Sequence[Column]) -> Column:
+    """A struct that compares like the keys, nulls last."""
+    return F.struct(*[part for v in values for part in (v.isNull(), v)])
 
 
-def _range(df: DataFrame, keys: list[Column], partitions: int | None) -> DataFrame:
-    """Range-partition on ``keys``.  Without an explicit count Spark starts
-    from ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (or
-    ``spark.sql.shuffle.partitions``) and AQE merges small neighbouring
-    ranges up to the advisory partition size; merged partitions are still
-    contiguous key ranges, so partition index order stays key order."""
-    if partitions:
-        return df.repartitionByRange(int(partitions), *keys)
-    return df.repartitionByRange(*keys)
+@dataclass(frozen=True)
+class KeyRanges:
+    """Ranges of a key: ``bounds`` are texts of the first key of every range
+    but the first, in ascending order."""
 
+    types: tuple[str, ...]
+    bounds: tuple[tuple[str | None, ...], ...]
 
-def range_partitioned(df: DataFrame, order: Sequence[str | Column],
-                      partitions: int | None = None, distinct: bool = False) -> DataFrame:
-    """Rows range-partitioned and sorted on ``order``, tagged with their
-    partition (``__seq_pid``) and 0-based index inside it (``__seq_rip``),
-    staged so the partition boundaries are fixed once.
-
-    ``distinct=True`` drops duplicate rows first.  The range partitioning is
-    then done on the longest prefix of ``order`` without floating-point
-    columns: equal rows share that prefix, so they meet in one partition and
-    the de-duplication runs there without a second shuffle.  (Spark groups
-    floating-point keys on a normalized value, which a partitioning on the
-    raw column does not satisfy, so including one would make the planner add
-    a hash exchange and lose the range order.)  Without such a prefix the
-    rows are de-duplicated in a shuffle of their own first.
-    """
-    keys = _order_exprs(order)
-    if distinct:
-        prefix = _float_free_prefix(df, order)
-        if prefix:
-            ranged = _range(df, _order_exprs(prefix), partitions).distinct()
-        else:
-            ranged = _range(df.distinct(), keys, partitions)
-    else:
-        ranged = _range(df, keys, partitions)
-    ranged = ranged.sortWithinPartitions(*keys)
-    # monotonically_increasing_id() = (partition index << 33) + index in partition
-    tagged = (ranged
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_RIP, F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    return stage(tagged, "ranged")
-
-
-def _prefix_offsets(counts: DataFrame, key: str, cnt: str, out: str) -> DataFrame:
-    """Exclusive running sum of ``cnt`` in ``key`` order over a table with one
-    row per partition (bounded), broadcast by the callers."""
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(key, F.coalesce(F.sum(cnt).over(before), F.lit(0)).cast("long").alias(out))
-
-
-def _positions(tagged: DataFrame, out: str) -> DataFrame:
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    offsets = _prefix_offsets(counts, _PID, _CNT, _OFF)
-    return (tagged.join(F.broadcast(offsets), _PID)
-            .withColumn(out, (F.col(_OFF) + F.col(_RIP) + 1).cast("long"))
-            .drop(_OFF))
-
-
-def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
+    @property
+    def count(self) -> int:
+        return len(self.bounds) + 1
+
+    def index(self, *key: Column) -> Column:
+        """Range of a key, from 0: how many bounds are at most the key (a
+        binary search in a literal array)."""
+        if not self.bounds:
+            return F.lit(0)
+
+        def literal(bound: tuple[str | None, ...]) -> Column:
+            return _comparable([_from_text(v, t) for v, t in zip(bound, self.types)])
+
+        bounds = F.array(*[literal(b) for b in self.bounds])
+        own = _comparable([k.cast(t) for k, t in zip(key, self.types)])
+        steps = [1 << b for b in reversed(range(len(self.bounds).bit_length()))]
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                           lambda at, step: F.when(F.get(bounds, at + step - 1) <= own, at + step).otherwise(at))
+
+
+def _as_text(name: str, kind: str) -> Column:
+    c = F.col(name)
+    return (F.unix_micros(c) if kind == "timestamp" else c).cast("string")
+
+
+def _from_text(value: str | None, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.timestamp_micros(F.lit(value).cast("long"))
+    return F.lit(value).cast(kind)
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges to cut keys into: Spark's own number of shuffle partitions."""
+    conf = df.sparkSession.conf
+    n = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(1, int(n or conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def key_ranges(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> KeyRanges:
+    """Ranges of about equal row counts over ``keys`` (ascending, nulls last),
+    from one narrow pass: a random sample of at most ``_MAX_SAMPLE`` keys."""
+    kinds = dict(df.dtypes)
+    ranges = ranges or range_count(df)
+    types = tuple(kinds[k] for k in keys)
+    if ranges == 1:
+        return KeyRanges(types, ())
+    size = min(_MAX_SAMPLE, _SAMPLE_PER_RANGE * ranges)
+    sample = df.select(*keys).withColumn("__r", F.rand(17)).orderBy("__r").limit(size)
+    rows = [tuple(r) for r in sample.orderBy(*_ordered(keys)).select(
+        *[_as_text(k, t).alias(f"__k{i}") for i, (k, t) in enumerate(zip(keys, types))]).collect()]
+    bounds = dict.fromkeys(rows[len(rows) * i // ranges] for i in range(1, ranges) if len(rows) * i // ranges)
+    bounds.pop(rows[0] if rows else None, None)
+    return KeyRanges(types, tuple(bounds))
+
+
+def at_range(values: Sequence[int]) -> Column:
+    """The value of a row's range."""
+    return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col(RANGE) + 1)
+
+
+def to_ranges(df: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """Rows, with their range in ``__range``, each range in one partition."""
+    return df.repartitionById(ranges.count, F.col(RANGE))
+
+
+def position(order: Sequence[str]) -> Column:
+    """1-based position of a row inside its range."""
+    return F.row_number().over(Window.partitionBy(RANGE).orderBy(*_ordered(order))).cast("long")
+
+
+def offsets(counts: dict[int, int], ranges: int) -> list[int]:
+    """Rows in the ranges before each range."""
+    out, before = [], 0
+    for r in range(ranges):
+        out.append(before)
+        before += counts.get(r, 0)
+    return out
+
+
+def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_number",
                       partitions: int | None = None, distinct: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ascending,
     nulls last), like ``row_number() over (order by ...)``; with
@@ -128,42 +151,65 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     The order must be total (unique keys) for the numbering to be
     reproducible; add tie-breaking columns otherwise.
     """
-    tagged = range_partitioned(df, order, partitions, distinct)
-    return _positions(tagged, out).drop(_PID, _RIP)
-
-
-def _tag_ranks(tagged: DataFrame, tag: str, out: str) -> DataFrame:
-    """``(tag, out)``: dense rank of each tag value in ascending order (nulls
-    last), from rows already range-partitioned on ``tag`` first.
-
-    A tag's first row sits in the lowest partition holding the tag, so the
-    rank is (tags whose first row is in an earlier partition) + (rank among
-    the tags starting in the same partition).  Both pieces are small: one row
-    per tag, grouped by starting partition, and one row per partition.
-    """
-    firsts = tagged.groupBy(tag).agg(F.min(_PID).alias("__first_pid"))
-    starts = firsts.groupBy("__first_pid").agg(F.count(F.lit(1)).alias("__n"))
-    start_off = _prefix_offsets(starts, "__first_pid", "__n", "__tag_off")
-    local = F.dense_rank().over(Window.partitionBy("__first_pid").orderBy(F.col(tag).asc_nulls_last()))
-    return (firsts.join(F.broadcast(start_off), "__first_pid")
-            .select(tag, (F.col("__tag_off") + local).cast("long").alias(out)))
-
-
-def surrogate_ids(df: DataFrame, tag: str, order: Sequence[str], out: str = "id",
+    kinds = dict(df.dtypes)
+    # Spark groups floating-point keys on a normalized value, so ranges end
+    # before the first of them: equal rows meet in one range.
+    lead = [c for i, c in enumerate(order) if not any(kinds[o] in ("double", "float") for o in order[:i + 1])]
+    if not lead:  # nothing but floating-point keys in front
+        if distinct:
+            df, distinct = stage(df.distinct(), "distinct"), False
+        lead = list(order)
+    ranges = key_ranges(df, lead, partitions)
+    ranged = df.withColumn(RANGE, ranges.index(*[F.col(c) for c in lead]))
+    if distinct:
+        return number_in_ranges(to_ranges(ranged, ranges).distinct(), order, out)
+    counts = {r[RANGE]: r["count"] for r in ranged.groupBy(RANGE).count().collect()}
+    return (to_ranges(ranged, ranges)
+            .withColumn(out, at_range(offsets(counts, ranges.count)) + position(order)).drop(RANGE))
+
+
+def number_in_ranges(ranged: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Position of rows that were already brought to their range and changed
+    there (rows dropped or made), so that only the rows themselves tell the
+    counts.  Both readers of ``ranged`` share its exchange: the rows cross the
+    network once.  The counts have a row per range, so they are broadcast."""
+    counts = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offset = counts.select(RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    # A left join: an inner one would filter one reader only and part the exchange.
+    return (ranged.join(F.broadcast(offset), RANGE, "left")
+            .withColumn(out, (F.col("__off") + position(order)).cast("long")).drop(RANGE, "__off"))
+
+
+def surrogate_ids(df: DataFrame, tag: str | Sequence[str], order: Sequence[str], out: str = "id",
                   partitions: int | None = None) -> DataFrame:
     """Ids the per-tag append loop would give: tags processed in ascending
     ``tag`` order, rows of a tag in ``order``; ``id = position + tag rank``.
 
-    The tag-rank table has one row per tag; it is broadcast only after a row
-    count shows it is small, else joined (null-safe) in a sort-merge join
-    with hot tags salted (``joins.join_dimension``).
+    A tag's rank is the number of tags that begin in earlier ranges plus its
+    rank among the tags of its range, less one where the range begins inside a
+    tag.  Both that and the row offset depend on the range only: one literal
+    array holds their sum.
     """
-    tagged = range_partitioned(df, [tag, *order], partitions)
-    numbered = _positions(tagged, "__pos")
-    ranks = _tag_ranks(tagged, tag, "__tag_rank")
-    joined = join_dimension(numbered, ranks, [tag], "left", null_safe=True)
-    return (joined.withColumn(out, (F.col("__pos") + F.col("__tag_rank")).cast("long"))
-            .drop("__pos", "__tag_rank", _PID, _RIP))
+    tags = [tag] if isinstance(tag, str) else list(tag)
+    keys = [*tags, *order]
+    ranges = key_ranges(df, keys, partitions)
+    ranged = df.withColumn(RANGE, ranges.index(*[F.col(c) for c in keys]))
+    own = _comparable([F.col(c) for c in tags])
+    per = (ranged.groupBy(RANGE, *tags).agg(F.count(F.lit(1)).alias("n"))
+           .groupBy(RANGE).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tags"),
+                               F.min(own).alias("low"), F.max(own).alias("high")).collect())
+    stats = {r[RANGE]: r for r in per}  # a row per range
+    shift, rows, begun, last = [], 0, 0, None
+    for i in range(ranges.count):
+        r = stats.get(i)
+        goes_on = int(r is not None and r.low == last)
+        shift.append(rows + begun - goes_on)
+        if r is not None:
+            rows, begun, last = rows + r.n, begun + r.tags - goes_on, r.high
+    rank = F.dense_rank().over(Window.partitionBy(RANGE).orderBy(*_ordered(tags)))
+    return (to_ranges(ranged, ranges)
+            .withColumn(out, (at_range(shift) + position(keys) + rank).cast("long")).drop(RANGE))
 
 
 def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
@@ -195,11 +241,19 @@ def file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
 def file_order_key(df: DataFrame) -> DataFrame:
     """Columns that reproduce the order rows have in their source files
     (path, byte offset of the split, then the reading order inside it), for
-    R's ``1:n()`` over a freshly read file (WIN-3).  Must be applied right
-    after the scan, before any shuffle."""
+    R's ``1:n()`` over a freshly read text file (WIN-3).  Must be applied right
+    after the scan, before any shuffle; another scan may pack its splits
+    otherwise, so stage the rows with them."""
     return (df.withColumn("__file", F.col("_metadata.file_path"))
               .withColumn("__block", F.col("_metadata.file_block_start"))
               .withColumn("__mono", F.monotonically_increasing_id()))
 
 
-FILE_ORDER = ["__file", "__block", "__mono"]
+def parquet_order_key(df: DataFrame) -> DataFrame:
+    """Path and row number in the file of freshly scanned parquet rows: the
+    same in every scan."""
+    return (df.withColumn("__file", F.col("_metadata.file_path"))
+              .withColumn("__row", F.col("_metadata.row_index")))
+
+
+FILE_ORDER = ["__file", "__row"]

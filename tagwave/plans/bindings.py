@@ -9,12 +9,14 @@ The same derivations are written in SQL in ``tagwave.plans.oracle``.
 * deployments <- customer: ``id = c_custkey``, ``deployid`` its text; start,
   end and gaps follow fixed arithmetic rules so that null starts, open
   deployments and zero-length deployments all occur.  Every 11th customer is
-  a second, zero-length deployment of the tag before it, so some deployids
-  have two rows and some records have none.
+  a second deployment of the tag before it -- half of them of length zero, half
+  eligible, so that some tags are listed twice -- and some records have no
+  deployment.  One deployid is blank.
 * tag records <- events: ``seq = event_id`` (arrival order), ``deployid =
   user_id`` as text (a few numbers stand for the tags of the fault list),
   ``dt = ts``, ``type = event_type``; of locations every fifth is a ``User``
-  one and some have no type.
+  one, some have no type, and half of those of the listed location fault's tag
+  lie at its instant.
 * products <- events by type: messages = every event, dive depths = click,
   dive durations = view, time at depth = purchase, timelines = signup,
   all_locations = error events of every third tag, locations = view events
@@ -44,6 +46,12 @@ def _days(base: str, n) -> F.Column:
 # Key numbers that stand for the tags with known timeline faults.
 FAULT_TAGS = {21 + k: rule[1] for k, rule in
               enumerate(r for r in S.KNOWN_ISSUES if r[0] == "timeline")}
+# The one that stands for the tag of the location fault, and its instant.
+LOCATION_FAULT = next(r for r in S.KNOWN_ISSUES if r[0] == "locs")
+LOCATION_FAULT_TAG = 14
+FAULT_TAGS[LOCATION_FAULT_TAG] = LOCATION_FAULT[1]
+# A deployment whose deployid is blank (no record is of that tag).
+BLANK_TAG = 35
 
 
 def tag_id(number: Column) -> Column:
@@ -54,18 +62,24 @@ def tag_id(number: Column) -> Column:
     return out
 
 
+def deployment_tag(number: Column) -> Column:
+    """The deployid of a key number among deployments and downloads."""
+    return F.when(number == BLANK_TAG, F.lit("")).otherwise(tag_id(number))
+
+
 def deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, deployid, deploy_dt, end_dt, capture_event_id`` (one row per
-    customer; every 11th is a second deployment of the tag before it)."""
+    customer; every 11th is a second deployment of the tag before it, every
+    22nd an eligible one)."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k = F.col("c_custkey")
     second = k % 11 == 0
     again = _days(BASE_DAY, k % 7 + 1)
     deploy_dt = F.when(second, again).when(k % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(_days(BASE_DAY, k % 5))
-    end_dt = (F.when(second, again).when(k % 7 == 0, F.lit(None).cast("timestamp_ntz"))
+    end_dt = (F.when(k % 22 == 0, _days(END_DAY, k % 9)).when(second, again).when(k % 7 == 0, F.lit(None).cast("timestamp_ntz"))
                .when(k % 17 == 0, _days(BASE_DAY, k % 5))
                .otherwise(_days(END_DAY, k % 9)))
-    return c.select(k.alias("id"), tag_id(F.when(second, k - 1).otherwise(k)).alias("deployid"),
+    return c.select(k.alias("id"), deployment_tag(F.when(second, k - 1).otherwise(k)).alias("deployid"),
                     deploy_dt.alias("deploy_dt"), end_dt.alias("end_dt"),
                     F.col("c_nationkey").cast("long").alias("capture_event_id"))
 
@@ -98,7 +112,7 @@ TAKEN = {
     "histos_diveduration": {"diveduration_dt": "dt", "num_dives": "value"},
     "histos_timeatdepth": {"tad_start_dt": "dt", "pct_tad": "value"},
     "histos_timeline": {"timeline_start_dt": "dt", "percent_dry": "value"},
-    "locs": {"date_time": "dt", "type": "loc_type"},
+    "locs": {"date_time": "loc_dt", "type": "loc_type"},
     "behav": {"start": "dt"},
 }
 MADE = ("id", "deploy_id", "deployid", "qa_status", "data_status", "data_explain")
@@ -162,7 +176,10 @@ def location_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both location products with their preference ``pref``, from one scan."""
     r = records(spark, sf_dir).withColumn("pref", _preference()).where("pref is not null")
     seq = F.col("seq")
-    r = r.withColumn("loc_type", F.when(seq % 5 == 0, F.lit("User")).when(seq % 7 != 0, F.col("type")))
+    bad = (F.col("tag") == LOCATION_FAULT_TAG) & (seq % 2 == 0)
+    r = r.withColumns({
+        "loc_type": F.when(seq % 5 == 0, F.lit("User")).when(seq % 7 != 0, F.col("type")),
+        "loc_dt": F.when(bad, F.lit(LOCATION_FAULT[3]).cast("timestamp_ntz")).otherwise(F.col("dt"))})
     return _landed(r, S.LOCS, "pref")
 
 
@@ -211,7 +228,7 @@ def landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (F.when((k * 7 + p) % 23 == 0, F.lit("error"))
               .when((k + p) % 9 == 0, F.lit("absent"))
               .otherwise(F.lit("present")))
-    return g.select(tag_id(k).alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))
+    return g.select(deployment_tag(k).alias("deployid"), p.cast("long").alias("pos"), state.alias("state"))
 
 
 def tag_details(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,10 @@
 The driver registers the test tables as views; the shared domain views
 (the same derivations as ``tagwave.plans.bindings``) are written as CTEs so
 every oracle is one self-contained statement.
+
+Where the original works step by step, so do the oracles: flags are updates in
+order, each selecting its rows through joins and ``IN``; ids are bases carried
+from tag to tag; the timeline is a union of 24 branches.
 """
 
 from __future__ import annotations
@@ -17,35 +21,59 @@ def _tag_id(number: str) -> str:
             + f" else cast({number} as varchar) end")
 
 
+def _deployment_tag(number: str) -> str:
+    return f"case when {number} = {_B.BLANK_TAG} then '' else {_tag_id(number)} end"
+
+
 DEP = f"""dep as (
   select c_custkey as id,
-    {_tag_id("(case when c_custkey % 11 = 0 then c_custkey - 1 else c_custkey end)")} as deployid,
+    {_deployment_tag("(case when c_custkey % 11 = 0 then c_custkey - 1 else c_custkey end)")} as deployid,
     case when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
          when c_custkey % 13 = 0 then null
          else timestamp '2024-01-03' + to_days(cast(c_custkey % 5 as int)) end as deploy_dt,
-    case when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
+    case when c_custkey % 22 = 0 then timestamp '2024-01-20' + to_days(cast(c_custkey % 9 as int))
+         when c_custkey % 11 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 7 + 1 as int))
          when c_custkey % 7 = 0 then null
          when c_custkey % 17 = 0 then timestamp '2024-01-03' + to_days(cast(c_custkey % 5 as int))
-         else timestamp '2024-01-20' + to_days(cast(c_custkey % 9 as int)) end as end_dt
+         else timestamp '2024-01-20' + to_days(cast(c_custkey % 9 as int)) end as end_dt,
+    c_nationkey as capture_event_id
   from customer)"""
 
 REC = f"""rec as (
   select event_id as seq, {_tag_id("user_id")} as deployid, ts as dt,
          event_type as type, value, user_id as tag from events)"""
 
-AGG = """agg as (
-  select deployid, max(deploy_dt) as mxd, min(end_dt) as mne,
-         bool_or(end_dt is null) as opn from dep group by 1)"""
+def _with(*ctes: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n"
 
-# Known-issue stand-in rules (see catalog.TEST_RULES); the later rule wins.
-KNOWN = ("case when r.deployid = '89' and r.dt >= timestamp '2024-01-25' then 'erroneous location' "
-         "when r.deployid = '8' and r.dt >= timestamp '2024-01-15' "
-         "then 'wet-dry sensors suspected to be compromised' end")
 
+def _chosen(table: str, key: str, condition: str) -> str:
+    """Keys of the rows an update applies to: some deployment row meets ``condition``."""
+    return f"""(select g.{key} from {table} g left join dep d using (deployid)
+        left join nation e on d.capture_event_id = e.n_nationkey where {condition})"""
 
-def _with(*ctes: str) -> str:
-    return "with " + ",\n".join(ctes) + "\n"
 
+def _updates(table: str, key: str, dt: str, exempt: str | None = None, faults=()) -> str:
+    """The updates of ``table`` in order, as CTEs; the last is ``flagged``."""
+    before = f"g.{dt} < d.deploy_dt" + (f" and g.type <> '{exempt}'" if exempt else "")
+    steps = [("'tag_actively_transmitting'", None, None, f"{key} in {_chosen(table, key, 'd.end_dt is null')}"),
+             ("'reviewed'", "'do_not_use'", "'records before deploy_dt'", f"{key} in {_chosen(table, key, before)}"),
+             ("'reviewed'", "'do_not_use'", "'records after end_dt'",
+              f"{key} in {_chosen(table, key, f'g.{dt} > d.end_dt')}")]
+    steps += [("'reviewed'", "'do_not_use'", f"'{why}'", f"deployid = '{tag}' and {dt} {op} timestamp '{at}'")
+              for tag, op, at, why in faults]
+    ctes = [f"""u0 as (select *, 'unreviewed' as qa_status, 'use' as data_status,
+      'unreviewed' as data_explain from {table})"""]
+    for i, (*values, where) in enumerate(steps, 1):
+        new = ", ".join(f"case when {where} then {v} else {c} end as {c}"
+                        for c, v in zip(("qa_status", "data_status", "data_explain"), values) if v)
+        ctes.append(f"u{i} as materialized (select * replace ({new}) from u{i - 1})")
+    return ",\n".join([*ctes, f"flagged as (select * from u{len(steps)})"])
+
+
+# Known-issue stand-in rules (see catalog.TEST_RULES); the later rule wins.
+TEST_FAULTS = [("8", ">=", "2024-01-15", "wet-dry sensors suspected to be compromised"),
+               ("89", ">=", "2024-01-25", "erroneous location")]
 
 ORACLES: dict[str, str] = {
     "deploy_eligible": _with(DEP) + """select id as deploy_id, deployid from dep
@@ -54,34 +82,21 @@ ORACLES: dict[str, str] = {
     "qa_reset": """select event_id as seq, 'unreviewed' as qa_status, 'use' as data_status,
       'unreviewed' as data_explain from events""",
 
-    "qa_active": _with(DEP, REC, AGG) + """select r.seq from rec r left join agg a using (deployid)
-      where coalesce(a.opn, true)""",
-
-    "qa_before_deploy": _with(DEP, REC, AGG) + """select r.seq from rec r join agg a using (deployid)
-      where r.dt < a.mxd""",
-
-    "qa_after_end": _with(DEP, REC, AGG) + """select r.seq from rec r join agg a using (deployid)
-      where r.dt > a.mne""",
-
-    "qa_known_issues": _with(REC) + f"select r.seq from rec r where ({KNOWN}) is not null",
-
-    "qa_locs": _with(DEP, REC, AGG) + """select r.seq from rec r join agg a using (deployid)
-      where r.dt < a.mxd and r.type <> 'error'""",
-
-    "qa_full": _with(DEP, REC, AGG) + f"""
-      , j as (select r.seq,
-          case when ({KNOWN}) is not null then ({KNOWN})
-               when r.dt > a.mne then 'records after end_dt'
-               when r.dt < a.mxd and r.type <> 'error' then 'records before deploy_dt'
-               else 'unreviewed' end as data_explain,
-          coalesce(a.opn, true) as opn
-        from rec r left join agg a using (deployid))
-      select seq,
-        case when data_explain <> 'unreviewed' then 'reviewed'
-             when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
-        case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
-        data_explain
-      from j""",
+    "qa_active": _with(DEP, REC) + f"select seq from rec where seq in {_chosen('rec', 'seq', 'd.end_dt is null')}",
+
+    "qa_before_deploy": _with(DEP, REC)
+    + f"select seq from rec where seq in {_chosen('rec', 'seq', 'g.dt < d.deploy_dt')}",
+
+    "qa_after_end": _with(DEP, REC) + f"select seq from rec where seq in {_chosen('rec', 'seq', 'g.dt > d.end_dt')}",
+
+    "qa_known_issues": _with(REC) + "select seq from rec where " + " or ".join(
+        f"(deployid = '{tag}' and dt {op} timestamp '{at}')" for tag, op, at, _ in TEST_FAULTS),
+
+    "qa_locs": _with(DEP, REC) + f"""select seq from rec where seq in
+      {_chosen('rec', 'seq', "g.dt < d.deploy_dt and g.type <> 'error'")}""",
+
+    "qa_full": _with(DEP, REC, _updates("rec", "seq", "dt", "error", TEST_FAULTS))
+    + "select seq, qa_status, data_status, data_explain from flagged",
 }
 
 
@@ -90,7 +105,7 @@ TAGS = """tags as (select id as deploy_id, deployid from dep
   where (deploy_dt <> end_dt) or (deploy_dt is not null and end_dt is null))"""
 
 LAND = f"""land as (
-  select {_tag_id("c_custkey")} as deployid, g.pos,
+  select {_deployment_tag("c_custkey")} as deployid, g.pos,
     case when (c_custkey * 7 + g.pos) % 23 = 0 then 'error'
          when (c_custkey + g.pos) % 9 = 0 then 'absent' else 'present' end as state
   from customer, (select cast(unnest(range(1, 7)) as bigint) as pos) g)"""
@@ -117,7 +132,10 @@ def _landed(name: str, more: dict | None = None) -> str:
     return ", ".join(["seq", "deployid", *cols])
 
 
-_LOC_TYPE = {"type": "case when seq % 5 = 0 then 'User' when seq % 7 <> 0 then type end"}
+_LOC_TYPE = {
+    "date_time": f"""case when tag = {_B.LOCATION_FAULT_TAG} and seq % 2 = 0
+      then timestamp '2010-05-11 12:49:01' else dt end""",
+    "type": "case when seq % 5 = 0 then 'User' when seq % 7 <> 0 then type end"}
 
 PRODUCT_CTES = [
     f"p1 as (select {_landed('allmsg')} from rec)",
@@ -162,52 +180,51 @@ def _columns(name: str) -> str:
     return ", ".join(f'x."{src}" as "{out}"' for out, src in _B.landed_columns(_S.PRODUCTS[name]))
 
 
-def _load_select(name: str, qa: bool = True) -> str:
+def _loop_ids(rows: str, tag: str, order: str) -> str:
+    """CTEs of the load loop's ids: each tag's base is what the tags before it
+    left as ``max(id)``, plus one; ``numbered`` has the rows of ``rows``."""
+    return f"""
+      held as (select {tag}, count(*) as n from {rows} group by {tag}),
+      bases as (select {tag}, 1 + coalesce(sum(n + 1) over (
+          order by {tag} rows between unbounded preceding and 1 preceding), 0) as base from held),
+      numbered as (select r.*, cast(row_number() over (partition by {tag} order by {order}) + base as bigint) as id
+        from {rows} r join bases using ({tag}))"""
+
+
+def _load_ctes(name: str, listed: str, source: str) -> str:
+    """A product loaded tag by tag: every listed row fetches its tag, numbers the
+    rows and joins the list.  ``loaded`` has the table without QA columns."""
+    return f"""
+      listed as ({listed}),
+      fetches as (select deployid, row_number() over (partition by deployid) as go from listed),
+      fetched as (select f.go, x.* from fetches f join {source} x using (deployid)),
+      {_loop_ids("fetched", "deployid, go", "seq")},
+      loaded as (select x.id, t.deploy_id, x.deployid, {_columns(name)}
+        from numbered x left join listed t on t.deployid is not distinct from x.deployid)"""
+
+
+def _product(name: str) -> str:
     pos = _S.PRODUCTS[name].pos
-    extra = f", {_QA_DEFAULT_COLS}" if qa else ""
-    return f"""select row_number() over (order by x.deployid, x.seq)
-        + dense_rank() over (order by x.deployid) as id, o.deploy_id, x.deployid, {_columns(name)}{extra}
-      from p{pos} x join outc o on o.deployid = x.deployid and o.pos = {pos} and o.outcome = 'loaded'"""
+    return LOAD_PRELUDE + ", " + _load_ctes(
+        name, f"select deploy_id, deployid from outc where pos = {pos} and outcome = 'loaded'", f"p{pos}")
 
 
 def _load_sql(name: str, qa: bool = True) -> str:
-    return LOAD_PRELUDE + _load_select(name, qa)
+    return _product(name) + "select *" + (f", {_QA_DEFAULT_COLS}" if qa else "") + " from loaded"
 
 
-def _flagged(load: str, dt: str, known: str, exempt: bool) -> str:
-    """QA of a loaded table ``ld``: the rule chain, row by row."""
-    before = f"ld.{dt} < a.mxd" + (" and ld.type <> 'User'" if exempt else "")
-    return f"""
-      ld as ({load}),
-      j as (select ld.*,
-          case {known} when ld.{dt} > a.mne then 'records after end_dt'
-               when {before} then 'records before deploy_dt' else 'unreviewed' end as data_explain,
-          coalesce(a.opn, true) as opn
-        from ld left join agg a using (deployid))
-      select * exclude (data_explain, opn),
-        case when data_explain <> 'unreviewed' then 'reviewed'
-             when opn then 'tag_actively_transmitting' else 'unreviewed' end as qa_status,
-        case when data_explain <> 'unreviewed' then 'do_not_use' else 'use' end as data_status,
-        data_explain
-      from j"""
-
-
-def _qa_loaded_sql(name: str, dt: str, known: str, exempt: bool) -> str:
-    return LOAD_PRELUDE + f", {AGG}," + _flagged(_load_select(name, qa=False), dt, known, exempt)
-
-
-# The production fault list, written as SQL (the later rule wins).
-_LOCS_KNOWN = ("when ld.deployid = 'HF2010_1007_06L0129' "
-               "and ld.locs_dt = timestamp '2010-05-11 12:49:01' then 'erroneous location'")
-_TIMELINE_FAULTS = [
+def _qa_loaded_sql(name: str, dt: str, faults, exempt: str | None = None) -> str:
+    return _product(name) + ", " + _updates("loaded", "id", dt, exempt, faults) + " select * from flagged"
+
+
+# The production fault list, in the order it applies.
+_LOCS_FAULTS = [("HF2010_1007_06L0129", "=", "2010-05-11 12:49:01", "erroneous location")]
+_TIMELINE_FAULTS = [(tag, ">=", f"{day} 00:00:00", "wet-dry sensors suspected to be compromised") for tag, day in [
     ("EB2009_3000_09S0188", "2010-04-01"), ("EB2009_3001_08S0215", "2010-04-18"),
     ("EB2009_3002_09S0185", "2010-04-07"), ("EB2011_3000_10S0628", "2012-05-12"),
     ("EB2011_3001_09S1225", "2012-03-30"), ("EB2011_3002_10S0494", "2012-05-17"),
     ("EB2012_3003_10S0625", "2013-05-26"), ("EB2009_7010_08S0236", "2010-03-21"),
-]
-_TIMELINE_KNOWN = " ".join(
-    f"when ld.deployid = '{d}' and ld.timeline_start_dt >= timestamp '{t} 00:00:00' "
-    f"then 'wet-dry sensors suspected to be compromised'" for d, t in reversed(_TIMELINE_FAULTS))
+]]
 
 
 # Report texts and code rules, as in tagwave.schemas.
@@ -235,19 +252,18 @@ _STATUS_PARTS = " union all ".join(
     for i in range(1, 7))
 
 ORACLES.update({
-    "surrogate_id_load": _with(REC) + """select row_number() over (order by deployid, seq)
-      + dense_rank() over (order by deployid) as id, deployid, seq from rec""",
+    "surrogate_id_load": _with(REC, _loop_ids("rec", "deployid", "seq")) + "select id, deployid, seq from numbered",
     "load_allmsg": _load_sql("allmsg", qa=False),
     "load_divedepth": _load_sql("histos_divedepth"),
     "load_diveduration": _load_sql("histos_diveduration"),
     "load_timeatdepth": _load_sql("histos_timeatdepth"),
     "load_timeline": _load_sql("histos_timeline"),
-    "load_locs": LOAD_PRELUDE + f""", ld as ({_load_select("locs")})
-      select *, case when latitude is not null then longitude end as geom_x,
+    "load_locs": _product("locs") + f"""
+      select *, {_QA_DEFAULT_COLS}, case when latitude is not null then longitude end as geom_x,
         case when longitude is not null then latitude end as geom_y,
-        case when longitude is not null and latitude is not null then 4326 end as geom_srid from ld""",
-    "qa_loaded_locs": _qa_loaded_sql("locs", "locs_dt", _LOCS_KNOWN, exempt=True),
-    "qa_loaded_timeline": _qa_loaded_sql("histos_timeline", "timeline_start_dt", _TIMELINE_KNOWN, exempt=False),
+        case when longitude is not null and latitude is not null then 4326 end as geom_srid from loaded""",
+    "qa_loaded_locs": _qa_loaded_sql("locs", "locs_dt", _LOCS_FAULTS, "User"),
+    "qa_loaded_timeline": _qa_loaded_sql("histos_timeline", "timeline_start_dt", _TIMELINE_FAULTS),
     "locs_source_pref": _with(REC, PRODUCT_CTES[5], PRODUCT_CTES[6])
     + "select deployid, seq, pref from p6",
     "import_status": LOAD_PRELUDE + _STATUS_PARTS,
@@ -266,15 +282,13 @@ WIDE = f"""wide as (
     cast(date_trunc('day', ts) as timestamp) as hist_dt, event_type as hist_type,
     {_BIN_AGGS}
   from events group by 1, 2, 3, 4)"""
-_BIN_LIST = "[" + ", ".join(f"bin{h:02d}" for h in range(1, 25)) + "]"
 HOURS = "(select cast(unnest(range(1, 25)) as bigint) as h) b"
 
 ORACLES.update({
-    "timeline_unpivot": _with(WIDE) + f"""
-      , u as (select distinct deploy_id, deployid, 'Percent' as hist_type,
-          hist_dt + to_hours(b.h - 1) as timeline_start_dt,
-          cast(list_extract({_BIN_LIST}, b.h) as double) as percent_dry
-        from wide, {HOURS})
+    "timeline_unpivot": _with(WIDE) + """
+      , u as (""" + " union ".join(
+        f"""select deploy_id, deployid, 'Percent' as hist_type, hist_dt + interval '{h} hour' as timeline_start_dt,
+          cast(bin{h + 1:02d} as double) as percent_dry from wide""" for h in range(24)) + """)
       select row_number() over (order by deploy_id, timeline_start_dt, deployid,
           percent_dry asc nulls last, hist_type) as id,
         deploy_id, deployid, hist_type, timeline_start_dt, percent_dry from u""",
@@ -444,8 +458,7 @@ ORACLES["atn_export"] = """
 
 # -- behaviour records (loaded for every eligible tag, flagged on end_dt) --------
 _BEHAV_TAKEN = {"count": "cast(floor(value) as bigint)", "end": "dt + to_minutes(cast(floor(value) as int))"}
-ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS, AGG) + f"""
-  , b as (select {_landed("behav", _BEHAV_TAKEN)} from rec where type = 'purchase'),""" + _flagged(
-    f"""select row_number() over (order by x.deployid, x.seq) + dense_rank() over (order by x.deployid) as id,
-          t.deploy_id, x.deployid, {_columns("behav")}
-        from b x join tags t on t.deployid = x.deployid""", "end_dt", "", exempt=False)
+ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS) + f"""
+  , b as (select {_landed("behav", _BEHAV_TAKEN)} from rec where type = 'purchase'),""" + _load_ctes(
+    "behav", "select deploy_id, deployid from tags", "b") + ", " + _updates("loaded", "id", "end_dt") + (
+    " select * from flagged")

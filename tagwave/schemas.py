@@ -83,6 +83,7 @@ BIN_COLUMNS = [f"bin{i:02d}" for i in range(1, N_BINS + 1)]
 
 # ---------------------------------------------------------------------------
 # Product registry: one row per loaded product, not six copies of code.
+# Table names, renames and output columns, in output order.
 # ---------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Product:
@@ -164,6 +165,25 @@ LANDED_NAMES = {
 LOCATION_SOURCES = ["all_locations", "locations"]
 BEHAV_LANDED_NAME = "behavior"
 
+# Columns whose values are neither text nor told by their name.
+DECLARED_TYPES = {"id": "long", "deploy_id": "long", "latitude": "double", "longitude": "double",
+                  "num_dives": "double", "pct_tad": "double", "percent_dry": "double", "message_count": "long"}
+
+
+def column_type(name: str) -> str:
+    """Declared type of an output column: as in ``DECLARED_TYPES``, zone-less
+    time for ``*_dt``, else text.  It never depends on what landed."""
+    return DECLARED_TYPES.get(name, "timestamp_ntz" if name.endswith("_dt") else "string")
+
+
+def landed_types(product: Product) -> dict[str, str]:
+    """Declared type of every column a tag's file of this product must hold
+    (all output columns but those the load makes), under its landed name."""
+    landed = {new: old for old, new in product.renames.items()}
+    made = {"id", "deploy_id", "deployid", *QA_DEFAULTS}
+    return {landed.get(c, c): column_type(c) for c in product.columns if c not in made}
+
+
 # Load order of the per-tag loop (positions 1..6).
 LOAD_ORDER = [ALLMSG, DIVEDEPTH, DIVEDURATION, TIMEATDEPTH, TIMELINE, LOCS]
 PRODUCTS = {p.name: p for p in LOAD_ORDER + [BEHAV]}

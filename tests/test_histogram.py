@@ -47,3 +47,49 @@ def test_tidy_timeline_casts_like_as_integer(spark):
     out = tidy_timeline(spark.createDataFrame(rows, schema)).collect()
     assert {r.deployid for r in out} == {12, None}
     assert len(out) == 48
+
+
+def _random_wide(spark, n, seed):
+    import random
+    rnd = random.Random(seed)
+    base = dt.datetime(2020, 1, 1)
+    schema = "deploy_id long, deployid string, hist_type string, hist_dt timestamp_ntz, " + ", ".join(
+        f"{b} double" for b in S.BIN_COLUMNS)
+    rows = []
+    for _ in range(n):
+        tag = rnd.choice([1] * 6 + [2, 3, None])  # one tag holds most rows
+        start = rnd.choice([None] + [base + dt.timedelta(hours=rnd.randrange(0, 400))] * 20)
+        row = (tag, str(tag), "Percent", start, *[rnd.choice([None, 0.0, 5.5, 100.0]) for _ in S.BIN_COLUMNS])
+        rows += [row] * rnd.choice([1, 1, 2])
+    return spark.createDataFrame(rows, schema)
+
+
+def test_days_that_meet_range_borders(spark):
+    """Starts at any hour, overlapping days, a hot tag, many ranges: as the
+    24-way UNION numbered by one sort."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from tagwave.operators.histogram import explode_bins
+    wide = _random_wide(spark, 300, 5)
+    plain = explode_bins(wide, ["deploy_id", "deployid"]).distinct()
+    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in ("deploy_id", "timeline_start_dt", "deployid", "percent_dry")])
+    want = plain.withColumn("id", F.row_number().over(w).cast("long"))
+    for ranges in (1, 7, 64):
+        got = timeline_unpivot(wide.drop("hist_type"), ranges=ranges).drop("hist_type").select(want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    tidy = explode_bins(wide, ["deployid", "hist_type"])
+    got = tidy_timeline(wide.drop("deploy_id"), ranges=29)
+    assert got.count() == tidy.count()
+    assert got.agg(F.max("id")).first()[0] == got.select("id").distinct().count() == tidy.count()
+
+
+def test_wide_rows_cross_the_network_once(spark):
+    """The wide rows are exchanged below the explode, once for both readers, and
+    no hourly row is."""
+    out = timeline_unpivot(_random_wide(spark, 50, 6).drop("hist_type"), ranges=5)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in plan.splitlines() if "shufflepartitionidpassthrough" in line]
+    assert len([line for line in moved if "ReusedExchange" not in line]) == 1 and "ReusedExchange" in plan
+    assert not any("percent_dry" in line for line in plan.splitlines() if "Exchange hash" in line)
+    assert plan.index("Generate posexplode") < plan.index("shufflepartitionidpassthrough")
