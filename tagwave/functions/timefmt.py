@@ -14,7 +14,20 @@ _FORMATS = {
                          (3, 1, 2, 4, 5, 6)),
     "yyyy-M-d H:mm:ss": (r"^\s*(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})",
                          (1, 2, 3, 4, 5, 6)),
+    # %H:%M:%S %d-%b-%Y: the blank that ends the format matches any blanks, or none.
+    "H:mm:ss d-MMM-yyyy": (r"^\s*(\d{1,2}):(\d{1,2}):(\d{1,2})\s+(\d{1,2})-([A-Za-z]+)-(\d{4})",
+                           (6, 5, 4, 1, 2, 3)),
 }
+_MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september",
+           "october", "november", "december"]
+
+
+def _month_number(name: Column) -> Column:
+    """1 to 12 of an English month name, whole or its first three letters, in
+    any case; null for another word."""
+    numbers = [F.lit(v) for i, month in enumerate(_MONTHS, 1) for v in (month, i)]
+    short = [F.lit(v) for i, month in enumerate(_MONTHS, 1) if month != month[:3] for v in (month[:3], i)]
+    return F.try_element_at(F.create_map(*numbers, *short), F.lower(name))
 
 
 def parse_r_time(c: Column, fmt: str) -> Column:
@@ -28,7 +41,10 @@ def parse_r_time(c: Column, fmt: str) -> Column:
     if fmt not in _FORMATS:
         return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
     pattern, order = _FORMATS[fmt]
-    part = [F.regexp_extract(c, pattern, g).try_cast("int") for g in order]
+    text = [F.regexp_extract(c, pattern, g) for g in order]
+    part = [t.try_cast("int") for t in text]
+    if "MMM" in fmt:
+        part[1] = _month_number(text[1])
     year, month, day, hour, minute, second = part
     return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(8,6)"))
 

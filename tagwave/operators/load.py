@@ -20,18 +20,19 @@ from tagwave.operators.joins import Dimension, join_dimension
 from tagwave.operators.sequence import surrogate_ids
 
 
-def prefer_sources(sources: DataFrame, key: str = "deployid", pref: str = "pref") -> DataFrame:
-    """Keep, per tag, only the rows of its most preferred source (FLOW-2:
-    ``all_locations`` when the tag has it, else ``locations``; never mixed).
-
-    The per-tag minimum is a partial aggregate (one row per tag and map
-    task crosses the shuffle), joined back on the tag: broadcast when a
-    count shows the per-tag table is small, else a sort-merge join with hot
-    tags salted.
+def prefer_sources(sources: DataFrame, landed: DataFrame, key: str = "deployid",
+                   pref: str = "pref") -> DataFrame:
+    """Keep, per tag, only the rows of its most preferred source among those
+    that landed (FLOW-2: ``all_locations`` when the tag has it, else
+    ``locations``; never mixed).  ``landed`` (``deployid, pref``) lists the
+    sources present for each tag, also those without rows: a tag whose preferred
+    source is empty keeps nothing.
+
+    The per-tag choice is joined on (tag, source): broadcast when a count
+    shows it is small, else a sort-merge join with hot tags salted.
     """
-    best = sources.groupBy(key).agg(F.min(pref).alias("__best"))
-    return (join_dimension(sources, best, [key], "inner")
-            .where(F.col(pref) == F.col("__best")).drop("__best"))
+    best = landed.groupBy(key).agg(F.min(pref).alias(pref))
+    return join_dimension(sources, best, [key, pref], "inner")
 
 
 def fetch_plan(tags: DataFrame) -> DataFrame:

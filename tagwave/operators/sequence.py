@@ -257,3 +257,14 @@ def parquet_order_key(df: DataFrame) -> DataFrame:
 
 
 FILE_ORDER = ["__file", "__row"]
+
+
+def parquet_position(df: DataFrame, out: str = "position") -> DataFrame:
+    """1-based position of freshly scanned parquet rows in the order of their
+    files' names and of the rows in them; one row per file tells the offsets."""
+    keyed = parquet_order_key(df)
+    sizes = keyed.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    offset = sizes.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return (join_dimension(keyed, offset, ["__file"], "inner")
+            .withColumn(out, (F.col("__off") + F.col("__row") + 1).cast("long")).drop("__file", "__row", "__off"))

@@ -19,7 +19,6 @@ its staged files, so those stay for the shared folder's retention policy.
 from __future__ import annotations
 
 import contextlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -97,28 +96,6 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def replace_folder(spark: SparkSession, target: str, new: str) -> None:
-    """Put the folder ``new`` in the place of ``target`` through the cluster's
-    file system: ``target`` is renamed aside, ``new`` renamed to ``target``,
-    then the old copy deleted (a failed second rename restores it).  Needs a
-    JVM gateway (classic sessions)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    t, n = path(target), path(new)
-    fs = t.getFileSystem(conf)
-    old = path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex}")
-    had_old = fs.exists(t)
-    if had_old and not fs.rename(t, old):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(n, t):
-        if had_old:
-            fs.rename(old, t)
-        raise OSError(f"cannot move {new} to {target}")
-    if had_old:
-        fs.delete(old, True)
-
-
 @contextlib.contextmanager
 def staging_scope(spark: SparkSession):
     """Delete every table staged inside the ``with`` block when it ends.

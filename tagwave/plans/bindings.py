@@ -183,13 +183,22 @@ def location_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(r, S.LOCS, "pref")
 
 
+def location_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deployid, pref``: the location products each tag landed -- ``locations``
+    (2) always, ``all_locations`` (1) for every third tag, with rows or without."""
+    tags = read_table(spark, sf_dir, "events").select("user_id").distinct()
+    held = F.when(F.col("user_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    return tags.select(tag_id(F.col("user_id")).alias("deployid"), F.explode(held).alias("pref"))
+
+
 def product_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(deployid, pos, has_rows)``: which products have rows for which tag,
     for all products from one scan."""
     r = records(spark, sf_dir)
     held = [F.when(F.col("type").isin(*types) if types else F.lit(True), F.lit(S.PRODUCTS[p].pos).cast("long"))
             for p, types in PRODUCT_TYPES.items()]
-    held.append(F.when(_preference().isNotNull(), F.lit(S.LOCS.pos).cast("long")))
+    chosen = F.when(F.col("tag") % 3 == 0, 1).otherwise(2)  # by what landed
+    held.append(F.when(_preference() == chosen, F.lit(S.LOCS.pos).cast("long")))
     return (r.select("deployid", F.explode(F.array_compact(F.array(*held))).alias("pos"))
             .distinct().withColumn("has_rows", F.lit(True)))
 

@@ -7,6 +7,7 @@ oracles in ``tagwave.plans.oracle``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,20 @@ from pyspark.sql import functions as F
 
 from tagwave import schemas as S
 from tagwave.functions.geo import with_point
-from tagwave.functions.text import blank_to_null, replace_first_chain
+from tagwave.functions.text import blank_to_null, r_text, replace_first_chain
+from tagwave.jobs import STATUS_TABLE, Landing, histogram_job, load_job
 from tagwave.operators import cleanup as C
 from tagwave.operators import deploy as D
 from tagwave.operators import export as X
+from tagwave.operators import extras as EX
 from tagwave.operators import histogram as H
 from tagwave.operators import load as L
 from tagwave.operators import qa as Q
 from tagwave.operators import status as ST
-from tagwave.operators.sequence import surrogate_ids
+from tagwave.operators.sequence import parquet_position, surrogate_ids
 from tagwave.operators.stage import stage, track
 from tagwave.plans import bindings as B
+from tagwave.plans import landed_files as LF
 from tagwave.plans import partner_files as PF
 from tagwave.session import scratch_path
 from tagwave.sources.csv import read_text_csv, write_text_csv
@@ -83,7 +87,7 @@ def q_qa_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_rows(spark: SparkSession, sf_dir: str, product: S.Product) -> DataFrame:
     if product.name == "locs":
-        return L.prefer_sources(B.location_sources(spark, sf_dir))
+        return L.prefer_sources(B.location_sources(spark, sf_dir), B.location_files(spark, sf_dir))
     return B.product_rows(spark, sf_dir, product.name)
 
 
@@ -142,7 +146,8 @@ def q_surrogate_id_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_locs_source_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.prefer_sources(B.location_sources(spark, sf_dir)).select("deployid", "seq", "pref")
+    kept = L.prefer_sources(B.location_sources(spark, sf_dir), B.location_files(spark, sf_dir))
+    return kept.select("deployid", "seq", "pref")
 
 
 def _status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +168,39 @@ def q_import_short_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.short_circuit_report(outcomes)
 
 
+# -- landed files -------------------------------------------------------------
+
+def q_landed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landed, judged by the files' footers."""
+    return Landing(spark, LF.land_products(spark, sf_dir)).products.select(
+        "deployid", "product", "rows", "state", "reason")
+
+
+def q_reload_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status report the load job wrote, after reading its tables back."""
+    out = track(scratch_path(spark, "tables"))
+    paths = load_job(spark, LF.deployments(spark, sf_dir), LF.land_products(spark, sf_dir), None, out)
+    return spark.read.parquet(paths[STATUS_TABLE])
+
+
+def _extra(product: S.Product) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        files = EX.read_extra(spark, LF.land_extra(spark, sf_dir, product), product)
+        return EX.load_extra(files, D.eligible_tags(LF.deployments(spark, sf_dir)), product)
+    run.__name__ = f"q_load_{product.name}"
+    return run
+
+
+def q_extras_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of the optional products, from their tables read back."""
+    tags, parts = D.eligible_tags(LF.deployments(spark, sf_dir)), []
+    for p in S.EXTRAS:
+        files = EX.read_extra(spark, LF.land_extra(spark, sf_dir, p), p)
+        loaded = stage(EX.load_extra(files, tags, p), p.table)
+        parts.append(EX.extra_status(files, tags, loaded, p))
+    return functools.reduce(DataFrame.unionByName, parts).select("data_type", "deployid", "status")
+
+
 # -- histograms -------------------------------------------------------------
 
 def q_timeline_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +212,15 @@ def q_tidy_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.tidy_timeline(C.histogram_wide(PF.read_histos(spark, sf_dir)))
 
 
+def q_timeline_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline inserted into a table, read back in the order of its files
+    and rows (``position``)."""
+    path = track(scratch_path(spark, "timeline"))
+    histogram_job(B.wide_histograms(spark, sf_dir).drop("hist_type"), path)
+    back = parquet_position(spark.read.parquet(path))
+    return back.select("position", "id", "deploy_id", "deployid", "hist_type", "timeline_start_dt", "percent_dry")
+
+
 # -- partner CSV cleanup ----------------------------------------------------
 
 def q_nsb_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,6 +288,15 @@ def q_atn_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.export_rows(B.tag_details(spark, sf_dir))
 
 
+def q_export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export written as CSV parts and read back, typed again."""
+    rows = X.export_rows(B.tag_details(spark, sf_dir))
+    path = track(scratch_path(spark, "export"))
+    X.write_export(rows, path)
+    text = read_text_csv(spark, path, header=X.EXPORT_COLUMNS)
+    return text.select(*[r_text(F.col(c)).try_cast(t).alias(c) for c, t in rows.dtypes])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deploy_eligible": q_deploy_eligible,
     "qa_reset": q_qa_reset,
@@ -264,7 +320,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_status": q_import_status,
     "import_failures": q_import_failures,
     "import_short_circuit": q_import_short_circuit,
+    "landed_states": q_landed_states,
+    "reload_status": q_reload_status,
+    "load_corrupt": _extra(S.CORRUPT),
+    "load_status": _extra(S.STATUS),
+    "load_haulout": _extra(S.HAULOUT),
+    "extras_status": q_extras_status,
     "timeline_unpivot": q_timeline_unpivot,
+    "timeline_insert": q_timeline_insert,
     "tidy_timeline": q_tidy_timeline,
     "nsb_deploy": q_nsb_deploy,
     "nsb_capture": q_nsb_capture,
@@ -276,4 +339,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_class_code": q_age_class_code,
     "csv_blank_rules": q_csv_blank_rules,
     "atn_export": q_atn_export,
+    "export_file": q_export_file,
 }

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from tagwave import schemas as _S
 from tagwave.plans import bindings as _B
+from tagwave.plans import landed_files as _LF
 from tagwave.plans import partner_files as _PF
 
 # -- shared derivations (mirror tagwave.plans.bindings) ---------------------
@@ -147,8 +148,10 @@ PRODUCT_CTES = [
   select {_landed('locs', _LOC_TYPE)}, 1 as pref from rec where type = 'error' and tag % 3 = 0
   union all select {_landed('locs', _LOC_TYPE)}, 2 as pref from rec
     where type = 'view' or (type = 'error' and tag % 3 <> 0))""",
+    """lfiles as (select distinct deployid, 1 as pref from rec where tag % 3 = 0
+  union all select distinct deployid, 2 as pref from rec)""",
     """p6 as (select l.* from lsrc l
-  join (select deployid, min(pref) as best from lsrc group by 1) b using (deployid)
+  join (select deployid, min(pref) as best from lfiles group by 1) b using (deployid)
   where l.pref = b.best)""",
 ]
 
@@ -264,7 +267,7 @@ ORACLES.update({
         case when longitude is not null and latitude is not null then 4326 end as geom_srid from loaded""",
     "qa_loaded_locs": _qa_loaded_sql("locs", "locs_dt", _LOCS_FAULTS, "User"),
     "qa_loaded_timeline": _qa_loaded_sql("histos_timeline", "timeline_start_dt", _TIMELINE_FAULTS),
-    "locs_source_pref": _with(REC, PRODUCT_CTES[5], PRODUCT_CTES[6])
+    "locs_source_pref": _with(REC, *PRODUCT_CTES[5:])
     + "select deployid, seq, pref from p6",
     "import_status": LOAD_PRELUDE + _STATUS_PARTS,
     "import_failures": LOAD_PRELUDE + f"select * from ({_STATUS_PARTS}) where status = 'failed to import'",
@@ -456,6 +459,21 @@ ORACLES["atn_export"] = """
   from d where action_lku = 'I'"""
 
 
+ORACLES["export_file"] = ORACLES["atn_export"]
+ORACLES["timeline_insert"] = "select id as position, * from (" + ORACLES["timeline_unpivot"] + ")"
+
+
+# -- landed files ------------------------------------------------------------------
+ORACLES |= {
+    "landed_states": _LF.STATES_SQL,
+    "reload_status": _LF.RELOAD_SQL,
+    "load_corrupt": _LF.extra_sql(_S.CORRUPT),
+    "load_status": _LF.extra_sql(_S.STATUS),
+    "load_haulout": _LF.extra_sql(_S.HAULOUT),
+    "extras_status": _LF.EXTRA_STATUS_SQL,
+}
+
+
 # -- behaviour records (loaded for every eligible tag, flagged on end_dt) --------
 _BEHAV_TAKEN = {"count": "cast(floor(value) as bigint)", "end": "dt + to_minutes(cast(floor(value) as int))"}
 ORACLES["qa_loaded_behav"] = _with(DEP, REC, TAGS) + f"""

@@ -165,6 +165,42 @@ LANDED_NAMES = {
 LOCATION_SOURCES = ["all_locations", "locations"]
 BEHAV_LANDED_NAME = "behavior"
 
+# ---------------------------------------------------------------------------
+# Optional products (their loaders are switched off upstream),
+# read from CSV files with snake-case header names; renames and output columns.
+# ---------------------------------------------------------------------------
+EXTRA_TIME_FORMAT = "H:mm:ss d-MMM-yyyy"
+CORRUPT = Product(
+    "corrupt", 8, "tbl_wc_corrupt", "corrupt_dt", MISSING_CSV,
+    renames={"date": "corrupt_dt", "possible_timestamp": "possible_dt"},
+    columns=("id", "deploy_id", "deployid", "ptt", "instr", "corrupt_dt", "duplicates", "satellite",
+             "location_quality", "latitude", "longitude", "reason", "possible_dt", "possible_type")
+    + tuple(f"byte_{i}" for i in range(32)),
+    has_qa=False,
+)
+STATUS = Product(
+    "status", 9, "tbl_wc_status", "received_dt", MISSING_CSV,
+    renames={"received": "received_dt", "rtc": "rtc_dt", "release_time": "release_dt"},
+    columns=("id", "deploy_id", "deployid", "ptt", "depth_sensor", "instr", "sw", "rtc_dt", "received_dt",
+             "time_offset", "location_quality", "latitude", "longitude", "type", "hauled_out",
+             "broken_thermistor", "broken_link", "transmits", "batt_voltage", "transmit_voltage",
+             "transmit_current", "temperature", "depth", "max_depth", "zero_depth_offset", "light_level",
+             "no_dawn_dusk", "release_type", "release_dt", "initially_broken", "burn_minutes",
+             "release_depth", "fast_gps_power", "twic_power", "power_limit", "wet_dry", "min_wet_dry",
+             "max_wet_dry", "wet_dry_threshold", "status_word", "transmit_power", "resets",
+             "pre_release_tilt", "pre_release_tilt_sd", "pre_release_tilt_count", "xmit_queue",
+             "fast_gps_loc_number", "fast_gps_failures", "batt_discon"),
+    has_qa=False,
+)
+HAULOUT = Product(
+    "haulout", 10, "tbl_wc_haulout", "haulout_start_dt", MISSING_CSV,
+    renames={"id": "haulout_identifier", "start": "haulout_start_dt", "end": "haulout_end_dt"},
+    columns=("id", "deploy_id", "deployid", "ptt", "instr", "haulout_identifier", "haulout_start_dt",
+             "haulout_end_dt", "duration", "location_quality"),
+    has_qa=False,
+)
+EXTRAS = [CORRUPT, STATUS, HAULOUT]
+
 # Columns whose values are neither text nor told by their name.
 DECLARED_TYPES = {"id": "long", "deploy_id": "long", "latitude": "double", "longitude": "double",
                   "num_dives": "double", "pct_tad": "double", "percent_dry": "double", "message_count": "long"}

@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tagwave.operators.commit import Tables
 from tagwave.operators.stage import track
 from tagwave.session import scratch_path
 
@@ -88,10 +89,27 @@ def _r_header(df: DataFrame) -> str:
 
 def write_r_csv(df: DataFrame, path: str) -> None:
     """Part files, each with the header, as ``write.csv(row.names = FALSE)``
-    prints them (the header is the first line of every partition)."""
-    lines = _r_lines(df).select(F.col("value").alias(_r_header(df)))
-    (lines.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000")
-     .option("escape", "\u0000").option("quoteAll", False).option("emptyValue", "").csv(path))
+    prints them: written in parallel and put in the place of ``path`` as one.
+    A partition without rows leaves no file; without any row there is one file
+    with the header."""
+    spark, header = df.sparkSession, _r_header(df)
+    # The header goes before the first row of each partition (index 0 in it).
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = _r_lines(df)
+    lines = lines.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")).alias("value"))
+    folder, _, name = path.rstrip("/").rpartition("/")
+    tables = Tables(spark, folder)
+    aside = tables.aside()
+    rows = Observation()
+    lines.observe(rows, F.count(F.lit(1)).alias("n")).write.text(f"{aside}/{name}")
+    if not rows.get["n"]:
+        spark.range(1).select(F.lit(header).alias("value")).coalesce(1).write.mode("overwrite").text(f"{aside}/{name}")
+    for part in tables.names(f"{aside}/{name}"):
+        if tables.size(f"{aside}/{name}/{part}") == 0:  # of a partition without rows, or a success marker
+            tables.delete(f"{aside}/{name}/{part}")
+        elif part.endswith(".txt"):
+            tables.rename(f"{aside}/{name}/{part}", f"{aside}/{name}/{part[:-4]}.csv")
+    tables.commit(aside, [(f"{aside}/{name}", path.rstrip("/"))])
 
 
 def write_r_csv_file(df: DataFrame, path: str, name: str) -> None:

@@ -1,47 +1,203 @@
 """Landed tag products.
 
-Upstream, each tag's products are fetched one tag at a time from a web
-portal as a named list of data frames.  Here the products are assumed to be
-landed as files, one folder per product and ``deployid=<tag>`` sub-folders,
-so a single scan per product covers every tag and partition discovery
-supplies ``deployid`` (and prunes tags when a filter names them).
+Upstream, each tag's products are fetched one tag at a time from a web portal
+as a named list of data frames.  Here the products are landed as parquet
+files, one folder per product and ``deployid=<tag>`` sub-folders, so a single
+scan per product covers every tag.
+
+What landed is judged before it is read: Spark lists the files, and tasks
+read their footers (columns, types, rows), so a tag whose file lacks a
+column, holds another type, or cannot be read at all is an error of that tag
+alone (``landed_products``).  The scans themselves use the declared schema of
+the product, so column types never depend on what landed.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tagwave import schemas as S
+
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
+#: File systems whose files a Python task opens itself, to read a footer's bytes
+#: only.  Elsewhere the files come through Spark's reader, whole.
+DIRECT_SCHEMES = ("file", "s3", "gs")
+#: Tags of one product that may hold files no scan can read (left out by name).
+MAX_UNREADABLE = 10_000
+
+# Landed types that Spark's parquet reader turns into a declared type.
+FITS = {
+    "string": {"string", "large_string"},
+    "long": {"int8", "int16", "int32", "int64"},
+    "double": {"float", "double", "int8", "int16", "int32"},
+    "timestamp_ntz": {"timestamp"},
+}
+
+PRESENT, ERROR, ABSENT = "present", "error", "absent"
 
 
 def read_product(spark: SparkSession, root: str, product: str,
-                 schema: StructType | None = None, fmt: str = "parquet") -> DataFrame | None:
+                 schema: StructType | str | None = None, fmt: str = "parquet",
+                 without: list[str] | None = None) -> DataFrame | None:
     """All tags' rows of one product: ``<root>/<product>/deployid=*/``, with
     ``deployid`` kept as text (``007`` stays ``007``).  ``None`` when no tag
-    landed the product at all; files that cannot be read together are an
-    error.  Without ``schema`` the columns of all tags' files are merged."""
+    landed the product at all.  ``schema``: the declared columns (a column a
+    file lacks is null); without it the columns are those of some file.  Tags
+    named in ``without`` are left out before any of their files is opened."""
     base = f"{root.rstrip('/')}/{product}"
     reader = spark.read.format(fmt).option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
-    elif fmt == "parquet":
-        reader = reader.option("mergeSchema", True)
     if fmt == "csv":
         reader = reader.option("header", True)
     before = spark.conf.get(_INFER, "true")
     spark.conf.set(_INFER, "false")  # partition values resolve when the DataFrame is created
     try:
-        return reader.load(f"{base}/deployid=*")
+        df = reader.load(f"{base}/deployid=*")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     finally:
         spark.conf.set(_INFER, before)
+    return df.where(~F.col("deployid").isin(without)) if without else df
 
 
 def write_product(df: DataFrame, root: str, product: str, mode: str = "overwrite") -> None:
     """Land one product for many tags at once, partitioned by ``deployid``."""
     df.write.mode(mode).partitionBy("deployid").parquet(f"{root.rstrip('/')}/{product}")
+
+
+def declared_schema(types: dict[str, str]) -> str:
+    """DDL of a product's declared columns."""
+    return ", ".join(f"`{c}` {t}" for c, t in types.items())
+
+
+def landed_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame | None:
+    """``product, deployid, path`` (and ``content``) of every parquet file under
+    ``root``, from a listing; ``None`` when there is no such folder."""
+    reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet"))
+    try:
+        files = reader.load(root.rstrip("/"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    at = r"/([^/]+)/deployid=([^/]*)/[^/]+$"
+    # Folder names escape special characters as %XX; a plus sign is itself.
+    escaped = F.replace(F.regexp_extract("path", at, 2), F.lit("+"), F.lit("%2B"))
+    files = files.select(F.regexp_extract("path", at, 1).alias("product"), F.coalesce(F.try_url_decode(escaped), F.regexp_extract("path", at, 2)).alias("deployid"),
+                         "path", *(["content"] if content else []))
+    return files.where("product <> ''")
+
+
+def _open(path: str) -> pa.NativeFile:
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return pafs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    fs, inside = pafs.FileSystem.from_uri(path.replace("s3a:", "s3:").replace("s3n:", "s3:"))
+    return fs.open_input_file(inside)
+
+
+def _type_name(t: pa.DataType) -> str:
+    return "timestamp" if pa.types.is_timestamp(t) else str(t)
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.map_(pa.string(), pa.string())
+    for batch in batches:
+        direct = "content" not in batch.schema.names
+        for i in range(batch.num_rows):  # a file at a time: contents may be large
+            rows, columns = None, None
+            try:
+                with _open(batch.column(2)[i].as_py()) if direct else io.BytesIO(batch.column(3)[i].as_py()) as f:
+                    meta = pq.read_metadata(f)
+                    rows = meta.num_rows
+                    columns = [(c.name.lower(), _type_name(c.type)) for c in meta.schema.to_arrow_schema()]
+            except (pa.ArrowException, OSError):
+                pass  # no parquet file: no columns
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([rows], pa.int64()),
+                 pa.array([columns], kind)], ["product", "deployid", "rows", "columns"])
+
+
+def landed_footers(spark: SparkSession, root: str) -> DataFrame:
+    """``product, deployid, rows, columns`` of every landed file, ``columns``
+    mapping lower-case names to types; both null for a file that is no
+    readable parquet."""
+    schema = "product string, deployid string, rows long, columns map<string, string>"
+    listed = landed_files(spark, root)
+    if listed is None:
+        return spark.createDataFrame([], schema)
+    one = listed.select("path").first()
+    scheme = one.path.split(":", 1)[0].replace("s3a", "s3").replace("s3n", "s3") if one else "file"
+    files = listed if scheme in DIRECT_SCHEMES else landed_files(spark, root, content=True)
+    return files.mapInArrow(_footers, schema)
+
+
+def _reason(types: dict[str, str]) -> Column:
+    """Why a file cannot be a product's: the first column it lacks or whose
+    type does not fit, else null."""
+    reasons = []
+    for name, kind in types.items():
+        landed = F.col("columns")[name.lower()]
+        reasons.append(F.when(landed.isNull(), F.lit(f"lacks {name}"))
+                       .when(~landed.isin(*FITS[kind]), F.concat(F.lit(f"{name} is "), landed)))
+    first = F.get(F.array_compact(F.array(*reasons)), F.lit(0))
+    return F.when(F.col("columns").isNull(), F.lit("unreadable")).otherwise(first)
+
+
+def landed_products(footers: DataFrame, declared: dict[str, dict[str, str]]) -> DataFrame:
+    """``product, deployid, rows, state, reason, scannable`` per tag and landed
+    product, of the products in ``declared`` (landed column -> declared type).
+
+    ``state`` is ``present``, or ``error`` when some file of the tag does not
+    fit the declared columns (``reason``); such a file is ``scannable`` when only
+    columns are missing.  ``rows`` counts rows by the footers: 0 for a file
+    without rows, which is present all the same.
+    """
+    reason = F.lit(None).cast("string")
+    for product, types in declared.items():
+        reason = F.when(F.col("product") == product, _reason(types)).otherwise(reason)
+    files = footers.where(F.col("product").isin(*declared)).withColumn("reason", reason)
+    cannot = F.col("reason").isNotNull() & ~F.col("reason").startswith("lacks ")
+    return (files.groupBy("product", "deployid")
+            .agg(F.sum("rows").alias("rows"), F.min("reason").alias("reason"),
+                 (~F.bool_or(cannot)).alias("scannable"))
+            .select("product", "deployid", F.coalesce("rows", F.lit(0)).alias("rows"),
+                    F.when(F.col("reason").isNull(), PRESENT).otherwise(ERROR).alias("state"), "reason", "scannable"))
+
+
+def unreadable_tags(landed: DataFrame, product: str) -> list[str]:
+    """Tags whose files of ``product`` would fail a scan; a landing with more
+    than ``MAX_UNREADABLE`` of them is an error of its own."""
+    rows = (landed.where((F.col("product") == product) & ~F.col("scannable")).select("deployid")
+            .limit(MAX_UNREADABLE + 1).collect())
+    if len(rows) > MAX_UNREADABLE:
+        raise ValueError(f"more than {MAX_UNREADABLE} tags landed unreadable files of {product}")
+    return [r.deployid for r in rows]
+
+
+def load_positions(landed: DataFrame) -> DataFrame:
+    """``deployid, pos, source, state, rows`` per tag and position of the load
+    order (FLOW-1, FLOW-2): a position's landed product, for locations the more
+    preferred source that landed at all -- by presence, so an empty
+    ``all_locations`` hides filled ``locations``."""
+    sources = [(name, S.PRODUCTS[p].pos, 1) for p, name in S.LANDED_NAMES.items()]
+    sources += [(name, S.LOCS.pos, pref) for pref, name in enumerate(S.LOCATION_SOURCES, 1)]
+    spark = landed.sparkSession
+    order = F.broadcast(spark.createDataFrame(sources, "product string, pos long, pref int"))
+    best = F.min_by(F.struct("product", "state", "rows"), "pref").alias("b")
+    return (landed.join(order, "product").groupBy("deployid", "pos").agg(best)
+            .select("deployid", "pos", F.col("b.product").alias("source"), F.col("b.state").alias("state"),
+                    F.col("b.rows").alias("rows")))

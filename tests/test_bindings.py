@@ -49,5 +49,13 @@ def test_qa_rules_have_rows(spark):
     assert locs.where("type = 'User'").count() > 0 and locs.where("type is null").count() > 0
     faults = CAT.QUERIES["qa_loaded_timeline"](spark, SF).where("data_explain like 'wet-dry%'")
     assert faults.count() > 0
+    assert locs.where("data_explain = 'erroneous location'").count() > 0    # the rule with =
+    listed = eligible_tags(B.deployments(spark, SF)).groupBy("deployid").count()
+    assert listed.where("count > 1").count() > 0                            # fetched twice
+    report = CAT.QUERIES["import_status"](spark, SF)
+    assert report.where("deployid = ''").count() == 6                       # the blank id
+    assert report.where("deployid = '' and status not like 'failed%'").count() == 0
+    _tags, _rows, outcomes = CAT._routing(spark, SF)
+    assert outcomes.where("deployid = '' and outcome = 'missing'").count() > 0
     d = B.deployments(spark, SF)
     assert d.groupBy("deployid").count().where("count > 1").count() > 0
