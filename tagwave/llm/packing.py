@@ -40,12 +40,18 @@ from tagwave.operators.sequence import global_row_number
 from tagwave.operators.stage import stage
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct chunks whose ids a worker remembers before it starts afresh.
-CACHE_SIZE = 200_000
+#: Distinct chunks whose numbers a worker remembers before it begins anew.
+CHUNKS = 100_000
+#: Words in a generation of those whose ids a worker remembers; it holds two.  A
+#: full generation becomes the old one, whose members come back at their next
+#: use; what a whole generation did not use is forgotten.
+GENERATION = 250_000
 #: Characters that Python splits at although the tokenizer keeps them.
 _KEPT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"
 #: The last character that Python folds and classes as the tokenizer does, whatever the version.
 _FOLDED_HERE = "\u024f"
+#: Signs that the tokenizer's pattern takes by themselves behind a word.
+_STOPS = frozenset(".,;:!?")
 #: Length of the blocks in which the two lines of step 4 are joined.
 _BLOCK = 16_384
 
@@ -82,46 +88,65 @@ class WordIds:
             raise ValueError("special strings without a sign are not supported")
         self.symbols = byte_symbols()
         self.end_id = end_id
-        self.words: dict[str, list[int]] = {}
+        largest = max(self.tokenizer.get_vocab_size(), end_id + 1)
+        self.kind = np.dtype(np.uint16 if largest <= 1 << 16 else np.uint32)
         self._reset()
 
     def _reset(self) -> None:
+        """Forget everything looked up."""
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self._forget_chunks()
+
+    def _forget_chunks(self) -> None:
         self.index = _Numbers({"": 0})  # no chunk is empty: number 0 is the end id
         self.start = np.array([0, 1], np.int64)
-        self.ids = np.array([self.end_id], np.uint32)
-
-    def _ids_of(self, chunk: str) -> list[int]:
+        self.ids = np.array([self.end_id], self.kind)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _ids_of(self, chunk: str) -> bytes:
+        """The ids of a chunk, as an array's bytes."""
+        if chunk.isascii() and chunk.isalpha():
+            return self._word(chunk.lower())
+        head = chunk[:-1]
+        if chunk[-1] in _STOPS and head.isascii() and head.isalpha():  # a word and a sign
+            return self._word(head.lower()) + self._word(chunk[-1])
         if not chunk.isalnum() and self.special.search(chunk) or not chunk.isprintable() or not chunk.isascii() and max(chunk) > _FOLDED_HERE:
-            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            return self._packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if not chunk.isascii():
             chunk = unicodedata.normalize("NFC", chunk)
         chunk = chunk.lower()
-        out: list[int] = []
-        for word in [chunk] if chunk.isalpha() else self.pattern.findall(chunk):
-            ids = self.words.get(word)
+        if chunk.isalpha():
+            return self._word(chunk)
+        return b"".join([self._word(word) for word in self.pattern.findall(chunk)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one match of the tokenizer's pattern."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.old_words.get(word)
             if ids is None:
                 symbols = word if word.isascii() else "".join([self.symbols[b] for b in word.encode()])
-                ids = self.words[word] = [t.id for t in self.model.tokenize(symbols)]
-            out += ids
-        return out
+                ids = self._packed([t.id for t in self.model.tokenize(symbols)])
+            if len(self.words) >= GENERATION:
+                self.old_words, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
 
     def _learn(self) -> None:
         """Ids of the chunks numbered since the last call."""
-        flat, sizes = [], []
-        for c in self.index.new:
-            ids = self._ids_of(c)
-            flat += ids
-            sizes.append(len(ids))
+        parts = [self._ids_of(c) for c in self.index.new]
         self.index.new.clear()
-        if len(self.words) > CACHE_SIZE:
-            self.words.clear()
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes, dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.kind.itemsize
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(parts), self.kind)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        if len(self.index) > CACHE_SIZE:
-            self._reset()
+        if len(self.index) > CHUNKS:
+            self._forget_chunks()
         whole = {k for k, t in enumerate(texts) if any(c in t for c in _KEPT_BY_TOKENIZER)}
         counts, at = [], []
         for k, t in enumerate(texts):
@@ -135,7 +160,7 @@ class WordIds:
         first = self.start[at]
         size = self.start[at + 1] - first
         stop = np.cumsum(size)
-        flat = self.ids[np.repeat(first - (stop - size), size) + np.arange(int(size.sum()))]
+        flat = self.ids[np.repeat(first - (stop - size), size) + np.arange(int(size.sum()))].astype(np.uint32)
         out = np.split(flat, stop[np.cumsum(counts)[:-1] - 1]) if counts else []
         for k in whole:
             ids = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
@@ -156,7 +181,6 @@ def _encoder(path: str | None, end_id: int) -> WordIds:
 def _forget() -> None:
     """What a task has looked up; the tokenizers stay."""
     for encoder in _ENCODERS.values():
-        encoder.words.clear()
         encoder._reset()
 
 

@@ -87,7 +87,8 @@ def test_word_ids_equal_library(monkeypatch):
     signs = "aAb 'sS̈ ̣é\t\n​　<|endoftext|> <|startoftext|>İΣςßK1²\x1c\x00日"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
     texts += ["<|endoftext|>x <|endoftext|>", "don't DON'T 's", "ΑΣ ΑΣΑ", "a" * 5000]
-    monkeypatch.setattr(PK, "CACHE_SIZE", 1000)
+    monkeypatch.setattr(PK, "CHUNKS", 1000)
+    monkeypatch.setattr(PK, "GENERATION", 300)
     words = PK.WordIds(PATH, 2)
     for k in range(0, len(texts), 100):
         for t, got in zip(texts[k:k + 100], words.encode(texts[k:k + 100])):
