@@ -13,13 +13,13 @@
 4. Where a bucket's members are not all connected by then, those outside its
    largest component are held against all members in blocks of bounded size:
    a task counts common shingles of two blocks by matrix products and reports,
-   per document and other component, the best link only.  So no link that
+   per document and other component, the best link only.  Blocks hold the whole
+   sets, and a long set takes the room of several documents.  So no link that
    shares a bucket is lost, no bucket is capped, and no pairs are listed.
 5. Links become components; a class's label goes to all its documents.
 
 With 40 bands of 5 bins a pair at the threshold of 0.8 misses all buckets once
-in about ten million cases.  Blocks hold 32-bit hashes of the shingles; a
-reported link is confirmed on the full sets.
+in about ten million cases.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ BANDS, BAND_ROWS = 40, 5
 #: Sketches decide only between sets of at least this size, and only against a
 #: pair whose share of equal bins lies this many standard deviations too low.
 SKETCH_SIZE, SKETCH_SIGMAS = 200, 8
-#: Documents of a block, and the largest set that a block holds as it is (larger
-#: ones are compared by their sketches before the full sets).
+#: Units of a block, and the shingles of a unit: a document takes as many units
+#: as its set fills.
 BLOCK, BLOCK_SET = 256, 2_500
 
 _WORD_SEED = 7
@@ -256,21 +256,23 @@ def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int =
     labels = dimension(components(links, "a", "b"))
 
     # what star edges left apart
-    more = stage(_confirmed(_across(buckets, sets, labels, percent), sets, percent), "near-links")
+    more = stage(_confirmed(_across(buckets, sets, about, labels, percent), sets, percent), "near-links")
     if not more.isEmpty():
         labels = dimension(components(links.unionByName(more), "a", "b"))
     return _labelled(rows, classes, labels)
 
 
-def _across(buckets: DataFrame, sets: DataFrame, labels: Dimension, percent: int) -> DataFrame:
+def _across(buckets: DataFrame, sets: DataFrame, about: Dimension, labels: Dimension, percent: int) -> DataFrame:
     """Likely links (``a, b``) between different components inside a bucket:
     for each document outside a bucket's largest component and each other
-    component the most similar one, by blocks."""
-    state = (join_dimension(buckets.where("size > 2"), labels.withColumnRenamed("node", "rep"), ["rep"], "left")
-             .select("key", "rep", "size", F.coalesce("root", "rep").alias("root")))
-    parts = state.groupBy("key", "size", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_keys = (parts.groupBy("key", "size").agg(F.max(F.struct("n", "root")).alias("main"))
-                 .select("key", F.col("main.root").alias("main"), (F.col("size") - F.col("main.n")).alias("rest"))
+    component the most similar one, by blocks.  ``about`` has ``rep, n``."""
+    sized = join_dimension(buckets.where("size > 2").select("key", "rep"), about.select("rep", "n"), ["rep"], "inner")
+    state = (join_dimension(sized, labels.withColumnRenamed("node", "rep"), ["rep"], "left")
+             .select("key", "rep", F.ceil(F.col("n") / F.lit(BLOCK_SET)).cast("long").alias("units"),
+                     F.coalesce("root", "rep").alias("root")))
+    parts = state.groupBy("key", "root").agg(F.sum("units").alias("units"))
+    open_keys = (parts.groupBy("key").agg(F.max(F.struct("units", "root")).alias("main"), F.sum("units").alias("size"))
+                 .select("key", "size", F.col("main.root").alias("main"), (F.col("size") - F.col("main.units")).alias("rest"))
                  .where("rest > 0"))
     open_rows = join_dimension(state, open_keys, ["key"], "inner")
 
@@ -286,10 +288,8 @@ def _across(buckets: DataFrame, sets: DataFrame, labels: Dimension, percent: int
     outer = open_rows.where("root <> main").select(
         "key", "rep", "root", F.lit(True).alias("outer"),
         F.pmod(here, blocks("rest")).cast("int").alias("i"), every("size").alias("j"))
-    small = F.when(F.col("n") <= BLOCK_SET, F.col("members"))
     # a document stands in at most one row per band and block: no hot key
-    held = stage(members.unionByName(outer), "near-blocks").join(
-        _low_halves(sets.select("rep", "n", "sketch", small.alias("members"))), "rep")
+    held = stage(members.unionByName(outer), "near-blocks").join(sets.select("rep", "n", "members"), "rep")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         found = compare_blocks(table, percent)
@@ -298,22 +298,10 @@ def _across(buckets: DataFrame, sets: DataFrame, labels: Dimension, percent: int
     return held.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def _low_halves(sets: DataFrame) -> DataFrame:
-    """``sets`` with the low 32 bits of each hash in place of the hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = [None if m is None else np.unique(np.frombuffer(m, np.uint32)[::2]).tobytes()
-                   for m in batch.column(3).to_pylist()]
-            yield batch.set_column(3, "members", pa.array(low, pa.binary()))
-
-    return sets.mapInArrow(tidied(run), sets.schema)
-
-
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The number of common values of each two sets, by products of incidence
     matrices over slices of the values that both sides hold."""
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)))
     shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
 
     def entries(sets):
@@ -340,40 +328,20 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 def compare_blocks(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Of a block of outer documents and one of members: for each outer
     document and each component but its own, its most similar member, if the
-    similarity can reach ``percent``."""
-    t = percent / 100
+    similarity reaches ``percent``."""
     outer = np.array(table.column("outer").to_pylist(), bool)
     o, m = np.flatnonzero(outer), np.flatnonzero(~outer)
     if not len(o) or not len(m):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     rep, root, n = (table.column(c).to_numpy() for c in ("rep", "root", "n"))
-    held = table.column("members").to_pylist()
-    whole = np.array([x is not None for x in held])
-    values = [np.frombuffer(x or b"", np.uint32) for x in held]
-    size = np.array([len(v) for v in values])
+    values = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
     common = common_counts([values[k] for k in o], [values[k] for k in m])
-    # hashes that fell together inside a set may hide as many common shingles
-    common += np.minimum((n - size)[o][:, None], (n - size)[m][None, :]) * (whole[o][:, None] & whole[m][None, :])
-    total = n[o][:, None] + n[m][None, :]
-    like = common / np.maximum(total - common, 1)
-    least = np.full(like.shape, t - 1e-6)
-    sketched = ~(whole[o][:, None] & whole[m][None, :])
-    if sketched.any():
-        marks = np.stack([np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()])
-        same = np.stack([(marks[m] == marks[k]).mean(axis=1) for k in o])
-        like = np.where(sketched, same, like)
-        least = np.where(sketched, t - SKETCH_SIGMAS * (t * (1 - t) / marks.shape[1]) ** 0.5, least)
-    fits = (root[o][:, None] != root[m][None, :]) & (like >= least)
-    fits &= np.minimum.outer(n[o], n[m]) * 100 >= np.maximum.outer(n[o], n[m]) * percent
-    row, col = np.nonzero(fits)
-    # the best of each (outer document, component) among the counted pairs, and
-    # beside it all where only sketches speak: an estimate outranks no count
-    guess = sketched[row, col]
-    order = np.lexsort((-like[row, col], root[m][col], row, guess))
-    row, col, guess = row[order], col[order], guess[order]
+    union = n[o][:, None] + n[m][None, :] - common
+    row, col = np.nonzero((root[o][:, None] != root[m][None, :]) & (common * 100 >= union * percent))
+    order = np.lexsort((-(common / union)[row, col], root[m][col], row))
+    row, col = row[order], col[order]
     first = np.ones(len(row), bool)
     first[1:] = (row[1:] != row[:-1]) | (root[m][col[1:]] != root[m][col[:-1]])
-    first |= guess
     a, b = rep[o[row[first]]], rep[m[col[first]]]
     return np.minimum(a, b), np.maximum(a, b)
 

@@ -85,8 +85,44 @@ def test_estimates_do_not_hide_counted_links(spark):
     held = spark.createDataFrame(rows, "rep long, n long, sketch binary, members binary")
     buckets = spark.createDataFrame([(7, r, 2, 3) for r in sets], "key long, rep long, centre long, size long")
     labels = ND.dimension(spark.createDataFrame([(2, 2), (3, 2)], "node long, root long"))
-    got = ND._confirmed(ND._across(buckets, held, labels, 80), held, 80).collect()
-    assert [(r.a, r.b) for r in got] == [(1, 3)]
+    across = ND._across(buckets, held, ND.dimension(held.select("rep", "n")), labels, 80)
+    assert [(r.a, r.b) for r in ND._confirmed(across, held, 80).collect()] == [(1, 3)]
+
+
+def test_hashes_that_share_half_their_bits_hide_no_link(spark):
+    """Member 2 shares the low halves of nearly all hashes with document 1, but
+    few hashes; member 3 of the same component is the true link."""
+    base = np.arange(1, 1001, dtype=np.uint64) << np.uint64(33)
+    low = base + np.arange(1, 1001, dtype=np.uint64)
+    sets = {1: low, 2: np.concatenate([low[:800], low[800:] + (np.uint64(1) << np.uint64(62))]),
+            3: np.concatenate([low[:900], np.arange(5, 105, dtype=np.uint64) << np.uint64(50)])}
+    held = spark.createDataFrame([(r, len(x), np.sort(x).tobytes()) for r, x in sets.items()],
+                                 "rep long, n long, members binary")
+    buckets = spark.createDataFrame([(7, r, 2, 3) for r in sets], "key long, rep long, centre long, size long")
+    labels = ND.dimension(spark.createDataFrame([(2, 2), (3, 2)], "node long, root long"))
+    across = ND._across(buckets, held, ND.dimension(held.select("rep", "n")), labels, 80)
+    assert [(r.a, r.b) for r in across.collect()] == [(1, 3)]
+
+
+def test_hot_bucket_of_long_copies_lists_no_pairs(spark, monkeypatch):
+    """Long sets of one bucket that no star links: a link per document and
+    component at most, whatever the number of blocks, and the same components."""
+    monkeypatch.setattr(ND, "BLOCK_SET", 100)
+    monkeypatch.setattr(ND, "BLOCK", 40)
+    rng = np.random.default_rng(3)
+    core = np.unique(rng.integers(0, 2**64, 950, dtype=np.uint64))
+    sets = {k: np.sort(np.unique(np.concatenate([core, rng.integers(0, 2**64, 20 + 20 * (k % 6), dtype=np.uint64)])))
+            for k in range(60)}
+    held = spark.createDataFrame([(r, len(x), x.tobytes()) for r, x in sets.items()], "rep long, n long, members binary")
+    buckets = spark.createDataFrame([(7, r, 0, 60) for r in sets], "key long, rep long, centre long, size long")
+    labels = ND.dimension(spark.createDataFrame([(r, r // 20) for r in range(60)], "node long, root long"))
+    across = ND._across(buckets, held, ND.dimension(held.select("rep", "n")), labels, 80)
+    got = {(r.a, r.b) for r in across.collect()}
+    blocks = -(-60 * 11 // 40)
+    assert 0 < len(got) <= 40 * 2 * blocks < 60 * 59 // 2 * 2
+    like = {(a, b) for a in sets for b in sets if a < b and a // 20 != b // 20
+            and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert got <= like and {(a // 20, b // 20) for a, b in got} == {(a // 20, b // 20) for a, b in like}
 
 
 def test_family_on_both_sides_of_the_block_set(make_docs, monkeypatch):
