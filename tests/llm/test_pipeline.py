@@ -110,7 +110,7 @@ def test_run(spark):
 
 def test_registered():
     keys = [k for k in E.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in keys) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in keys) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
