@@ -27,7 +27,7 @@ from tagwave.llm.common import text_chunks
 #: Phrases whose places are counted, with their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# License wordings with markup, by label.
+# License wordings with markup, by label (several where a label has several).
 _BSD_GRANT = """redistribution and use in source and binary forms with or without modification are permitted
         provided that the following conditions are met <<opt>> 1 <<end>> redistributions of source code must
         retain the above copyright notice this list of conditions and the following disclaimer
@@ -41,7 +41,8 @@ _BSD_DISCLAIMER = """this software is provided by <<var;16>> as is and any expre
         services loss of use data or profits or business interruption however caused and on any theory of
         liability whether in contract strict liability or tort including negligence or otherwise arising in
         any way out of the use of this software even if advised of the possibility of such damage"""
-TEMPLATES = {
+_APACHE_NOTICE = "<<opt>> the license you may not use this file except in compliance with the license <<end>>"
+TEMPLATES: dict[str, str | tuple[str, ...]] = {
     "mit-notice": "<<opt>> released <<end>> <<opt>> licensed <<end>> <<opt>> distributed <<end>> under the mit license",
     "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software
         and associated documentation files the software to deal in the software without restriction
@@ -55,9 +56,8 @@ TEMPLATES = {
         <<var;16>> be liable for any claim damages or other liability whether in an action of contract tort
         or otherwise arising from out of or in connection with the software or the use or other dealings in
         the software""",
-    "apache-2.0": """licensed under the apache license <<opt;version 1|version 3|v1|v 1|1 0|1 1>>
-        <<opt>> version <<end>> 2 0 <<end>>
-        <<opt>> the license you may not use this file except in compliance with the license <<end>>""",
+    "apache-2.0": (f"licensed under the apache license <<opt>> version <<end>> <<opt>> v <<end>> 2 0 {_APACHE_NOTICE}",
+                   f"licensed under the apache license <<opt>> version <<end>> v2 0 {_APACHE_NOTICE}"),
     "gpl-3.0": "gnu general public license <<opt>> as published by the free software foundation either <<end>> version 3",
     "gpl-2.0": "gnu general public license <<opt>> as published by the free software foundation either <<end>> version 2",
     "cc-by-nc": "cc by nc <<opt>> 4 0 <<end>>",
@@ -173,9 +173,11 @@ def compile_template(label: str, markup: str) -> Automaton:
 class Scanner:
     """All templates and base phrases, compiled."""
 
-    def __init__(self, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None):
+    def __init__(self, templates: dict[str, str | tuple[str, ...]] | None = None,
+                 phrases: dict[str, str] | None = None):
         self.base = [compile_template(label, p) for p, label in (phrases or BASE_PHRASES).items()]
-        self.more = [compile_template(label, p) for label, p in (templates or TEMPLATES).items()]
+        self.more = [compile_template(label, p) for label, ps in (templates or TEMPLATES).items()
+                     for p in ([ps] if isinstance(ps, str) else ps)]
         self.starts: dict[bytes, list[tuple[Automaton, bool]]] = {}
         for group, is_base in ((self.base, True), (self.more, False)):
             for a in group:
@@ -209,7 +211,7 @@ def _covered(places: list[tuple[str, bool, int, int]]) -> int:
     return total
 
 
-def license_places(docs: DataFrame, templates: dict[str, str] | None = None,
+def license_places(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] | None = None,
                    phrases: dict[str, str] | None = None) -> DataFrame:
     """``doc_id, n_words, places array<struct<label, base, first, stop>>,
     n_covered`` of every text, words numbered from 0.
