@@ -8,8 +8,9 @@ letters share some, everything else is one boundary class whose runs count
 once.  A text's n-grams are therefore flags in one array of fixed size.
 
 Fitting: a bounded sample of labelled rows (``PER_LANGUAGE`` each, smallest
-hashes first); ``LANDMARKS`` of them per language are Nyström landmarks, and
-kernel ridge regression one-versus-rest is solved in their span.
+hashes of id and text first), whose letters are counted and whose n-grams are
+found in tasks; ``LANDMARKS`` of them per language are Nyström landmarks, and
+kernel ridge regression one-versus-rest is solved in their span on the driver.
 
 Scoring: a decision value is K(text, landmarks) @ weights.  K is itself
 presence @ landmark presence, so the product of landmark presence and weights
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tagwave.llm.common import crc_mod, text_chunks
 from tagwave.operators.joins import join_dimension
+from tagwave.operators.stage import stage
 
 #: Bounds of the sample: texts and landmarks per language.
 PER_LANGUAGE, LANDMARKS = 400, 50
@@ -60,13 +62,20 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def learn_alphabet(texts: list[str]) -> np.ndarray:
-    """The class of each code point (0: no letter)."""
+def letter_counts(texts: list[str]) -> Counter:
+    """How often each letter (as its lower-case code point) stands in ``texts``."""
     low, count = letters(), Counter()
     for t in texts:
         points, n = np.unique(low[_points(t)], return_counts=True)
         count.update(dict(zip(points.tolist(), n.tolist())))
     count.pop(0, None)
+    return count
+
+
+def learn_alphabet(count: Counter) -> np.ndarray:
+    """The class of each code point (0: no letter); the most frequent letters
+    of ``count`` have their own."""
+    low = letters()
     own = [c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:_OWN]]
     shared = _CLASSES - 1 - _OWN
     classes = np.where(low > 0, 1 + _OWN + low % shared, 0)
@@ -127,11 +136,10 @@ class LanguageModel:
         return [(self.languages[b], float(s)) if n else (UNKNOWN, 0.0) for b, s, n in zip(best, score, own)]
 
 
-def fit(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel | None:
-    """A model from (language, text) rows; None without any text with a letter."""
-    alphabet = learn_alphabet([t for _, t in sample])
-    presence = Presence(alphabet)
-    held = [(lang, f) for lang, f in ((lang, presence(t)) for lang, t in sample) if len(f)]
+def fit(alphabet: np.ndarray, sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS,
+        ridge: float = RIDGE) -> LanguageModel | None:
+    """A model from (language, n-grams present) rows; None without any n-gram."""
+    held = [(lang, f) for lang, f in sample if len(f)]
     if not held:
         return None
     languages = sorted({lang for lang, _ in held})
@@ -160,22 +168,56 @@ def fit(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     return LanguageModel(languages, alphabet, rows, (inside @ beta.astype(np.float32)).astype(np.float32))
 
 
-def labelled_sample(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most ``per_language`` (lang, text) rows of each language, those of
-    smallest hash.  Rows are counted by language first, so that only about
-    twice as many as wanted are ever ranked, however large a language is."""
-    mark = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40))
-    marked = docs.where(train & F.col("lang").isNotNull()).select("doc_id", "lang", mark.alias("mark"))
-    sizes = marked.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    share = F.lit((2.0 * per_language + 50) * (1 << 40)) / F.col("size")
-    few = join_dimension(marked, sizes, ["lang"], "inner").where(F.col("mark") <= share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
-    picked = (few.withColumn("rank", rank).where(F.col("rank") <= per_language)
-              .select("doc_id", "lang", "mark").distinct())
-    rows = (docs.select("doc_id", "lang", "text")
-            .join(F.broadcast(picked), ["doc_id", "lang"])  # the sample: bounded
-            .orderBy("lang", "mark", "doc_id").select("lang", "text").collect())
-    return [(r["lang"], r["text"]) for r in rows if r["text"] is not None]
+def labelled_sample(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """At most ``per_language`` rows ``lang, mark, text`` of each language, those
+    of smallest hash of id and text; rows alike in both count once, and a null id
+    is an id like others.  The table is staged.
+
+    Different rows are estimated by language first, so that only about twice as
+    many as wanted are ever ranked, however large a language is.
+    """
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(3)), 1)
+    marked = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", mark.alias("mark"), "text")
+    sizes = marked.groupBy("lang").agg(F.approx_count_distinct("mark", 0.02).alias("size"))
+    share = F.lit((2.0 * per_language + 50) * (1 << 63)) / F.greatest("size", F.lit(1))
+    few = (join_dimension(marked, sizes, ["lang"], "inner").where(F.col("mark") <= share)
+           .select("lang", "mark", "text").dropDuplicates(["lang", "mark"]))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
+    return stage(few.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank"), "languages")
+
+
+def _letters_of(sample: DataFrame) -> Counter:
+    """The sample's most frequent letters, counted in its tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = letter_counts(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.int32()), pa.array(list(count.values()), pa.int64())],
+                                             ["letter", "n"])
+
+    rows = (sample.select("text").mapInArrow(run, "letter int, n long").groupBy("letter").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "letter").limit(_OWN).collect())
+    return Counter({r["letter"]: r["n"] for r in rows})
+
+
+def trained(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
+    """A model of the ``train`` rows of ``docs``; None if they hold no letter.
+    The driver gets the n-grams of the sample's texts: ``per_language`` arrays
+    of at most ``_GRAMS`` numbers for each language."""
+    sample = labelled_sample(docs, train, per_language)
+    alphabet = learn_alphabet(_letters_of(sample))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        presence = Presence(alphabet)
+        for batch in batches:
+            found = [presence(t).astype(np.int32) for t in batch.column(2).to_pylist()]
+            ends = np.cumsum([0, *map(len, found)])
+            grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), grams], ["lang", "mark", "grams"])
+
+    rows = sample.select("lang", "mark", "text").mapInArrow(run, "lang string, mark long, grams array<int>")
+    got = rows.orderBy("lang", "mark").toArrow()
+    return fit(alphabet, [(lang, np.asarray(g.values)) for lang, g in zip(got.column("lang").to_pylist(), got.column("grams"))])
 
 
 def languages(docs: DataFrame, held_out: Column | None = None, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -186,11 +228,12 @@ def languages(docs: DataFrame, held_out: Column | None = None, per_language: int
     modulo 4 is 2) and have a ``lang``.  A text that is null or has no letter
     is ``und`` with score 0, as is every text when nothing can be learned.
     Ties go to the alphabetically first language.  Repeated rows and ids give
-    a row each, a null id is never held out; an empty table gives no rows;
-    other columns are ignored.
+    a row each; equal rows are learned from once, different texts of one id each
+    by itself.  A null id is never held out and learned from like others; an empty
+    table gives no rows; other columns are ignored.
     """
     held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)) if held_out is None else held_out
-    model = fit(sample) if (sample := labelled_sample(docs, ~held_out, per_language)) else None
+    model = trained(docs, ~held_out, per_language)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
