@@ -30,7 +30,7 @@ from tagwave.llm.common import crc_mod, text_chunks, tidied
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.stage import stage_measured
 
-#: Labelled rows that the model is fitted on, at most (about).
+#: Labelled documents that the model is fitted on, at most.
 SAMPLE = 8_000
 BUCKETS, FACTORS = 4_096, 8
 EPOCHS, BATCH, RATE, SHRINK = 8, 128, 0.1, 2e-5
@@ -159,31 +159,51 @@ def _with_metadata(docs: DataFrame, *more) -> DataFrame:
     return docs.select("doc_id", "text", n_chars.alias("n_chars"), *more)
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, train: Column,
-                      sample: int = SAMPLE) -> pa.Table | None:
-    """Rows (buckets, values, statistics, label) of about ``sample`` labelled
-    documents, chosen by a hash of the id; featurised in the tasks."""
-    usable = labels.where(train & F.col("quality").isNotNull()).select(
+def labelled_ids(labels: DataFrame, train: Column, sample: int = SAMPLE) -> DataFrame | None:
+    """At most ``sample`` rows ``doc_id, quality``, ids once, those of smallest
+    hash; of an id's labels the largest counts and null ids name no document.
+    None without any label."""
+    usable = labels.where(train & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col("quality").cast("int").alias("quality"))
-    total = usable.count()
+    total = usable.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
     if not total:
         return None
-    share = min(1.0, sample / total)
+    # somewhat more than wanted, so that the estimate leaves enough to choose from
+    share = min(1.0, (1.25 * sample + 50) / total)
     mark = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
-    picked = usable.where(mark <= int(share * (1 << 30))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return (usable.where(mark <= int(share * (1 << 30))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+            .orderBy(mark, "doc_id").limit(sample))
+
+
+def labelled_features(docs: DataFrame, labels: DataFrame, train: Column,
+                      sample: int = SAMPLE) -> pa.Table | None:
+    """Rows (buckets, values, statistics, label) of at most ``sample`` labelled
+    documents, featurised in the tasks.  Of rows that repeat an id the one whose
+    text and ``n_chars`` have the smallest hash is taken; they are reduced to it
+    in the tasks that read them."""
+    picked = labelled_ids(labels, train, sample)
+    if picked is None:
+        return None
     joined = join_dimension(_with_metadata(docs), picked, ["doc_id"], "inner")
+    once = joined.groupBy("doc_id", "quality").agg(
+        F.min_by(F.struct("text", "n_chars"), F.xxhash64("text", "n_chars")).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            for t, n, q in zip(*(batch.column(c).to_pylist() for c in (0, 1, 2))):
-                _, bucket, value, stats = features([t or ""], [n])
+            at = 0
+            for n_chars, texts in text_chunks(batch.column(1), batch.column(0)):
+                row, bucket, value, stats = features(texts, n_chars)
+                ends = pa.array(np.searchsorted(row, np.arange(len(texts) + 1)), pa.int32())
+                every = pa.array(np.arange(len(texts) + 1) * STATISTICS, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket.tolist()], pa.list_(pa.int64())), pa.array([value.tolist()], pa.list_(pa.float64())),
-                     pa.array([stats[0].tolist()], pa.list_(pa.float64())), pa.array([q], pa.int32())],
-                    ["buckets", "vals", "stats", "quality"])
+                    [pa.ListArray.from_arrays(ends, pa.array(bucket, pa.int64())),
+                     pa.ListArray.from_arrays(ends, pa.array(value, pa.float64())),
+                     pa.ListArray.from_arrays(every, pa.array(stats.ravel(), pa.float64())),
+                     batch.column(2).slice(at, len(texts))], ["buckets", "vals", "stats", "quality"])
+                at += len(texts)
 
-    rows, _, _ = stage_measured(joined.select("text", "n_chars", "quality").mapInArrow(
+    rows, _, _ = stage_measured(once.select("row.text", "row.n_chars", "quality").mapInArrow(
         tidied(run), "buckets array<long>, vals array<double>, stats array<double>, quality int"), "labelled")
     # in an order that does not depend on which task came first
     return rows.orderBy(F.xxhash64("buckets", "vals", "stats"), "quality").toArrow()
@@ -217,8 +237,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
     Learns ``labels.quality`` from rows that are not ``held_out`` (default:
     crc32 of the id modulo 5 is 0).  A null text scores as an empty one.
     Without any label all scores are 0.5.  Repeated rows and ids give a row
-    each, a null id is not held out, of a document's repeated labels the
-    largest counts; an empty table gives no rows; other columns are ignored.
+    each; an id is learned from once, by the row of smallest hash, and of its
+    repeated labels the largest counts.  A null id is not held out and, as it
+    names no document, not learned from: with null ids only, all scores are 0.5.
+    An empty table gives no rows; other columns are ignored.
     """
     held_out = _held_out() if held_out is None else held_out
     model = _trained(docs, labels, ~held_out, sample)

@@ -62,7 +62,41 @@ def test_held_out_labels_do_not_matter(spark):
 
 def test_sample_is_bounded(spark):
     docs, labels = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
-    assert 20 < Q.labelled_features(docs, labels, F.lit(True), sample=60).num_rows < 110
+    assert Q.labelled_features(docs, labels, F.lit(True), sample=60).num_rows == 60
+
+
+def test_sample_of_repeated_ids(spark, make_docs):
+    """An id 5,000 times, in documents and in labels, is one row of the sample."""
+    texts = [f"some words {k}" for k in range(5000)]
+    docs = make_docs([(7, t) for t in texts] + [(7, "equal text")] * 100 + [(8, "other words!"), (None, "no id")])
+    labels = spark.createDataFrame([(7, 0)] * 5000 + [(7, 1), (8, 0), (9, 1), (None, 1)], "doc_id long, quality int")
+    assert sorted((r.doc_id, r.quality) for r in Q.labelled_ids(labels, F.lit(True), 50).collect()) == [(7, 1), (8, 0), (9, 1)]
+    got = Q.labelled_features(docs, labels, F.lit(True), sample=50)
+    assert sorted(got.column("quality").to_pylist()) == [0, 1]
+    # the features are those of the row of smallest hash
+    first = docs.where("doc_id = 7").orderBy(F.xxhash64("text", "n_chars")).first()
+    _, bucket, value, stats = Q.Features()([first.text], [first.n_chars])
+    row = next(r for r in got.to_pylist() if r["quality"] == 1)
+    assert row["buckets"] == bucket.tolist() and row["vals"] == pytest.approx(value) and row["stats"] == pytest.approx(stats[0])
+    scores = Q.quality_scores(docs, labels, F.lit(False)).collect()
+    assert len(scores) == 5102 and len({r.score for r in scores}) > 1
+
+
+def test_null_ids_only(spark, make_docs):
+    docs = make_docs([(None, f"text {k}") for k in range(50)])
+    labels = spark.createDataFrame([(None, k % 2) for k in range(50)], "doc_id long, quality int")
+    assert [r.score for r in Q.quality_scores(docs, labels).collect()] == [0.5] * 50
+
+
+def test_features_of_a_batch_equal_those_of_each_text(spark, make_docs):
+    texts = ["some words here here", "", "x " * 1000, "ÄÖ ü", "| a | b |\n| a | b |"]
+    docs = make_docs(list(enumerate(texts))).coalesce(1)
+    labels = spark.createDataFrame([(k, k) for k in range(len(texts))], "doc_id long, quality int")
+    rows = {r["quality"]: r for r in Q.labelled_features(docs, labels, F.lit(True)).to_pylist()}
+    for k, t in enumerate(texts):
+        _, bucket, value, stats = Q.Features()([t], [len(t)])
+        assert rows[k]["buckets"] == bucket.tolist()
+        assert rows[k]["vals"] == pytest.approx(value) and rows[k]["stats"] == pytest.approx(stats[0])
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
