@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -65,17 +66,27 @@ def forget_others(owner: str | None) -> None:
             forget()
 
 
+def give_back() -> None:
+    """Return freed memory of Arrow and, where the C library can, of everything
+    else to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidied(run: Callable[[Iterator], Iterator], owner: str | None = None) -> Callable:
     """A ``mapInArrow`` function that drops what operators other than ``owner``
-    keep in the worker and gives unused memory back when its partition ends:
-    workers live on between tasks and stages."""
+    keep in the worker before its partition begins, and gives unused memory back
+    to the system then and when it ends: workers live on between tasks and stages."""
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_others(owner)
+        give_back()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return inner
 
