@@ -5,6 +5,7 @@ import re
 from functools import partial
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as CP
@@ -101,6 +102,29 @@ def test_packing_stage(stages):
     assert sum(r.length for r in rows) == sum(tokens.values())
 
 
+def test_odd_rows(spark, make_docs, odd_rows):
+    """Null ids and texts, repeated rows, a long text and columns that clash with
+    names used inside: every stage keeps whole rows and all columns."""
+    docs = make_docs(odd_rows)
+    for name in ("text_key", "score", "kept", "rid", "quality", "item_id"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    for name, step in CP.STAGES[:-1]:
+        before = docs.collect()
+        docs = stage(step(spark, docs, SMALL), f"odd-{name}")
+        after = docs.collect()
+        assert docs.columns == list(before[0].asDict()) and all(r in before for r in after), name
+        if name == "exact_dedup":
+            assert len(after) == len({(r.text or "").lower() for r in before})
+    packed = CP.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+
+
+def test_empty_table(spark, make_docs):
+    docs = make_docs([(1, "x")]).limit(0)
+    for name, step in CP.STAGES:
+        assert step(spark, docs, SMALL).count() == 0, name
+
+
 def test_run(spark):
     got = CP.run(spark, SMALL)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
