@@ -2,6 +2,10 @@
 
 Each stage calls one operator of ``tagwave.llm``; its result is written as
 Parquet to the shared folder and read again as the next stage's documents.
+
+All stages but the last return whole rows with all columns of their input, also
+columns whose names the operators use themselves.  A null text counts as empty;
+null and repeated ids are rows like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
