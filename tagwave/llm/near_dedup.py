@@ -36,6 +36,7 @@ from tagwave.llm.common import keep_rows, splitmix, text_chunks, text_key, tidie
 from tagwave.llm.components import components
 from tagwave.operators.joins import Dimension, dimension, join_dimension
 from tagwave.operators.stage import stage
+from tagwave.session import text_batches
 
 BANDS, BAND_ROWS = 40, 5
 #: Sketches decide only between sets of at least this size, and only against a
@@ -232,7 +233,11 @@ def near_rows(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int =
               band_rows: int = BAND_ROWS) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, kept``, where exactly one
     row of each component is ``kept``."""
-    docs = docs.select("doc_id", "text")
+    with text_batches(docs.sparkSession):
+        return _linked(docs.select("doc_id", "text"), shingle, percent, bands, band_rows)
+
+
+def _linked(docs: DataFrame, shingle: int, percent: int, bands: int, band_rows: int) -> DataFrame:
     rows = stage(_sketched(docs, shingle, bands, band_rows), "near-rows")
     filled = rows.where("n_shingles > 0")
     classes = stage(filled.groupBy("k1", "k2").agg(

@@ -38,6 +38,7 @@ from tagwave.llm.token_counts import byte_symbols
 from tagwave.operators.joins import join_dimension
 from tagwave.operators.sequence import global_row_number
 from tagwave.operators.stage import stage
+from tagwave.session import text_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct chunks whose numbers a worker remembers before it begins anew.
@@ -367,8 +368,12 @@ def pack(docs: DataFrame, length: int = 4096, classes: int = 64, path: str | Non
     """
     if length % classes:
         raise ValueError("length must be a multiple of classes")
+    with text_batches(docs.sparkSession):
+        return _packed(docs.select("doc_id", "text"), length, classes, path, end_id)
+
+
+def _packed(docs: DataFrame, length: int, classes: int, path: str | None, end_id: int) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     rows = stage(measure(docs, length, path, end_id), "pack-rows")
     whole = F.size("full_crcs")
     ids_of = ["doc_id", "rid", "text_key", "n"]
@@ -438,6 +443,6 @@ def pack(docs: DataFrame, length: int = 4096, classes: int = 64, path: str | Non
         spark.createDataFrame(tail, "sequence_id long, fill long, gap long, gap_lo long"))
     line = running_sum(spare, ["doc_id", "rid"], "size", "lo")
     cut = stage(_cut(line, gaps), "pack-cuts")
-    filled = _piece_crcs(docs, cut, path, end_id).select(
-        "doc_id", "start", "length", "ids_crc32", F.col("n").alias("doc_tokens"), "sequence_id", "offset")
+    filled = stage(_piece_crcs(docs, cut, path, end_id).select(
+        "doc_id", "start", "length", "ids_crc32", F.col("n").alias("doc_tokens"), "sequence_id", "offset"), "pack-filled")
     return full.unionByName(kept).unionByName(filled)

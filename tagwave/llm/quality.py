@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tagwave.llm.common import crc_mod, text_chunks, tidied
 from tagwave.operators.joins import join_dimension
-from tagwave.operators.stage import stage_measured
+from tagwave.operators.stage import stage, stage_measured
+from tagwave.session import text_batches
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 8_000
@@ -266,8 +267,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None =
 def drop_low_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
                      threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents whose score is below ``threshold``; rows
-    keep all their columns and stay in their tasks."""
-    model = _trained(docs, labels, ~_held_out(), sample)
+    keep all their columns and stay in their tasks, which write them to the
+    shared folder."""
+    with text_batches(docs.sparkSession):
+        return stage(_good(docs, _trained(docs, labels, ~_held_out(), sample), threshold), "good-quality")
+
+
+def _good(docs: DataFrame, model: FactorisationMachine | None, threshold: float) -> DataFrame:
     text, n_chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

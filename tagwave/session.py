@@ -87,6 +87,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tagwave-{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of a batch of rows that is sent to Python, see ``text_batches``.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def text_batches(spark: SparkSession):
+    """For jobs run inside that send texts to Python: a batch ends at
+    ``BATCH_BYTES``, not only at a number of rows (10,000 long texts), so that
+    neither the JVM nor the worker holds a whole partition at once.  A limit that
+    the session sets itself stays.  Only jobs that end inside are bounded: stage
+    what Python returns."""
+    own = spark.conf.get(_BATCH_LIMIT, None)
+    if own is None:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_BATCH_LIMIT)
+
+
 @contextlib.contextmanager
 def many_columns(spark: SparkSession):
     """For jobs run inside that make dozens of columns per row: a method of

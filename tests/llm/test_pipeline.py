@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline as CP
 from compare import duck, duck_digest, spark_digest
+from tagwave.llm import near_dedup, packing, quality
 from tagwave.llm.quality import drop_low_quality, quality_scores
 from tagwave.operators.stage import stage
+from tagwave.session import BATCH_BYTES, text_batches
 
 SMALL = "/root/testdata/sf0.001"
 MID = "/root/testdata/sf0.01"
@@ -125,6 +127,34 @@ def test_empty_table(spark, make_docs):
         assert step(spark, docs, SMALL).count() == 0, name
 
 
+@pytest.mark.parametrize("name,module", [("quality", quality), ("near_dedup", near_dedup), ("packing", packing)])
+def test_batches_are_bounded_in_bytes(spark, monkeypatch, name, module):
+    """No worker gets a partition of long texts in one piece; the session's setting comes back."""
+    docs = spark.range(0, 80, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 25000) AS text",
+                                               "'en' AS lang", "'s' AS source", "id AS n_chars")
+    inner, most, key = module.text_chunks, BATCH_BYTES + 400_000, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def checked(ids, texts):
+        if texts.nbytes > most:
+            raise ValueError(f"a batch of {texts.nbytes} bytes")
+        return inner(ids, texts)
+
+    monkeypatch.setattr(module, "text_chunks", checked)
+    assert dict(CP.STAGES)[name](spark, docs, SMALL).select("doc_id").distinct().count() > 0
+    assert spark.conf.get(key, None) is None
+
+
+def test_batch_limit_of_the_session_stays(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "1000000")
+    try:
+        with text_batches(spark):
+            assert spark.conf.get(key) == "1000000"
+        assert spark.conf.get(key) == "1000000"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_run(spark):
     got = CP.run(spark, SMALL)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
