@@ -18,6 +18,12 @@ _FORMATS = {
     "H:mm:ss d-MMM-yyyy": (r"^\s*(\d{1,2}):(\d{1,2}):(\d{1,2})\s+(\d{1,2})-([A-Za-z]+)-(\d{4})",
                            (6, 5, 4, 1, 2, 3)),
 }
+# The usual form of a format, where every field has its place: a pattern, and
+# where each group of the regex above begins and its length.
+_FIXED = {
+    "H:mm:ss d-MMM-yyyy": (r"^\d{2}:\d{2}:\d{2} \d{2}-[A-Za-z]{3}-\d{4}",
+                           ((1, 2), (4, 2), (7, 2), (10, 2), (13, 3), (17, 4))),
+}
 _MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september",
            "october", "november", "december"]
 
@@ -42,6 +48,9 @@ def parse_r_time(c: Column, fmt: str) -> Column:
         return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
     pattern, order = _FORMATS[fmt]
     text = [F.regexp_extract(c, pattern, g) for g in order]
+    if fmt in _FIXED:  # one pattern instead of six
+        usual, places = _FIXED[fmt]
+        text = [F.when(c.rlike(usual), F.substring(c, *places[g - 1])).otherwise(t) for g, t in zip(order, text)]
     part = [t.try_cast("int") for t in text]
     if "MMM" in fmt:
         part[1] = _month_number(text[1])
