@@ -33,7 +33,10 @@ def _month_number(name: Column) -> Column:
     any case; null for another word."""
     numbers = [F.lit(v) for i, month in enumerate(_MONTHS, 1) for v in (month, i)]
     short = [F.lit(v) for i, month in enumerate(_MONTHS, 1) if month != month[:3] for v in (month[:3], i)]
-    return F.try_element_at(F.create_map(*numbers, *short), F.lower(name))
+    # Lower case takes Spark longer than all else here: the usual form needs none.
+    usual = [F.lit(v) for i, month in enumerate(_MONTHS, 1) for v in (month[:3].capitalize(), i)]
+    return F.coalesce(F.try_element_at(F.create_map(*usual), name),
+                      F.try_element_at(F.create_map(*numbers, *short), F.lower(name)))
 
 
 def parse_r_time(c: Column, fmt: str) -> Column:
